@@ -141,8 +141,8 @@ def window_hashes(words: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.
     return rolled[at], n
 
 
-def chunks(frames, column: str, most_bytes: int = 4 << 20):
-    """Cut pandas batches so that a cut has about ``most_bytes`` of text, one row at least."""
+def chunks(frames, column: str, most_bytes: int = 2 << 20):
+    """Cut pandas batches so that a cut has about ``most_bytes`` characters of text, one row at least."""
     for frame in frames:
         if not len(frame):
             continue
