@@ -58,6 +58,11 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def id_text(name: str = "doc_id") -> Column:
+    """An id for the way through pandas, which would make floats of a column of longs with nulls."""
+    return F.col(name).cast("long").cast("string").alias(name)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

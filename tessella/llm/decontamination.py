@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm import bloom
-from tessella.llm.common import chunks, documents, materialize, window_hashes, word_hashes
+from tessella.llm.common import chunks, documents, id_text, materialize, window_hashes, word_hashes
 
 SPAN, GRAM = 10, 5
 WINNOW = SPAN - GRAM + 1
@@ -58,14 +58,14 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
             ids = frame["item_id"].to_numpy()
             grams, n_grams = window_hashes(words, counts, GRAM)
             prints = grams[winnow(grams, n_grams, WINNOW)]
-            yield pd.DataFrame({"item_id": None, "size": 0, "window": prints.view(np.int64)}).astype({"item_id": "Int64"})
+            yield pd.DataFrame({"item_id": None, "size": 0, "window": prints.view(np.int64)})
             for size in np.unique(np.minimum(counts[counts > 0], SPAN)):
                 at = np.flatnonzero(np.minimum(counts, SPAN) == size)
                 keep = np.repeat(np.minimum(counts, SPAN) == size, counts)
                 found, n = window_hashes(words[keep], counts[at], int(size))
-                yield pd.DataFrame({"item_id": np.repeat(ids[at], n), "size": int(size), "window": found.view(np.int64)}).astype({"item_id": "Int64"})
+                yield pd.DataFrame({"item_id": np.repeat(ids[at], n), "size": int(size), "window": found.view(np.int64)})
 
-    return benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInPandas(run, "item_id long, size int, window long").distinct()
+    return benchmark.select(id_text("item_id"), F.col("text").cast("string")).mapInPandas(run, "item_id string, size int, window long").distinct()
 
 
 def _candidates(prints: np.ndarray, short: list[int], short_filter: np.ndarray):
@@ -113,10 +113,10 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     prints = bloom.build(windows.where("size = 0"), "window")
     short_filter = bloom.build(windows.where(f"size between 1 and {SPAN - 1}"), "window") if short else prints
     scanned = materialize(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), text_hash(F.col("text"))).mapInPandas(
+        docs.select(id_text(), F.col("text").cast("string"), text_hash(F.col("text"))).mapInPandas(
             _candidates(prints, sorted(short), short_filter),
-            "doc_id long, text_hash long, n_words long, found array<struct<size:int,start:int,window:long>>",
-        ),
+            "doc_id string, text_hash long, n_words long, found array<struct<size:int,start:int,window:long>>",
+        ).withColumn("doc_id", F.col("doc_id").cast("long")),
         "candidate-windows",
     )
     salted = windows.where("size > 0 and item_id is not null").select("item_id", "size", "window", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
@@ -128,7 +128,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     joined = rows.join(salted, ["size", "window", "salt"])
     places = F.sort_array(F.collect_set(F.struct("start", "size")))
-    by_doc = joined.groupBy("doc_id", "text_hash").agg(places.alias("places"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    by_doc = joined.groupBy("doc_id", "text_hash").agg(places.alias("places"), F.array_sort(F.collect_set("item_id")).alias("items"))
     by_doc = by_doc.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "places", "items")
     base = scanned.select("doc_id", "text_hash", "n_words")
     return base.join(by_doc, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("text_hash") == F.col("__hash")), "left").select(

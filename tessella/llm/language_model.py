@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import chunks, documents, materialize, mix, text_of, word_hashes
+from tessella.llm.common import chunks, documents, id_text, materialize, mix, text_of, word_hashes
 
 #: Bytes of text in a part.
 PART_BYTES = 8 << 20
@@ -226,7 +226,7 @@ def score_documents(docs: DataFrame, train: Column, held_out: Column) -> DataFra
     plain, held = n_parts.get(False, 1), n_parts.get(True, 1)
     bits = max(0, int(plain + held - 1).bit_length())
     dealt = F.xxhash64("doc_id", "text")  # of content alone: every pass deals alike
-    parts = rows.withColumn("part", F.when(F.col("held"), plain + F.pmod(dealt, F.lit(held))).otherwise(F.pmod(dealt, F.lit(plain))).cast("int"))
+    parts = rows.withColumn("doc_id", id_text()).withColumn("part", F.when(F.col("held"), plain + F.pmod(dealt, F.lit(held))).otherwise(F.pmod(dealt, F.lit(plain))).cast("int"))
 
     asked = parts.groupBy("part").applyInPandas(_ask(bits), "bucket long, part int, kind int, keys binary, counts binary")
     answered = asked.groupBy("bucket").applyInPandas(_answer(plain), "part int, bucket long, kind int, counts binary, deleted binary")
@@ -239,8 +239,8 @@ def score_documents(docs: DataFrame, train: Column, held_out: Column) -> DataFra
     cells = parts.where("held").groupBy("part").cogroup(answers.where(F.col("part") >= plain).groupBy("part")).applyInPandas(_held_out(tokens - held_tokens), "cell long, n long")
     cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # CONTEXTS * (FINE + 1)**2 rows at most
     weights = learn_weights(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(np.float64), kept_types)
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return parts.groupBy("part").cogroup(answers.groupBy("part")).applyInPandas(_score(weights, types, tokens), schema)
+    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return parts.groupBy("part").cogroup(answers.groupBy("part")).applyInPandas(_score(weights, types, tokens), schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _totals(frames):

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import chunks, documents, materialize
+from tessella.llm.common import chunks, documents, id_text, materialize
 from tessella.llm.tokens import default_path, encoder
 
 #: Windows, the longest first; powers of two.
@@ -61,9 +61,9 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, tiers:
     if any(t & (t - 1) for t in tiers):
         raise ValueError("windows must be powers of two")
     stored = materialize(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).coalesce(MOST_TASKS).mapInPandas(
+        docs.select(id_text(), F.col("text").cast("string")).coalesce(MOST_TASKS).mapInPandas(
             _tokenize(vocabulary or default_path(), end_id, tiers),
-            "doc_id long, task int, tier int, doc_tokens long, task_start long, ids binary",
+            "doc_id string, task int, tier int, doc_tokens long, task_start long, ids binary",
         ),
         "token-streams",
     )
@@ -112,7 +112,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, end_id: int = 1, tiers:
         )
 
     return placed.select(
-        "doc_id", "doc_tokens",
+        F.col("doc_id").cast("long"), "doc_tokens",
         F.explode(F.transform(F.sequence(sequence_at(F.col("address")), sequence_at(last - 1)), piece)).alias("p"),
     ).select("doc_id", "p.start", "p.length", "doc_tokens", "p.sequence_id", "p.offset", "p.window", "p.step_id", "p.ids")
 

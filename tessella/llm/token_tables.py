@@ -15,13 +15,12 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import chunks, documents, fresh_path
+from tessella.llm.common import chunks, documents, fresh_path, id_text
 from tessella.llm.tokens import default_path, encoder
 
 LAYOUT = {
@@ -40,13 +39,18 @@ SCHEMA = "doc_id long, part int, file_start long, n_tokens long, tokens array<in
 
 
 def _encode(vocabulary: str, end_id: int):
-    def run(frames):
+    def run(batches):
         part, coder, end, so_far = TaskContext.get().partitionId(), encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
-        for frame in chunks(frames, "text"):
-            ids = [np.frombuffer(x + end, "<u4").astype(np.int32) for x in coder.encode(frame["text"].tolist())]
-            size = np.array([len(x) for x in ids])
+        for frame in chunks((b.to_pandas() for b in batches), "text"):
+            ids = [x + end for x in coder.encode(frame["text"].tolist())]
+            size = np.array([len(x) // 4 for x in ids], np.int64)
             running = so_far + np.cumsum(size)
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "part": part, "file_start": running - size, "n_tokens": size, "tokens": ids})
+            edges = np.append(0, np.cumsum(size)).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(frame["doc_id"], pa.string()), pa.array(np.full(len(ids), part, np.int32)), pa.array(running - size), pa.array(size), tokens],
+                ["doc_id", "part", "file_start", "n_tokens", "tokens"],
+            )
             so_far = int(running[-1])
 
     return run
@@ -62,8 +66,9 @@ def write_token_table(docs: DataFrame, path: str, vocabulary: str | None = None,
         )
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .select("doc_id", "text")
-        .mapInPandas(_encode(vocabulary or default_path(), end_id), SCHEMA)
+        .select(id_text(), "text")
+        .mapInArrow(_encode(vocabulary or default_path(), end_id), SCHEMA.replace("doc_id long", "doc_id string"))
+        .withColumn("doc_id", F.col("doc_id").cast("long"))
         .write.options(**LAYOUT)
         .parquet(path)
     )
