@@ -1 +1 @@
-
+"""Sessions, shared folders and column functions."""
