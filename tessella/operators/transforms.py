@@ -275,6 +275,6 @@ def densify(polygons: DataFrame, by: list[str]) -> DataFrame:
 def positional_join(lines: DataFrame, centers: DataFrame, by: str, line_order: str, grid: dict) -> DataFrame:
     """The i-th line of a group belongs to its i-th centre by abbreviation; unequal numbers give nothing."""
     i = lambda df, o: df.withColumn("__i", F.row_number().over(Window.partitionBy(by).orderBy(*o)))
-    a, b = i(lines.select(by, line_order, *XYZ), [line_order]), i(centers.select(by, "abbr"), ["abbr"])
+    a, b = i(lines.select(by, line_order, *XYZ), [line_order]).drop(line_order), i(centers.select(by, "abbr"), ["abbr"])
     equal = lines.groupBy(by).agg(F.count(F.lit(1)).alias("__n")).join(centers.groupBy(by).agg(F.count(F.lit(1)).alias("__m")), by).where("__n = __m").select(by)
     return a.join(b, [by, "__i"]).join(equal, by, "left_semi").select(by, "abbr", *((F.col(c) * k).alias(c) for c, k in grid.items()))

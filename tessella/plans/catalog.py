@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessella.plans import annotations, files, geometry, points, registry, statistics, volumes
+
+MODULES = (annotations, files, geometry, points, statistics, volumes)
+
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Cells by region, rolled up the region tree."""
+    return volumes.flagship(registry.Tables(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(registry.QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(registry.ORACLES)

@@ -41,7 +41,7 @@ BINDINGS = {
     "scores": "SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS id, l_suppkey % 30 AS model, l_quantity - 25 AS score FROM lineitem",
     "detections": "SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS id, l_suppkey % 8 AS animal, l_linenumber AS section, l_quantity * 20 AS x, l_extendedprice / 100 AS y, (l_quantity - 25) / 5 AS mean_score, l_discount * 40 AS std_score, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 0 ELSE -1 END AS label FROM lineitem",
     "judged": "SELECT l.doc_id AS id, l.quality AS truth, (d.n_chars % 1000) / CAST(1000 AS DOUBLE) AS p FROM labels l JOIN documents d ON l.doc_id = d.doc_id",
-    "section_tf": "SELECT user_id AS animal, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS section, value / 1000 AS rotation, CAST(event_id % 7 - 3 AS DOUBLE) AS xshift, CAST(event_id % 5 - 2 AS DOUBLE) AS yshift FROM events",
+    "section_tf": "SELECT user_id AS animal, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS BIGINT) AS section, value / 1000 AS rotation, CAST(event_id % 7 - 3 AS DOUBLE) AS xshift, CAST(event_id % 5 - 2 AS DOUBLE) AS yshift FROM events",
     "files": "SELECT doc_id AS id, source AS directory, 'file' || CAST(doc_id AS VARCHAR(20)) || '.tif' AS name, n_chars AS size FROM documents",
 }
 USES = {k: [b for b in BINDINGS if b != k and f" {b} " in f"{v} "] for k, v in BINDINGS.items()}

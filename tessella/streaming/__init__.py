@@ -1 +1 @@
-
+"""Arriving files, annotation saves and logs as streams."""
