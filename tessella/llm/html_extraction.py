@@ -90,12 +90,19 @@ class Page:
             if m[1]:
                 self._close(stack, tag)
                 continue
-            self._open(stack, tag, m[3])
-            if tag in RAW and not m[3].endswith("/"):
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
-                at = close.end() if close else end
-            if (tag in RAW or tag in VOID or (m[3].endswith("/") and tag not in BLOCK)) and stack[-1]:
-                stack.pop()
+            if tag in RAW:  # neither text nor evidence
+                if not m[3].endswith("/"):
+                    close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
+                    at = close.end() if close else end
+            elif tag in VOID:
+                if tag in BLOCK:
+                    self._block += 1
+                else:
+                    self.runs.append((stack[-1], self._block, " "))
+            else:
+                self._open(stack, tag, m[3])
+                if m[3].endswith("/") and tag not in BLOCK:
+                    stack.pop()
 
     def _text(self, stack: list[int], text: str) -> None:
         self.runs.append((stack[-1], self._block, html.unescape(text) if "&" in text else text))
@@ -114,8 +121,6 @@ class Page:
             self._end(stack, {"p"}, BLOCK - {"p"})
         if tag in ENDS:
             self._end(stack, *ENDS[tag])
-        if tag == "br":
-            self.runs.append((stack[-1], self._block, " "))
         words, label = "", None
         if attributes:
             for a in _ATTRIBUTE.finditer(attributes):
@@ -183,6 +188,9 @@ def _word_kind(words: str) -> int:
     return next((WORD_NUMBER[k] for k in WORDS if k in found), 0)
 
 
+SAME = 0.5
+
+
 class Model:
     """Log potentials of what is seen of an element, by kind and label, and of its label, by kind and parent's label."""
 
@@ -200,9 +208,11 @@ class Model:
                     seen[k][row[0], y, v] += 1
                 if i:
                     step[row[0], labels[page.parent[i]], y] += 1
-        # kinds with few examples lean on all kinds together
-        seen = [s + 4 * (whole := s.sum(axis=0)) / whole.sum(axis=1, keepdims=True) for s in seen]
-        self.seen = [np.log(s / s.sum(axis=2, keepdims=True)).transpose(0, 2, 1).tolist() for s in seen]
+        # a kind with few examples of a label leans on its other label, and both on all kinds together
+        share = lambda a: a / a.sum(axis=-1, keepdims=True)
+        seen = [s + 12 * share(s.sum(axis=1, keepdims=True)) + 4 * share(s.sum(axis=0)) for s in seen]
+        # what is seen of one element is partly the same thing said twice, so it counts with a power below 1
+        self.seen = [(SAME * np.log(share(s))).transpose(0, 2, 1).tolist() for s in seen]
         self.step = np.log(step / step.sum(axis=2, keepdims=True)).tolist()
         self.root = np.log(root / root.sum()).tolist()
 
@@ -247,7 +257,7 @@ def _share(x: list[float]) -> float:
 
 
 def truth(page: Page) -> list[int]:
-    """Labels of a labelled page: an element's own, or its parent's; unlabelled wrappers take most of their text's."""
+    """Labels of a labelled page: an element's own, or its parent's; an unlabelled wrapper is content if it holds any."""
     n = len(page.tag)
     label, known = [0] * n, [False] * n
     for i in range(1, n):
@@ -255,18 +265,15 @@ def truth(page: Page) -> list[int]:
             label[i], known[i] = page.label[i], True
         elif known[page.parent[i]]:
             label[i], known[i] = label[page.parent[i]], True
-    good, every = [0] * n, [0] * n
+    good = [0] * n
     for i, _, text in page.runs:
-        w = len(text.split())
-        every[i] += w
-        good[i] += w * label[i]
+        good[i] += len(text.split()) * label[i]
     for i in range(n - 1, 0, -1):
-        every[page.parent[i]] += every[i]
         good[page.parent[i]] += good[i]
-    return [label[i] if known[i] else int(2 * good[i] > every[i]) for i in range(n)]
+    return [label[i] if known[i] else int(good[i] > 0) for i in range(n)]
 
 
-def labelled_pages(n: int = 400, seed: int = 7) -> list[str]:
+def labelled_pages(n: int = 600, seed: int = 7) -> list[str]:
     """Pages written by a rule, with ``data-label`` on their parts."""
     rng = np.random.default_rng(seed)
     pick = lambda *x: x[int(rng.integers(len(x)))]
@@ -304,7 +311,7 @@ def labelled_pages(n: int = 400, seed: int = 7) -> list[str]:
             return "<table>" + "".join(f"<tr><td>{some(1, 4)}</td><td>{some(1, 6)}</td></tr>" for _ in range(3)) + "</table>"
         return f"<pre>{some(4, 20)}</pre>" if chance(0.5) else f"<p>{some(1, 3)}.</p>"
 
-    def links(a: int = 3, b: int = 9) -> str:
+    def links(a: int = 1, b: int = 9) -> str:
         items = [f'<a href="/{word()}">{some(1, 3)}</a>' for _ in range(int(rng.integers(a, b)))]
         return pick("<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>", " ".join(items), " | ".join(items))
 
@@ -318,9 +325,9 @@ def labelled_pages(n: int = 400, seed: int = 7) -> list[str]:
 
     def clutter() -> str:
         return pick(
-            lambda: part(pick("nav", named("chrome", "div", "ul", "nav")), links()),
+            lambda: part(pick("nav", named("chrome", "div", "ul", "nav")), pick(links(), links(1, 3))),
             lambda: part(pick("header", named("chrome", "div", "header")), pick(f"<h1>{some(1, 3)}</h1>", f'<a href="/">{some(1, 3)}</a>', f"<p>{some(2, 6)}</p>") + links()),
-            lambda: part(pick("footer", named("chrome", "div", "footer")), pick(f"&copy; {some(1, 4)} &middot; {prose(1, 3)}", f"<p>&copy; 20{some(1, 2)}. {sentence()}</p>" + links())),
+            lambda: part(pick("footer", named("chrome", "div", "footer")), pick(f"&copy; {some(1, 4)} &middot; {prose(1, 3)}", f"&copy; {some(1, 3)}", f"<p>&copy; 20{some(1, 2)}. {sentence()}</p>" + links())),
             lambda: part(pick("aside", named("chrome", "div", "aside")), f"<h3>{some(1, 3)}</h3>" + pick(links(), f"<p>{prose(1, 4)}</p>")),
             lambda: part(named("advert", "div", "aside", "section"), pick(prose(1, 3), f'<a href="/x">{some(2, 8)}</a>', f"<p>{prose(1, 3)}</p>")),
             lambda: part(named("notice", "div", "section", "p"), pick(prose(1, 4), f"<p>{prose(1, 3)}</p><button>{word()}</button>")),
@@ -329,8 +336,8 @@ def labelled_pages(n: int = 400, seed: int = 7) -> list[str]:
         )()
 
     def content() -> str:
-        title = f"<h1>{some(2, 9)}</h1>" if chance(0.8) else ""
-        inner = title + "".join(paragraph() for _ in range(int(rng.integers(1, 9))))
+        title = f"<h1>{some(1, 9)}</h1>" if chance(0.8) else ""
+        inner = title + "".join(paragraph() for _ in range(int(rng.integers(1, pick(3, 9, 9)))))
         if chance(0.25):
             inner += clutter()
         kind = pick("article", "article", "main", "section", "div", named("content", "div", "div", "section", "article", "main"), named("content", "div"))
