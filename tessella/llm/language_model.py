@@ -181,7 +181,7 @@ def learn_weights(cells: np.ndarray, n: np.ndarray, types: int) -> np.ndarray:
         share = weights[bucket] * p
         share *= (n / share.sum(axis=1))[:, None]
         mass = np.stack([np.bincount(bucket, share[:, k], CONTEXTS) for k in range(3)], axis=1)
-        mass += 1e-3  # no weight becomes nothing
+        mass = mass + 1e-3  # no weight becomes nothing
         weights[seen] = (mass / mass.sum(axis=1, keepdims=True))[seen]
     # buckets that held-out text never met take their lower neighbour's weights
     for k in range(1, CONTEXTS):
