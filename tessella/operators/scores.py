@@ -188,10 +188,8 @@ def ks_test(boxes: DataFrame, background: DataFrame, alpha: float = 0.01, by=("b
 def box_relations(values: DataFrame, significant: DataFrame, pairs: DataFrame) -> DataFrame:
     """Neighbouring boxes (id, other) by feature: agree (p > 0.1), disagree (p < 0.01), neither, not significant."""
     p = pairs.where("id < other")
-    features = values.select("feature").distinct()
-    keyed = p.join(F.broadcast(features.limit(1000)))  # features: a small table
-    a = keyed.join(values.select(F.col("box").alias("id"), "feature", "v"), ["id", "feature"]).select("id", "other", "feature", "v")
-    b = keyed.join(values.select(F.col("box").alias("other"), "feature", "v"), ["other", "feature"]).select("id", "other", "feature", "v")
+    a = p.join(values.select(F.col("box").alias("id"), "feature", "v"), "id").select("id", "other", "feature", "v")
+    b = p.join(values.select(F.col("box").alias("other"), "feature", "v"), "other").select("id", "other", "feature", "v")
     tested = ks_statistic(a, b, ["id", "other", "feature"]).withColumn("p", ks_p_value(F.col("gap"), F.col("n1"), F.col("n2")))
     known = significant.select(F.col("box").alias("id"), "feature").withColumn("__s", F.lit(True))
     other = significant.select(F.col("box").alias("other"), "feature").withColumn("__t", F.lit(True))

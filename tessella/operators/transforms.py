@@ -217,7 +217,7 @@ def offset_table(points: DataFrame, reference: DataFrame, brain: str = "prep", k
     A brain without a region that others have gets a null; labels carry the number of brains.
     """
     seen = points.join(reference.select(key), key, "left_semi").groupBy(key).agg(F.count_distinct(brain).alias("brains")).where(F.col("brains") >= least)
-    grid = points.select(brain).distinct().crossJoin(F.broadcast(seen.limit(100_000)))  # regions: a small table
+    grid = points.select(brain).distinct().crossJoin(seen)  # the result itself has a row for each brain and region
     joined = grid.join(points.select(brain, key, *XYZ), [brain, key], "left").join(reference.select(key, *(F.col(c).alias(f"__{c}") for c in XYZ)), key)
     d = [F.col(c) - F.col(f"__{c}") for c in XYZ]
     values = joined.select(brain, F.concat(key, F.lit("("), F.col("brains").cast("string"), F.lit(")")).alias("region"), *(v.alias(f"d{c}") for v, c in zip(d, XYZ)), F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2]).alias("dist"))

@@ -22,7 +22,8 @@ def plain(v):
     if v is None or v is pd.NaT:
         return None
     if isinstance(v, (float, np.floating)):
-        return None if math.isnan(v) else round(float(v), 6) + 0.0
+        # whole numbers with nulls among them come as floats from one side and as integers from the other
+        return None if math.isnan(v) else int(v) if float(v).is_integer() else round(float(v), 6)
     if isinstance(v, np.bool_):
         return bool(v)
     if isinstance(v, np.integer):
