@@ -19,7 +19,7 @@ def connect(folder):
 
 
 def plain(v):
-    if v is None or v is pd.NaT:
+    if v is None or v is pd.NaT or v is pd.NA:
         return None
     if isinstance(v, (float, np.floating)):
         # whole numbers with nulls among them come as floats from one side and as integers from the other
