@@ -86,3 +86,26 @@ def group_matches(labels, include=(), exclude=(), least: int = 0, most: int | No
         test = test & ~F.arrays_overlap(c, F.array(*map(F.lit, exclude)))
     test = test & (F.size(c) >= least)
     return test if most is None else test & (F.size(c) <= most)
+
+
+# The named groups of quality control, as labels to include, labels to exclude, least and most members.
+QC_CATEGORIES = {
+    "Computer Detected, Human Missed": (["computer_sure"], [], 0, 1),
+    "total train": (["manual_train"], [], 0, None),
+    "Human mind change": (["manual_negative", "manual_train"], [], 0, None),
+    "original training set after mind change": (["manual_train"], ["manual_negative"], 0, None),
+    "computer missed, human detected": (["manual_positive"], ["computer_sure", "computer_unsure"], 0, 1),
+    "computer sure, human negative": (["computer_sure", "manual_negative"], [], 0, 2),
+    "computer UNsure, human negative": (["computer_unsure", "manual_negative"], [], 0, 2),
+    "computer UNsure, human positive": (["computer_unsure", "manual_positive"], [], 0, 2),
+    "Total computer UNsure": (["computer_unsure"], [], 0, 2),
+    "computer UNsure, human unmarked": (["computer_unsure"], [], 0, 1),
+    "computer sure, human unmarked": (["computer_sure"], [], 0, 1),
+    "More than 2 labels": ([], ["manual_train"], 3, None),
+}
+
+
+def qc_categories(labels) -> Column:
+    """The names of the quality-control groups that a group's labels belong to."""
+    flags = [F.when(group_matches(labels, include, exclude, least, most), F.lit(name)) for name, (include, exclude, least, most) in QC_CATEGORIES.items()]
+    return F.array_compact(F.array(*flags))

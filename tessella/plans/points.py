@@ -110,3 +110,15 @@ def _(t):
 
 
 query("m5_f1_sweep")(lambda t: rounded(S.f1_sweep(t.truths, t.preds.withColumn("p", T.unit_hash("id")), [0.1, 0.3, 0.5, 0.7, 0.9], 40, "prep", keys=["section"]), "precision", "recall", "f1", digits=6))
+
+TAGGED = """WITH g AS (SELECT o_custkey % 200 AS comp, o_orderkey % 7 AS k FROM orders WHERE o_orderkey % 5 = 0), l AS (SELECT comp, list_sort(list(CASE k WHEN 0 THEN 'computer_sure' WHEN 1 THEN 'computer_unsure' WHEN 2 THEN 'manual_positive' WHEN 3 THEN 'manual_negative' ELSE 'manual_train' END)) AS s FROM g GROUP BY comp)"""
+
+
+@query("c3_qc_categories", f"{TAGGED} " + " UNION ALL ".join(
+    "SELECT comp, '{n}' AS category FROM l WHERE {w}".format(n=name, w=" AND ".join([*(f"list_contains(s, '{v}')" for v in include), *(f"NOT list_contains(s, '{v}')" for v in exclude), f"len(s) >= {least}", *([f"len(s) <= {most}"] if most else [])]))
+    for name, (include, exclude, least, most) in C.QC_CATEGORIES.items()))
+def _(t):
+    k = F.col("o_orderkey") % 7
+    name = F.when(k == 0, "computer_sure").when(k == 1, "computer_unsure").when(k == 2, "manual_positive").when(k == 3, "manual_negative").otherwise("manual_train")
+    g = t.orders.where("o_orderkey % 5 = 0").select((F.col("o_custkey") % 200).alias("comp"), name.alias("name"))
+    return S.group_labels(g).select("comp", F.explode(C.qc_categories("labels")).alias("category"))
