@@ -259,7 +259,8 @@ def sort_from_center(polygons: DataFrame, by: list[str]) -> DataFrame:
     """Distinct vertices of convex polygons by falling angle about their mean."""
     u = polygons.select(*by, "x", "y").distinct()
     w = Window.partitionBy(*by)
-    angle = F.atan2(F.col("y") - F.avg("y").over(w), F.col("x") - F.avg("x").over(w))
+    # rounded, so that vertices in line with the centre tie however the mean was summed
+    angle = F.round(F.atan2(F.col("y") - F.avg("y").over(w), F.col("x") - F.avg("x").over(w)), 9)
     return u.withColumn("angle", angle).withColumn("point_order", F.row_number().over(w.orderBy(F.col("angle").desc(), "x", "y")) - 1).drop("angle")
 
 
