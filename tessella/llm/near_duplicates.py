@@ -12,11 +12,11 @@ draw.
 Signatures are cut into bands. Texts that share a band are candidates, and a
 candidate pair is a link if sum(min)/sum(max) of its multisets is at least the
 threshold. A bucket is not expanded into all pairs: its members are compared
-with a few leaders, linked texts are merged into components, and the next round
-takes further leaders (four times as many) from what the bucket still leaves
-open, until no bucket has members of different components that were not
-compared. No pair of different components goes unchecked, however large the
-bucket, and copies cost one comparison each.
+with its first one, and linked texts are merged into components. What then still
+has candidates in different components goes through a second, exact search,
+which finds every pair that may reach the threshold by the rare shingles that it
+must share. So no link between components is lost, however large a bucket, and
+copies cost one comparison each.
 
 Defined cases: exact copies are one class, nulls and empty texts too form a
 class of copies each (null is not empty); a text of one to four words is one
@@ -202,48 +202,90 @@ def linked_components(docs: DataFrame, threshold: float, bands: int, rows: int)
     # Joins read written tables on both sides, so that Spark may split a hot bucket's rows.
     banded = materialize(nodes.mapInPandas(_band_keys(bands, rows), "bucket long, node binary, weight long"), "bands")
     shared = materialize(banded.groupBy("bucket").count().where("count > 1").select("bucket"), "shared-buckets")
-    open_rows = materialize(banded.join(shared, "bucket", "left_semi").distinct(), "open-rows")
+    members = materialize(banded.join(shared, "bucket", "left_semi").distinct().withColumn("comp", F.col("node")), "bucket-members")
+    members = _mixed(members)
+    if not members.limit(1).count():
+        return None
+    wanted = bloom.build(members.select("node").distinct().mapInPandas(_low_bits, "key long"), "key")
+    packed = nodes.mapInPandas(_packed_texts(wanted), "node binary, packed binary")
+    packed = materialize(packed.groupBy("node").agg(F.first("packed").alias("packed")), "texts")
+
+    # every member with its bucket's first one
+    first = materialize(
+        members.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("node"))).where("rank = 1")
+        .select("bucket", F.col("node").alias("leader"), F.col("weight").alias("leader_weight")),
+        "leaders",
+    )
+    with_first = members.join(first, "bucket").where(
+        (F.col("node") != F.col("leader")) & (F.col("weight") >= threshold * F.col("leader_weight")) & (F.col("leader_weight") >= threshold * F.col("weight"))
+    )
+    links = _verified(with_first.select(F.least("node", "leader").alias("left"), F.greatest("node", "leader").alias("right")).distinct(), packed, threshold)
+    comps = components(links)
 
-    packed, links, comps, checked, leaders = None, None, None, None, 1
-    while True:
-        labelled = open_rows if comps is None else open_rows.join(comps, "node", "left")
-        labelled = labelled.select("bucket", "node", "weight", (F.col("node") if comps is None else F.coalesce("comp", "node")).alias("comp"))
-        labelled = labelled if comps is None else materialize(labelled, "labelled")
-        groups = labelled.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("share"))
-        mixed = materialize(groups.groupBy("bucket").count().where("count > 1").select("bucket"), "mixed-buckets")
-        open_rows = materialize(labelled.join(mixed, "bucket", "left_semi"), "open-rows")
-        if not open_rows.limit(1).count():
-            return comps
-        if packed is None:
-            wanted = bloom.build(open_rows.select("node").distinct().mapInPandas(_low_bits, "key long"), "key")
-            packed = nodes.mapInPandas(_packed_texts(wanted), "node binary, packed binary")
-            packed = materialize(packed.groupBy("node").agg(F.first("packed").alias("packed")), "texts")
-
-        shares = open_rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("share"))
-        first = Window.partitionBy("bucket").orderBy("share", "node")
-        chosen = materialize(
-            open_rows.join(shares, ["bucket", "comp"]).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= leaders)
-            .select("bucket", F.col("node").alias("left"), F.col("comp").alias("left_comp"), F.col("weight").alias("left_weight")),
-            "leaders",
-        )
-        members = open_rows.select("bucket", F.col("node").alias("right"), F.col("comp").alias("right_comp"), F.col("weight").alias("right_weight"))
-        pairs = members.join(chosen, "bucket").where(
-            (F.col("left_comp") != F.col("right_comp"))
-            & (F.col("left_weight") >= threshold * F.col("right_weight")) & (F.col("right_weight") >= threshold * F.col("left_weight"))
-        ).select(F.least("left", "right").alias("left"), F.greatest("left", "right").alias("right")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["left", "right"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        checked = pairs if checked is None else checked.union(pairs)
-        compared = pairs.join(packed.select(F.col("node").alias("left"), F.col("packed").alias("left_text")), "left")
-        compared = compared.join(packed.select(F.col("node").alias("right"), F.col("packed").alias("right_text")), "right")
-        new = materialize(compared.mapInPandas(_similar(threshold), "left binary, right binary"), "verified")
-        if new.limit(1).count():
-            links = new if links is None else links.union(new)
-            comps = components(links)
-        used = chosen.select("bucket", F.col("left").alias("node"))
-        open_rows = open_rows.select("bucket", "node", "weight").join(used, ["bucket", "node"], "left_anti")
-        leaders *= 4
+    # what a bucket leaves open: members other than the first one, of different components
+    rest = members.select("bucket", "node").join(first.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
+    rest = materialize(rest.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp")), "rest")
+    left_open = materialize(_mixed(rest).select("node", "comp").distinct(), "open-nodes")
+    if left_open.limit(1).count():
+        more = _verified(_prefix_pairs(left_open, packed, threshold), packed, threshold)
+        if more.limit(1).count():
+            return components(links.union(more))
+    return comps if comps.limit(1).count() else None
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    """Rows of buckets with members of more than one component."""
+    groups = members.select("bucket", "comp").distinct()
+    mixed = materialize(groups.groupBy("bucket").count().where("count > 1").select("bucket"), "mixed-buckets")
+    return materialize(members.join(mixed, "bucket", "left_semi"), "mixed-members")
+
+
+def _verified(pairs: DataFrame, packed: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose multisets overlap enough."""
+    pairs = materialize(pairs, "pairs")
+    compared = pairs.join(packed.select(F.col("node").alias("left"), F.col("packed").alias("left_text")), "left")
+    compared = compared.join(packed.select(F.col("node").alias("right"), F.col("packed").alias("right_text")), "right")
+    return materialize(compared.mapInPandas(_similar(threshold), "left binary, right binary"), "verified")
+
+
+def _tokens(frames):
+    """Shingles of each node, the n-th copy of a shingle as one of its own."""
+    for frame in frames:
+        for a in range(0, len(frame), 64):
+            part = frame.iloc[a : a + 64]
+            owner, shingle, weight = weighted(*shingles([zlib.decompress(x).decode("utf-8", "surrogatepass") for x in part["packed"]]))
+            copy = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+            with np.errstate(over="ignore"):
+                token = mix(np.repeat(shingle, weight) + copy.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            owner = np.repeat(owner, weight)
+            size = np.bincount(owner, minlength=len(part))
+            yield pd.DataFrame({"node": part["node"].to_numpy()[owner], "comp": part["comp"].to_numpy()[owner], "size": size[owner], "token": token.view(np.int64)})
+
+
+def _prefix_pairs(nodes: DataFrame, packed: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of different components that may reach the threshold, without a comparison of each with each.
+
+    Tokens are ordered by the texts that have them, rare ones first. Two texts
+    that overlap enough have their first common token early in both, and as many
+    tokens after it as the overlap asks for: an equi-join on early tokens with
+    that condition finds every such pair. Texts that differ from a large group
+    in many places begin with tokens of their own and so meet nothing of it.
+    The component that has most texts of a token stands on one side only.
+    """
+    tokens = materialize(packed.join(nodes, "node").mapInPandas(_tokens, "node binary, comp binary, size int, token long"), "tokens")
+    spread = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "token-texts")
+    order = Window.partitionBy("node").orderBy("texts", "token")
+    placed = tokens.join(spread, "token", "left").withColumn("texts", F.coalesce("texts", F.lit(1))).withColumn("place", F.row_number().over(order) - 1)
+    early = F.col("place") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-9)
+    prefix = materialize(placed.where(early & (F.col("texts") > 1)).select("node", "comp", "size", "token", "place"), "prefixes")
+    shares = prefix.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
+    largest = materialize(shares.groupBy("token").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("token", "largest"), "largest")
+    few = materialize(prefix.join(largest, "token").where(F.col("comp") != F.col("largest")).drop("largest"), "few")
+    other = prefix.select("token", *(F.col(c).alias(f"o_{c}") for c in ("node", "comp", "size", "place")))
+    least = (F.col("size") + F.col("o_size")) * (threshold / (1 + threshold)) - 1e-6
+    possible = F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place")) >= least
+    pairs = few.join(other, "token").where((F.col("comp") != F.col("o_comp")) & possible)
+    return pairs.select(F.least("node", "o_node").alias("left"), F.greatest("node", "o_node").alias("right")).distinct()
 
 
 def _low_bits(frames):
