@@ -224,7 +224,17 @@ def linked_components(docs: DataFrame, threshold: float, bands: int, rows: int)
 
     # what a bucket leaves open: members other than the first one, of different components
     rest = members.select("bucket", "node").join(first.select("bucket", F.col("leader").alias("node")), ["bucket", "node"], "left_anti")
-    rest = materialize(rest.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp")), "rest")
+    rest = _mixed(_labelled(rest, comps))
+    if rest.limit(1).count() and links.limit(1).count():
+        # and with the open member that has most links, which texts near a common source most likely share
+        degree = materialize(links.select(F.col("left").alias("node")).union(links.select("right")).groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "degrees")
+        order = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "node")
+        hubs = rest.join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0))).withColumn("rank", F.row_number().over(order)).where("rank = 1")
+        hubs = materialize(hubs.select("bucket", F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hubs")
+        with_hub = rest.join(hubs, "bucket").where(F.col("comp") != F.col("hub_comp"))
+        links = links.union(_verified(with_hub.select(F.least("node", "hub").alias("left"), F.greatest("node", "hub").alias("right")).distinct(), packed, threshold))
+        comps = components(links)
+        rest = _labelled(rest.select("bucket", "node"), comps)
     left_open = materialize(_mixed(rest).select("node", "comp").distinct(), "open-nodes")
     if left_open.limit(1).count():
         more = _verified(_prefix_pairs(left_open, packed, threshold), packed, threshold)
@@ -233,6 +243,11 @@ def linked_components(docs: DataFrame, threshold: float, bands: int, rows: int)
     return comps if comps.limit(1).count() else None
 
 
+def _labelled(rows: DataFrame, comps: DataFrame) -> DataFrame:
+    """Rows (bucket, node) with their component."""
+    return materialize(rows.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp")), "labelled")
+
+
 def _mixed(members: DataFrame) -> DataFrame:
     """Rows of buckets with members of more than one component."""
     groups = members.select("bucket", "comp").distinct()
