@@ -2,25 +2,36 @@
 
 Such a vocabulary never merges across the start of a single blank or line end
 between other characters, so a text is cut there, each distinct piece is encoded
-once a batch, and the pieces' ids are put together again. New pieces are encoded
-many at a time, a line each, which costs less than one call a piece. Texts in
-which white space follows white space are encoded whole.
+once, and the pieces' ids are put together again. A piece of letters and
+punctuation after them is two words of the vocabulary's own splitting: the
+library's model encodes the letters, once for all punctuation. Other pieces go
+through the whole tokenizer, and so do texts in which white space follows white
+space.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
 
-#: Distinct pieces that a Python worker keeps; it starts afresh beyond.
-KEPT = 250_000
-#: Double white space, or characters on whose class libraries differ.
-_ODD = re.compile(r"\s\s|^\s|[\x1c-\x1f\u180e]")
-_BLANK = re.compile(r"\s")
-#: Pieces of one call.
-LINES = 10_000
+#: Distinct pieces, and words of letters, of a generation; a Python worker keeps two of them.
+KEPT = 300_000
+#: White space other than blank and line end, and characters on whose class libraries differ.
+_RARE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+_PUNCTUATION = ".,;:!?%&$#*|\"'()-"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte: itself if printable, else one from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_LETTERS = _byte_letters()
 
 
 def default_path() -> str:
@@ -46,51 +57,74 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = _load(path)
-        self.line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_pieces: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
+        self.line_end = self._whole(["\n"])[0]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _lines(self, words: list[str]) -> list[bytes]:
-        """Ids of words without white space, each with a blank before it."""
-        raw = np.array(self.tokenizer.encode("\n " + "\n ".join(words), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(raw == self.line_end) * 4
-        if len(ends) != len(words):
-            return self._whole([" " + w for w in words])
-        data, ends = raw.tobytes(), [*ends.tolist(), raw.nbytes]
-        return [data[a + 4 : b] for a, b in zip(ends, ends[1:])]
-
-    def _learn(self, new: set[str]) -> None:
-        plain = [w for w in new if w and not _BLANK.search(w)]
-        for i in range(0, len(plain), LINES):
-            part = plain[i : i + LINES]
-            self.later.update(zip(part, self._lines(part)))
-        # a piece after a line end has that in place of the blank
-        rest = list(new.difference(plain))
-        self.later.update(zip(rest, self._whole([w if w[:1] == "\n" else " " + w for w in rest])))
+    def _word(self, word: str) -> bytes:
+        """Ids of letters, with or without a blank before them."""
+        found = self.words.get(word)
+        if found is None:
+            found = self.old_words.get(word)
+        if found is None:
+            written = word.encode().decode("latin-1").translate(_LETTERS)
+            ids = [x.id for x in self.model.tokenize(written)]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        self.words[word] = found
+        return found
+
+    def _add(self, wanted: set[str], lead: str, key: str) -> None:
+        """Learn the pieces that aren't known; ``lead`` is what stood before them unless it is a line end, ``key`` marks those without a blank."""
+        rest, known, old = [], self.pieces, self.old_pieces
+        for piece in wanted:
+            if key + piece in known:
+                continue
+            if key + piece in old:
+                known[key + piece] = old[key + piece]
+                continue
+            stem = piece.rstrip(_PUNCTUATION)
+            mark = piece[len(stem) :]
+            if stem.isalpha() and len(mark) < 8:
+                ids = self._word(lead + stem)
+            elif stem[1:].isalpha() and stem[0] == "\n" and len(mark) < 8:
+                ids = self.line_end + self._word(stem[1:])
+            else:
+                rest.append(piece)
+                continue
+            if mark not in self.marks:
+                self.marks[mark] = self._whole([mark])[0]
+            known[key + piece] = ids + self.marks[mark]
+        found = self._whole([x if x[:1] == "\n" else lead + x for x in rest])
+        self.pieces.update((key + x, ids) for x, ids in zip(rest, found))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = {t: None if _ODD.search(t) else t.replace("\n", " \n").split(" ") for t in dict.fromkeys(texts)}
-        heads = list({p[0] for p in cut.values() if p}.difference(self.first))
-        if len(self.first) + len(heads) > KEPT:
-            self.first.clear()
-            heads = list({p[0] for p in cut.values() if p})
-        self.first.update(zip(heads, self._whole(heads)))
-        tails = set().union(*(p[1:] for p in cut.values() if p))
-        new = tails.difference(self.later)
-        if len(self.later) + len(new) > KEPT:
-            self.later.clear()
-            new = tails
-        self._learn(new)
-        whole = [t for t, p in cut.items() if p is None]
+        cut, whole = {}, []
+        for t in dict.fromkeys(texts):
+            parts = t.replace("\n", " \n").split(" ")
+            if "" in parts or "\n" in parts or _RARE.search(t):
+                whole.append(t)
+            else:
+                cut[t] = parts
         done = dict(zip(whole, self._whole(whole)))
-        first, later = self.first, self.later
+        if len(self.words) > KEPT:
+            self.old_words, self.words = self.words, {}
+        if len(self.marks) > 10_000:
+            self.marks = {"": b""}
+        if len(self.pieces) > KEPT:
+            self.old_pieces, self.pieces = self.pieces, {}
+        self._add({p[0] for p in cut.values()}, "", "\0")
+        self._add(set().union(*(p[1:] for p in cut.values())), " ", "")
+        pieces = self.pieces
         for t, p in cut.items():
-            if p is not None:
-                done[t] = first[p[0]] + b"".join(map(later.__getitem__, p[1:]))
+            done[t] = pieces["\0" + p[0]] + b"".join(map(pieces.__getitem__, p[1:]))
         return [done[t] for t in texts]
 
 
