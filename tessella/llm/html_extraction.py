@@ -11,7 +11,8 @@ Pages are independent, so this is one pass without a shuffle.
 
 Defined cases: a null or empty page, or one without content, has an empty text;
 pages with broken markup are read as far as they make sense (unclosed elements
-end with their parents, unmatched end tags are ignored); a page of any length is
+end with their parents, unmatched end tags are ignored; a script or style without
+an end tag reaches to the end of the page, as in browsers); a page of any length is
 read whole, in linear time; equal rows get equal results; an empty table gives
 an empty result; other columns are not read.
 """
@@ -30,20 +31,21 @@ from pyspark.sql import functions as F
 
 # Element names by kind.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript template iframe svg math select option canvas object audio video".split())
+RAW = set("script style title textarea noscript template iframe".split())
 KINDS = {
     "root": "html body", "article": "article main", "box": "div section center", "heading": "h1 h2 h3 h4 h5 h6 hgroup",
     "paragraph": "p blockquote pre", "list": "ul ol dl menu", "item": "li dt dd", "table": "table thead tbody tfoot tr td th caption",
-    "nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form fieldset button label legend input dialog",
+    "nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form fieldset button label legend input dialog select option optgroup datalist",
     "figure": "figure figcaption picture details summary address", "link": "a", "head": "head",
 }
 KIND = {t: k for k, v in KINDS.items() for t in v.split()}
-BLOCK = {t for k, v in KINDS.items() if k != "link" for t in v.split()} - {"label", "button", "input"} | {"hr"}
+BLOCK = {t for k, v in KINDS.items() if k != "link" for t in v.split()} - {"label", "button", "input", "select", "option", "optgroup", "datalist"} | {"hr"}
 #: What an opening element ends: the first of these that is open, looking no further than the second group.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
+    "option": ({"option"}, BLOCK | {"select", "datalist", "optgroup"}), "optgroup": ({"optgroup"}, BLOCK | {"select"}),
 }
 # Words of class, id and role, by what they speak for.
 WORDS = {
@@ -55,11 +57,9 @@ WORDS = {
 }
 WORD_KIND = {w: k for k, v in WORDS.items() for w in v.split()}
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]{0,4096}+\"|'[^']{0,4096}+')*+|[^>]*+)>",
-    re.S,
-)
+_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.S)
+_TOKEN = re.compile(_COMMENT.pattern + r"|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)", re.S)
+_QUOTE_OR_END = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role|data-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
 
@@ -76,34 +76,59 @@ class Page:
     def _read(self, source: str) -> None:
         stack, at = [0], 0
         end = len(source)
+        last = {c: source.rfind(c) for c in ">\"'"}
+        dead: set[int] = set()  # quotes from which no tag ends
+        unclosed: set[str] = set()  # raw elements without a further end tag
         while at < end:
             m = _TOKEN.search(source, at)
+            if m and m[2] and m.end() > last[">"]:
+                m = _COMMENT.search(source, m.end())
             if not m:
                 self._text(stack, source[at:])
                 return
             if m.start() > at:
                 self._text(stack, source[at : m.start()])
             at = m.end()
-            if m[2] is None:
+            if m.re is _COMMENT or m[2] is None:
                 continue
             tag = m[2].lower()
+            close = self._tag_end(source, at, last, dead)
+            attributes, at = source[at:close], close + 1
             if m[1]:
                 self._close(stack, tag)
                 continue
             if tag in RAW:  # neither text nor evidence
-                if not m[3].endswith("/"):
-                    close = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at)
-                    at = close.end() if close else end
+                if not attributes.endswith("/") and tag not in unclosed:
+                    if found := re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, at):
+                        at = found.end()
+                    elif tag in ("script", "style"):
+                        at = end
+                    else:  # goes on after the start tag
+                        unclosed.add(tag)
             elif tag in VOID:
                 if tag in BLOCK:
                     self._block += 1
                 else:
                     self.runs.append((stack[-1], self._block, " "))
             else:
-                self._open(stack, tag, m[3])
-                if m[3].endswith("/") and tag not in BLOCK:
+                self._open(stack, tag, attributes)
+                if attributes.endswith("/") and tag not in BLOCK:
                     stack.pop()
 
+    @staticmethod
+    def _tag_end(source: str, at: int, last: dict[str, int], dead: set[int]) -> int:
+        """Place of the ``>`` outside quotes, or of the first one if a quote or the tag has no end."""
+        start, seen = at, []
+        while m := _QUOTE_OR_END.search(source, at):
+            if m[0] == ">":
+                return m.start()
+            seen.append(m.start())
+            if m.start() in dead or m.start() == last[m[0]]:
+                break
+            at = source.index(m[0], m.end()) + 1
+        dead.update(seen)
+        return source.index(">", start)
+
     def _text(self, stack: list[int], text: str) -> None:
         self.runs.append((stack[-1], self._block, html.unescape(text) if "&" in text else text))
 
@@ -119,6 +144,8 @@ class Page:
         if tag in BLOCK:
             self._block += 1
             self._end(stack, {"p"}, BLOCK - {"p"})
+            self._end(stack, {"select", "datalist"}, BLOCK)
+            self._end(stack, {"option", "optgroup"}, BLOCK)
         if tag in ENDS:
             self._end(stack, *ENDS[tag])
         words, label = "", None

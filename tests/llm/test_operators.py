@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -443,6 +444,34 @@ def test_extract_keeps_types(spark):
     assert {(r["page_id"], r["url"], r["text"]) for r in got} == {(BIG, None, "Some text of a page. It is here."), (None, "u", "")}
 
 
+@pytest.mark.parametrize("opening", [
+    "<datalist><option value=a><option value=b></datalist>", "<select><option>One<option>Two", "<svg viewBox='0 0 1 1'><path d=''>", "<canvas>", "<audio src=x>",
+    "<video>", "<object>", "<math>", "<noscript>", "<iframe src=x>", "<template>", "<textarea>", "<script>f()</script>",
+])
+def test_an_unclosed_element_loses_no_page(opening):
+    source = f"<body><div class=wrapper>{opening}</div><article><h1>A title here</h1><p>The text of the post is here. It goes on.</p></article></body>"
+    assert html_extraction.main_text(source, html_extraction.trained()).endswith("A title here\nThe text of the post is here. It goes on.")
+
+
+def test_embedded_text_stays():
+    for inner in ("<math><mi>x</mi><mo>=</mo><mn>2</mn></math>", "<object data=f>x=2</object>", "<video src=v>x=2</video>", "<svg><text>x=2</text></svg>"):
+        source = f"<article><h1>A title here</h1><p>The rule says that {inner} holds for all rows. It goes on.</p></article>"
+        assert html_extraction.main_text(source, html_extraction.trained()) == "A title here\nThe rule says that x=2 holds for all rows. It goes on."
+
+
+def test_long_attributes_are_one_tag():
+    for quote in "\"'":
+        source = f"<article><h1>A title here</h1><p data-x={quote}{'a > b ' * 2000}{quote}>The text of the post is here. It goes on.</p></article>"
+        assert html_extraction.main_text(source, html_extraction.trained()) == "A title here\nThe text of the post is here. It goes on."
+
+
+def test_unclosed_quotes_take_linear_time():
+    for unit in ("<a \">\"", "<a '>", "<a \"'>", "<a x=\">' ", "<iframe>", "<option>", "<a "):
+        began = time.perf_counter()
+        html_extraction.Page(unit * 60_000)
+        assert time.perf_counter() - began < 10
+
+
 def test_broken_markup_ends():
     for source in ("<" * 2000, "<a href='" * 500, "<p" * 3000, "<div>" * 3000, "</p>" * 3000, "<!-- " * 100, "<script>" * 50):
         html_extraction.main_text(source, html_extraction.trained())
