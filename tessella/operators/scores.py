@@ -55,8 +55,11 @@ def cohen_d(df: DataFrame, region: str, group: str, value: str, a, b, log: bool
 def pairwise_covariance(df: DataFrame, columns: list[str]) -> DataFrame:
     """(i, j, n, cov) over the rows that have both values; means are over rows that have the one.
 
-    Partial sums of products are one aggregate; nothing is sent row by row.
+    Partial sums of products are one aggregate; nothing is sent row by row. Many columns
+    are too many expressions for one aggregate, so their partial sums are matrix products.
     """
+    if len(columns) > 16:
+        return _wide_covariance(df, columns)
     x = [F.col(f"`{c}`").cast("double") for c in columns]
     d = range(len(columns))
     sums = df.agg(
@@ -67,6 +70,36 @@ def pairwise_covariance(df: DataFrame, columns: list[str]) -> DataFrame:
     return sums.select(F.explode(F.array(*(cell(i, j) for i in d for j in d if i <= j))).alias("c")).select("c.*")
 
 
+def _wide_covariance(df: DataFrame, columns: list[str]) -> DataFrame:
+    import numpy as np
+    import pyarrow as pa
+
+    d = len(columns)
+    i, j = np.triu_indices(d)
+
+    def sums(batches):
+        s, n, m, odd = np.zeros((d, d)), np.zeros((d, d)), np.zeros(d), np.zeros((d, d), bool)
+        for b in batches:
+            there = np.column_stack([c.is_valid().to_numpy(zero_copy_only=False) for c in b.columns]).astype(float)
+            v = np.column_stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in b.columns])
+            m += v.sum(axis=0)
+            wrong = ~np.isfinite(v)
+            if wrong.any():  # NaN only where the other value is there too
+                odd |= wrong.T.astype(float) @ there > 0
+                v = np.where(wrong, 0.0, v)
+            s += v.T @ v
+            n += there.T @ there
+        s[odd | odd.T] = np.nan
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), pa.array(s[i, j]), pa.array(n[i, j].astype("int64")), pa.array(np.where(i == j, m[i], 0.0))], ["i", "j", "s", "n", "m"])
+
+    rows = df.select(*(F.col(f"`{c}`").cast("double").alias(f"c{k}") for k, c in enumerate(columns))).mapInArrow(sums, "i int, j int, s double, n long, m double")
+    cells = rows.groupBy("i", "j").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("m").alias("m"))
+    # the d means stand beside the cells as one array
+    means = cells.where("i = j").agg(F.map_from_entries(F.collect_list(F.struct("i", F.try_divide(F.col("m"), F.col("n").cast("double"))))).alias("means"))
+    mean = lambda k: F.col("means")[F.col(k)]
+    return cells.crossJoin(F.broadcast(means)).select("i", "j", "n", (F.try_divide(F.col("s"), F.col("n").cast("double")) - mean("i") * mean("j")).alias("cov"))
+
+
 def pca_from_cov(cov: DataFrame, d: int) -> DataFrame:
     """Eigenvalues and vectors of a d x d covariance, the largest first; one small matrix on the driver."""
     import numpy as np
@@ -293,12 +326,21 @@ def build_training_set(candidates: DataFrame, positives: list[DataFrame], negati
 
 def train_ensemble(df: DataFrame, n: int, features: str = "features", label: str = "label", key: str = "id", trees: int = 10) -> list:
     """Boosted trees on n repeatable halves."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
     from pyspark.ml.classification import GBTClassifier
 
     from tessella.operators.tables import unit_hash
 
     model = GBTClassifier(featuresCol=features, labelCol=label, maxIter=trees, stepSize=0.3, maxDepth=3, seed=1)
-    return [model.fit(df.where(unit_hash(key, seed=k) < 0.5)) for k in range(n)]
+    data = df.select(key, features, label).persist()
+    fit = lambda k: model.fit(data.where(unit_hash(key, seed=k) < 0.5))
+    try:
+        with ThreadPool(min(n, 8)) as pool:
+            return pool.map(inheritable_thread_target(df.sparkSession)(fit), range(n))
+    finally:
+        data.unpersist()
 
 
 def score_ensemble(df: DataFrame, models: list, key: str = "id") -> DataFrame:

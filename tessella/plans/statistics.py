@@ -26,14 +26,19 @@ def missing(t):
     return t.lineitem.select(F.when(F.col("l_linenumber") != 1, F.col("l_quantity")).alias("a"), F.when(F.col("l_linenumber") != 2, F.col("l_discount")).alias("b"), F.col("l_tax").alias("c"))
 
 
+def dimension(t):
+    """Components of the longest embedding."""
+    return t.embeddings.select(F.max(F.size("embedding"))).first()[0] or 0
+
+
 def embedding_columns(t, n):
-    return t.embeddings.select("vec_id", "label", *(F.col("embedding")[i].cast("double").alias(f"f{i}") for i in range(n)))
+    return t.embeddings.select("vec_id", "label", *(F.get("embedding", F.lit(i)).cast("double").alias(f"f{i}") for i in range(n)))
 
 
 @query("a28_pca")
 def _(t):
-    cols = [f"f{i}" for i in range(8)]
-    return rounded(K.pca_from_cov(K.pairwise_covariance(embedding_columns(t, 8), cols), 8), "eigenvalue", digits=6).select("component", "eigenvalue")
+    d = dimension(t)
+    return rounded(K.pca_from_cov(K.pairwise_covariance(embedding_columns(t, d), [f"f{i}" for i in range(d)]), d), "eigenvalue", digits=6).select("component", "eigenvalue")
 
 
 PATCH = "SELECT section AS patch, x, y, value, value % 3 AS channel, CASE WHEN value > 8000 THEN 1 ELSE 0 END AS v FROM pixels"
@@ -122,16 +127,16 @@ SELECT id, CASE WHEN id IN (SELECT id FROM q) THEN 1 ELSE 0 END AS label FROM c
     lambda t: K.build_training_set(t.detections.select("id", F.col("animal").alias("prep"), "section", "x", "y"), [t.pts.where(f"name = '{k}'") for k in "AR"], t.pts.where("name = 'N'"), t.pts.where("prep = 1 and section = 2"), 5, ["prep", "section"]).select("id", "label"))
 
 
-def vectors(t, n=8):
+def vectors(t):
     from pyspark.ml.functions import array_to_vector
 
-    return t.embeddings.select(F.col("vec_id").alias("id"), (F.col("label") % 2).cast("double").alias("label"), array_to_vector(F.slice(F.col("embedding").cast("array<double>"), 1, n)).alias("features"))
+    return t.embeddings.select(F.col("vec_id").alias("id"), (F.col("label") % 2).cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
 
 
 @query("d6_ensemble_scores")
 def _(t):
     v = vectors(t)
-    return rounded(K.score_stats(K.score_ensemble(v, K.train_ensemble(v, 3, trees=5))), "mean", "std", "median", "spread", digits=6)
+    return rounded(K.score_stats(K.score_ensemble(v, K.train_ensemble(v, 30))), "mean", "std", "median", "spread", digits=6)
 
 
-query("d7_kmeans_scan")(lambda t: rounded(K.kmeans_scan(vectors(t), [2, 3, 4], dim=8), "bic", "silhouette", digits=4))
+query("d7_kmeans_scan")(lambda t: rounded(K.kmeans_scan(vectors(t), [2, 3, 4], dim=dimension(t)), "bic", "silhouette", digits=4))

@@ -135,6 +135,34 @@ def test_rank_two_covariance(spark):
     assert values[1] > 1e-3 and all(abs(v) < 1e-9 for v in values[2:])
 
 
+def test_wide_covariance_with_missing_values(spark):
+    r = np.random.default_rng(4)
+    rows = [tuple(float(v) if r.random() < 0.8 else None for v in r.normal(size=20)) for _ in range(200)]
+    df = frame(spark, rows, ", ".join(f"c{i} double" for i in range(20)))
+    got = {(v["i"], v["j"]): (v["n"], v["cov"]) for v in scores.pairwise_covariance(df, df.columns).collect()}
+    x = np.array(rows, float)
+    assert len(got) == 20 * 21 // 2
+    for (i, j), (n, cov) in got.items():
+        both = x[:, i] * x[:, j]
+        assert n == np.isfinite(both).sum() and cov == pytest.approx(np.nanmean(both) - np.nanmean(x[:, i]) * np.nanmean(x[:, j]))
+
+
+def test_embedding_queries_use_all_components(spark, monkeypatch):
+    from tessella.plans import catalog, statistics
+
+    folder = "/root/testdata/sf0.001"
+    x = np.array([r[0] for r in spark.read.parquet(f"{folder}/embeddings.parquet").select("embedding").collect()], float)
+    values = np.array([v["eigenvalue"] for v in catalog.queries()["a28_pca"](spark, folder).orderBy("component").collect()])
+    assert np.allclose(values, np.linalg.eigvalsh(np.cov(x.T, bias=True))[::-1], atol=1e-5)
+    seen = {}
+    monkeypatch.setattr(statistics.K, "kmeans_scan", lambda df, ks, dim: seen.update(k=(df.first()["features"].size, dim)) or frame(spark, [(2, 0.0, 0.0)], "k int, bic double, silhouette double"))
+    monkeypatch.setattr(statistics.K, "train_ensemble", lambda df, n, **kw: seen.update(e=(df.first()["features"].size, n, kw)) or [])
+    monkeypatch.setattr(statistics.K, "score_ensemble", lambda df, models: frame(spark, [(1, 0, 0.5), (1, 1, 0.7)], "id long, model int, score double"))
+    catalog.queries()["d7_kmeans_scan"](spark, folder)
+    catalog.queries()["d6_ensemble_scores"](spark, folder)
+    assert seen == {"k": (x.shape[1], x.shape[1]), "e": (x.shape[1], 30, {})}
+
+
 def test_ks_of_equal_samples(spark):
     a = frame(spark, [(float(i % 50),) for i in range(500)], "v double")
     k = scores.ks_statistic(a, a).withColumn("p", scores.ks_p_value(F.col("gap"), F.col("n1"), F.col("n2"))).first()
