@@ -45,10 +45,10 @@ IP_RIGHT = rf"^{_PART}(?:\.{_PART}){{3}}$"
 
 #: Generators of candidates, by kind.
 GENERATORS = {
-    "email_spelt": r"(?<![\w.])[\w.+-]{2,64}\x20?[\[({]\x20?at\x20?[\])}]\x20?[\w-]{2,64}(?:\x20?[\[({]\x20?dot\x20?[\])}]\x20?[\w-]{2,32})+",
+    "email_spelt": r"(?<![\w.+-])[\w.+-]++\x20?[\[({]\x20?at\x20?[\])}]\x20?[\w-]++(?:\x20?[\[({]\x20?dot\x20?[\])}]\x20?[\w-]++)++",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "number": r"(?<![A-Za-z0-9.,])\(?[0-9]{2,19}\)?(?:[\x20./-]{1,2}[0-9]{2,6}){0,5}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{12,256}(?![A-Za-z0-9+/_-])",
+    "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}+",
 }
 #: Precision that a generator's threshold must reach on the calibration snippets.
 PRECISION = 0.98
@@ -257,13 +257,13 @@ def fitted(spark: SparkSession) -> tuple[dict, dict]:
 
 
 def added_spans(text: Column, kind: str, model: tuple[dict, dict], base: list[Column]) -> Column:
-    """The generator's selected spans that touch no base span."""
+    """The generator's selected spans that no base span covers."""
     forests, thresholds = model
 
     def selected(s: Column) -> Column:
         free = F.lit(True)
         for b in base:
-            free = free & ~F.exists(b, lambda o: (o["start"] < s["end"]) & (s["start"] < o["end"]))
+            free = free & ~F.exists(b, lambda o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]))
         return free & (let(F.array(*features(text, s)), lambda x: boosting.expression(forests[kind], [F.get(x, F.lit(i)) for i in range(len(FEATURES))])) >= thresholds[kind])
 
     return F.filter(matches(text, GENERATORS[kind]), selected)

@@ -384,6 +384,20 @@ def test_added_spans_and_redaction(spark, awkward):
     assert collections.Counter(map(tuple, clean.collect())) == collections.Counter(map(tuple, awkward.collect()))
 
 
+def test_long_secrets_short_names_and_accounts_around_cards(spark):
+    r = random.Random(5)
+    key = lambda n: "".join(r.choice("ABCDEFGHabcdefgh0123456789") for _ in range(n - 1)) + "7"
+    account = next(f"GB29 NWBK 6016 1331 9268 {k:02d}" for k in range(100) if luhn(f"601613319268{k:02d}"))
+    rows = [
+        (f"token = {key(342)} now", "token = [secret] now"), (f"token = {key(5000)} now", "token = [secret] now"),
+        ("write to j [at] site [dot] com now", "write to [email_spelt] now"), (f"mail {'a' * 100} [at] site [dot] com now", "mail [email_spelt] now"),
+        (f"IBAN {account} is open", "IBAN [account] is open"), (f"IBAN {account.replace(' ', '')} is open", "IBAN [account] is open"),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [want for _, want in rows]
+
+
 def test_snippets_are_told_apart(spark):
     _, thresholds = pii.fitted(spark)
     assert all(np.isfinite(v) for v in thresholds.values())
