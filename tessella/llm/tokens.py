@@ -6,7 +6,8 @@ once, and the pieces' ids are put together again. A piece of letters and
 punctuation after them is two words of the vocabulary's own splitting: the
 library's model encodes the letters, once for all punctuation. Other pieces go
 through the whole tokenizer, and so do texts in which white space follows white
-space.
+space or that hold an added token such as the end of a text, which the library
+takes out of a text before all else.
 """
 
 from __future__ import annotations
@@ -47,9 +48,7 @@ def _load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(path)
 
 
 class Encoder:
@@ -58,6 +57,8 @@ class Encoder:
     def __init__(self, path: str):
         self.tokenizer = _load(path)
         self.model = self.tokenizer.model
+        added = [re.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)")
         self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.old_pieces: dict[str, bytes] = {}
@@ -109,7 +110,7 @@ class Encoder:
         cut, whole = {}, []
         for t in dict.fromkeys(texts):
             parts = t.replace("\n", " \n").split(" ")
-            if "" in parts or "\n" in parts or _RARE.search(t):
+            if "" in parts or "\n" in parts or _RARE.search(t) or self.added.search(t):
                 whole.append(t)
             else:
                 cut[t] = parts

@@ -71,6 +71,18 @@ def test_pieces_give_the_tokenizers_ids():
     assert coder.encode(texts) == coder._whole(texts)
 
 
+def test_ids_are_those_of_a_plainly_loaded_tokenizer():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(default_path())
+    r = random.Random(2)
+    parts = [" ", "\n", "a", "Word", "don't", ",", "12", "日本", "<|endoftext|>", "<|end", "oftext|>"]
+    texts = ["<|endoftext|>", "a <|endoftext|> b", *("".join(r.choice(parts) for _ in range(r.randint(0, 10))) for _ in range(2000))]
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder(default_path()).encode(texts)]
+    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[0] == [plain.token_to_id("<|endoftext|>")]
+
+
 # --- sharding -----------------------------------------------------------------------------
 
 
