@@ -49,6 +49,15 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes that Spark hands to a Python worker at a time.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the batches of this session's Python stages by bytes; rows of texts are of very different lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once a row, also inside lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)
@@ -106,6 +115,15 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+def segment_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray = _BYTES) -> np.ndarray:
+    """Hashes of the bytes from each start to its end; ``values`` has a number for each byte."""
+    power, inverse = _power_table(len(data) + 1)
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(values[data] * power[:-1], out=total[1:])
+        return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
 def word_hashes(texts: list[str], alnum: bool = False, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, one after another, and the words a text has.
 
@@ -118,11 +136,7 @@ def word_hashes(texts: list[str], alnum: bool = False, lower: bool = True) -> tu
     gap = (_NOT_ALNUM if alnum else _SPACE)[data]
     edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     start, end = edge[0::2], edge[1::2]
-    power, inverse = _power_table(len(data) + 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((_LOWERED if lower else _BYTES)[data] * power[:-1], out=total[1:])
-        hashed = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    hashed = segment_hashes(data, start, end, _LOWERED if lower else _BYTES)
     ends = np.cumsum([len(r) + 1 for r in raw])
     counts = np.diff(np.searchsorted(start, ends, side="right"), prepend=0) if raw else np.zeros(0, np.int64)
     return hashed, counts

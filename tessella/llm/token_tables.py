@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import chunks, documents, fresh_path, id_text
+from tessella.llm.common import chunks, documents, fresh_path, id_text, small_batches
 from tessella.llm.tokens import default_path, encoder
 
 LAYOUT = {
@@ -40,15 +40,14 @@ SCHEMA = "doc_id long, part int, file_start long, n_tokens long, tokens array<in
 
 def _encode(vocabulary: str, end_id: int):
     def run(batches):
-        part, coder, end, so_far = TaskContext.get().partitionId(), encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
+        part, coder, so_far = TaskContext.get().partitionId(), encoder(vocabulary), 0
         for frame in chunks((b.to_pandas() for b in batches), "text"):
-            ids = [x + end for x in coder.encode(frame["text"].tolist())]
-            size = np.array([len(x) // 4 for x in ids], np.int64)
+            ids, size = coder.encode_with_end(frame["text"].tolist(), end_id)
             running = so_far + np.cumsum(size)
             edges = np.append(0, np.cumsum(size)).astype(np.int32)
-            tokens = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
+            tokens = pa.ListArray.from_arrays(pa.array(edges), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(frame["doc_id"], pa.string()), pa.array(np.full(len(ids), part, np.int32)), pa.array(running - size), pa.array(size), tokens],
+                [pa.array(frame["doc_id"], pa.string()), pa.array(np.full(len(size), part, np.int32)), pa.array(running - size), pa.array(size), tokens],
                 ["doc_id", "part", "file_start", "n_tokens", "tokens"],
             )
             so_far = int(running[-1])
@@ -58,6 +57,7 @@ def _encode(vocabulary: str, end_id: int):
 
 def write_token_table(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 0) -> None:
     """Write the ids of ``docs`` (doc_id, text) in ascending doc_id order."""
+    small_batches(docs.sparkSession)
     keys = (F.col("doc_id"), F.col("__hash"), F.col("__row"))
     (
         docs.select(
@@ -85,6 +85,43 @@ def read_token_table(spark: SparkSession, path: str) -> DataFrame:
     return stored.join(starts, "part").select("doc_id", (F.col("part_start") + F.col("file_start")).alias("start"), "n_tokens", "tokens")
 
 
+def read_documents(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """doc_id, n_tokens and tokens of the documents with ids from ``first`` to ``last``.
+
+    The bounds reach the scan, and since the table is ordered by id, row groups
+    and pages outside them are skipped.
+    """
+    stored = spark.read.schema(SCHEMA).parquet(path)
+    return stored.where(F.col("doc_id").between(first, last)).select("doc_id", "n_tokens", "tokens")
+
+
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """doc_id and n_tokens; the token column is not read."""
+    return spark.read.schema(SCHEMA).parquet(path).select("doc_id", "n_tokens")
+
+
+def read_tokens(spark: SparkSession, path: str, start: int, length: int) -> DataFrame:
+    """doc_id, start (as in ``read_token_table``) and the ids that lie in [start, start + length) of all ids.
+
+    Parts whose ids lie elsewhere are told by one pass over two small columns;
+    of the others, bounds on ``file_start`` reach the scan.
+    """
+    stored = spark.read.schema(SCHEMA).parquet(path)
+    totals = stored.groupBy("part").agg(F.sum("n_tokens").alias("size"))
+    before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    inside = totals.select("part", "size", before.alias("base")).where((F.col("base") < start + length) & (F.col("base") + F.col("size") > start))
+    found = None
+    for r in inside.collect():  # the parts that the range touches
+        part = stored.where((F.col("part") == r["part"]) & (F.col("file_start") < start + length - r["base"]) & (F.col("file_start") + F.col("n_tokens") > start - r["base"]))
+        part = part.withColumn("start", F.col("file_start") + r["base"])
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = stored.limit(0).withColumn("start", F.col("file_start"))
+    skip = F.greatest(F.lit(start) - F.col("start"), F.lit(0)).cast("int")
+    until = F.least(F.lit(start + length) - F.col("start"), F.col("n_tokens")).cast("int")
+    return found.select("doc_id", (F.col("start") + skip).alias("start"), F.slice("tokens", skip + 1, until - skip).alias("tokens"))
+
+
 def _crc(batches):
     for b in batches:
         lists = b.column("tokens")

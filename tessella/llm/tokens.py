@@ -1,38 +1,57 @@
 """Token ids of texts by a public byte-level vocabulary, through the tokenizers library.
 
-Such a vocabulary never merges across the start of a single blank or line end
-between other characters, so a text is cut there, each distinct piece is encoded
-once, and the pieces' ids are put together again. A piece of letters and
-punctuation after them is two words of the vocabulary's own splitting: the
-library's model encodes the letters, once for all punctuation. Other pieces go
-through the whole tokenizer, and so do texts in which white space follows white
-space or that hold an added token such as the end of a text, which the library
-takes out of a text before all else.
+Such a vocabulary never merges across the start of a white space character that
+stands before another character, so texts are cut there, each distinct piece is
+encoded once, and the pieces' ids are put together again. Cutting, looking up
+and putting together are array operations over all texts of a batch. New pieces
+of Latin, Greek or Cyrillic letters and punctuation after them go through the
+library's model in one call, already written in its byte letters; other pieces
+go through the whole tokenizer. So do texts that begin with white space, that
+hold rare white space or control characters, or an added token such as the end
+of a text, which the library takes out of a text before all else.
+
+Pieces are known by 64-bit hashes: two of the pieces that a worker remembers at
+a time share one with a probability below 1e-7.
 """
 
 from __future__ import annotations
 
 import re
-import struct
 from functools import lru_cache
 
 import numpy as np
 
-#: Distinct pieces, and words of letters, of a generation; a Python worker keeps two of them.
-KEPT = 300_000
-#: White space other than blank and line end, and characters on whose class libraries differ.
+from tessella.llm.common import segment_hashes
+
+#: Distinct pieces that a Python worker remembers; beyond that it keeps the last batch's.
+KEPT = 1_000_000
+#: White space other than blank and line end, and control characters on whose class libraries differ.
 _RARE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
-_PUNCTUATION = ".,;:!?%&$#*|\"'()-"
+#: Letters beyond ASCII that every library's tables know as such.
+_OLD_LETTERS = "\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ʯΑ-ΡΣ-ώЀ-ҁ"
+_PUNCTUATION = b".,;:!?%&$#*|\"'()-"
 
 
-def _byte_letters() -> dict[int, str]:
+def _byte_letters() -> np.ndarray:
     """The letter by which byte-level vocabularies write each byte: itself if printable, else one from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in plain]
-    return {b: chr(256 + i) for i, b in enumerate(others)}
+    out = np.arange(256, dtype="<u4")
+    out[[b for b in range(256) if b not in plain]] = 256 + np.arange(256 - len(plain))
+    return out
+
+
+def _two_byte_letters() -> np.ndarray:
+    """Of each code point below 2048: whether it is one of the letters beyond ASCII."""
+    letter = re.compile(f"[{_OLD_LETTERS}]")
+    return np.array([c >= 128 and bool(letter.match(chr(c))) for c in range(2048)])
 
 
-_LETTERS = _byte_letters()
+_WRITTEN = _byte_letters()
+_TWO_BYTES = _two_byte_letters()
+#: Classes of bytes: 1 letter, 2 punctuation, 0 anything else; bytes from 128 on are looked at in pairs.
+_CLASS = np.zeros(256, np.int8)
+_CLASS[[*range(65, 91), *range(97, 123)]] = 1
+_CLASS[list(_PUNCTUATION)] = 2
 
 
 def default_path() -> str:
@@ -51,82 +70,135 @@ def _load(path: str):
     return Tokenizer.from_file(path)
 
 
+def _ragged(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0]+1, ... (size[0] numbers), first[1], ... as one array."""
+    before = np.cumsum(size) - size
+    return np.repeat(first - before, size) + np.arange(int(size.sum()))
+
+
 class Encoder:
-    """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
+    """``encode(texts)`` gives the ids of all texts, one after another, and how many each has."""
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import CharDelimiterSplit
+
         self.tokenizer = _load(path)
-        self.model = self.tokenizer.model
+        self.model = Tokenizer(self.tokenizer.model)  # takes words in byte letters, one a line
+        self.model.pre_tokenizer = CharDelimiterSplit("\n")
+        vocabulary = self.tokenizer.get_vocab()
+        blank, line = (chr(int(_WRITTEN[c])) for c in b" \n")
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that only a piece's start can have
+        self.opens[[i for t, i in vocabulary.items() if t.startswith(blank) or t == line]] = True
+        self.lead = vocabulary[line]
         added = [re.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("|".join(added) or "(?!)")
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.old_pieces: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {"": b""}
-        self.line_end = self._whole(["\n"])[0]
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def _word(self, word: str) -> bytes:
-        """Ids of letters, with or without a blank before them."""
-        found = self.words.get(word)
-        if found is None:
-            found = self.old_words.get(word)
-        if found is None:
-            written = word.encode().decode("latin-1").translate(_LETTERS)
-            ids = [x.id for x in self.model.tokenize(written)]
-            found = struct.pack(f"<{len(ids)}I", *ids)
-        self.words[word] = found
-        return found
-
-    def _add(self, wanted: set[str], lead: str, key: str) -> None:
-        """Learn the pieces that aren't known; ``lead`` is what stood before them unless it is a line end, ``key`` marks those without a blank."""
-        rest, known, old = [], self.pieces, self.old_pieces
-        for piece in wanted:
-            if key + piece in known:
-                continue
-            if key + piece in old:
-                known[key + piece] = old[key + piece]
-                continue
-            stem = piece.rstrip(_PUNCTUATION)
-            mark = piece[len(stem) :]
-            if stem.isalpha() and len(mark) < 8:
-                ids = self._word(lead + stem)
-            elif stem[1:].isalpha() and stem[0] == "\n" and len(mark) < 8:
-                ids = self.line_end + self._word(stem[1:])
-            else:
-                rest.append(piece)
-                continue
-            if mark not in self.marks:
-                self.marks[mark] = self._whole([mark])[0]
-            known[key + piece] = ids + self.marks[mark]
-        found = self._whole([x if x[:1] == "\n" else lead + x for x in rest])
-        self.pieces.update((key + x, ids) for x, ids in zip(rest, found))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut, whole = {}, []
-        for t in dict.fromkeys(texts):
-            parts = t.replace("\n", " \n").split(" ")
-            if "" in parts or "\n" in parts or _RARE.search(t) or self.added.search(t):
-                whole.append(t)
-            else:
-                cut[t] = parts
-        done = dict(zip(whole, self._whole(whole)))
-        if len(self.words) > KEPT:
-            self.old_words, self.words = self.words, {}
-        if len(self.marks) > 10_000:
-            self.marks = {"": b""}
-        if len(self.pieces) > KEPT:
-            self.old_pieces, self.pieces = self.pieces, {}
-        self._add({p[0] for p in cut.values()}, "", "\0")
-        self._add(set().union(*(p[1:] for p in cut.values())), " ", "")
-        pieces = self.pieces
-        for t, p in cut.items():
-            done[t] = pieces["\0" + p[0]] + b"".join(map(pieces.__getitem__, p[1:]))
-        return [done[t] for t in texts]
+        self.keys, self.ids = np.zeros(0, np.uint64), np.zeros(0, "<u4")
+        self.size, self.first = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    # --- what is remembered: sorted hashes, and where in ``ids`` each piece's are
+
+    def _remember(self, keys: np.ndarray, ids: np.ndarray, first: np.ndarray, size: np.ndarray) -> None:
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.size, self.first = (np.insert(a, at, b) for a, b in ((self.keys, keys), (self.size, size), (self.first, first + len(self.ids))))
+        self.ids = np.append(self.ids, ids)
+
+    def _keep(self, at: np.ndarray) -> None:
+        """Forget all pieces but these."""
+        size = self.size[at]
+        self.ids = self.ids[_ragged(self.first[at], size)]
+        self.keys, self.size, self.first = self.keys[at], size, np.cumsum(size) - size
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    # --- new pieces
+
+    def _learn(self, data: np.ndarray, first: np.ndarray, size: np.ndarray, blanks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of pieces of ``data``, where each piece's begin and how many it has; ``blanks``: pieces of white space alone."""
+        raw = data[_ragged(first, size)]
+        begin = np.cumsum(size) - size
+        kind = _CLASS[raw]
+        high = np.flatnonzero((raw >= 0xC2) & (raw < 0xE0))
+        pair = high[_TWO_BYTES[((raw[high].astype(np.int64) & 31) << 6) | (raw[high + 1] & 63)]] if len(high) else high
+        kind[pair] = kind[pair + 1] = 1
+        kind[begin] = 3
+        # plain: letters, then punctuation, and nothing else
+        wrong = (kind == 0).astype(np.int32)
+        wrong[1:] += (kind[1:] == 1) & (kind[:-1] == 2)
+        wrong[begin] += np.append(kind, 0)[begin + 1] != 1
+        plain = (np.add.reduceat(wrong, begin) == 0) & ~blanks
+
+        found, at_id, n_ids = [], np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
+        chosen, rest = np.flatnonzero(plain), np.flatnonzero(~plain)
+        if len(chosen):
+            at = _ragged(begin[chosen], size[chosen])
+            text, kind = raw[at], kind[at]
+            start = np.cumsum(size[chosen]) - size[chosen]
+            mark = np.flatnonzero((kind[1:] == 2) & (kind[:-1] == 1)) + 1
+            after_line = start[text[start] == 10] + 1
+            lines = np.insert(_WRITTEN[text], np.concatenate([start[1:], mark, after_line]), 10)
+            ids = np.array(self.model.encode_batch_fast([lines.tobytes().decode("utf-32-le")], add_special_tokens=False)[0].ids, "<u4")
+            at_id[chosen] = edge = np.flatnonzero(self.opens[ids])
+            n_ids[chosen] = np.diff(np.append(edge, len(ids)))
+            found.append(ids)
+        if len(rest):
+            texts = [raw[a : a + n] for a, n in zip(begin[rest], size[rest])]
+            spaces = [_WRITTEN[t].tobytes().decode("utf-32-le") for t, b in zip(texts, blanks[rest]) if b]
+            spaces = iter([x.ids for x in self.model.encode_batch_fast(spaces, add_special_tokens=False)])
+            others = iter([x.ids for x in self.tokenizer.encode_batch_fast([t.tobytes().decode() for t, b in zip(texts, blanks[rest]) if not b], add_special_tokens=False)])
+            lists = [next(spaces if b else others) for b in blanks[rest]]
+            n_ids[rest] = n = np.array([len(x) for x in lists])
+            at_id[rest] = sum(map(len, found)) + np.cumsum(n) - n
+            found.append(np.array([i for x in lists for i in x], "<u4"))
+        return np.concatenate(found), at_id, n_ids
+
+    # --- texts
+
+    def _by_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that neither are empty nor begin with white space."""
+        raw = [t.encode() for t in texts]
+        data = np.frombuffer(b"\n" + b"\n".join(raw), np.uint8)
+        text_size = np.array([len(x) + 1 for x in raw])
+        text_start = np.zeros(len(data) + 1, bool)
+        text_start[np.cumsum(text_size) - text_size] = text_start[-1] = True
+        space = np.append((data == 32) | (data == 10), True)
+        before_word = space[:-1] & ~space[1:]
+        run_start = space[:-1] & (text_start[:-1] | ~np.append(True, space[:-2]))
+        start = np.flatnonzero(before_word | run_start)
+        size = np.diff(np.append(start, len(data)))
+        keys, one, each = np.unique(segment_hashes(data, start, start + size), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, keys)
+        new = np.flatnonzero(np.append(self.keys, np.uint64(0))[at] != keys) if len(self.keys) else np.arange(len(keys))
+        if len(new):
+            self._remember(keys[new], *self._learn(data, start[one[new]], size[one[new]], ~before_word[start[one[new]]]))
+            at = np.searchsorted(self.keys, keys)
+        first, n = self.first[at][each], self.size[at][each]
+        head = text_start[start]  # the line end that stands before each text goes again
+        first, n = first + head, n - head
+        out = self.ids[_ragged(first, n)]
+        if len(self.keys) > KEPT:
+            self._keep(at)
+        return out, np.add.reduceat(n, np.flatnonzero(head))
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        whole = np.array([t[:1] in " \n" or bool(_RARE.search(t)) or bool(self.added.search(t)) for t in texts], bool)
+        if not whole.any():
+            return self._by_pieces(texts) if texts else (np.zeros(0, "<u4"), np.zeros(0, np.int64))
+        out: list[np.ndarray] = [None] * len(texts)
+        plain, rest = np.flatnonzero(~whole), np.flatnonzero(whole)
+        if len(plain):
+            ids, n = self._by_pieces([texts[i] for i in plain])
+            for i, x in zip(plain, np.split(ids, np.cumsum(n)[:-1])):
+                out[i] = x
+        for i, x in zip(rest, self._whole([texts[i] for i in rest])):
+            out[i] = x
+        return np.concatenate(out), np.array([len(x) for x in out], np.int64)
+
+    def encode_with_end(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, with ``end_id`` after each text's ids."""
+        ids, n = self.encode(texts)
+        return np.insert(ids, np.cumsum(n), end_id), n + 1
 
 
 @lru_cache(maxsize=4)

@@ -52,8 +52,17 @@ def nothing(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def plain_tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(default_path())
+
+
+PLAIN_TOKENIZER = plain_tokenizer()
+
+
 def ids(text, end):
-    return [*encoder(default_path()).tokenizer.encode(text or "", add_special_tokens=False).ids, end]
+    return [*PLAIN_TOKENIZER.encode(text or "", add_special_tokens=False).ids, end]
 
 
 def crc(values):
@@ -63,24 +72,36 @@ def crc(values):
 # --- tokens -------------------------------------------------------------------------------
 
 
-def test_pieces_give_the_tokenizers_ids():
-    r = random.Random(1)
-    parts = [" ", "  ", "\n", "\t", "\r", "a", "Word", "ß", "日本", "'s", "don't", ",", "...", "12", "\x1c", "\xa0", "　", "🙂", "<|endoftext|>"]
-    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(3000)] + [t or "" for _, t, *_ in awkward_rows()]
-    coder = encoder(default_path())
-    assert coder.encode(texts) == coder._whole(texts)
+def encoded(texts):
+    found, n = encoder(default_path()).encode(texts)
+    return [x.tolist() for x in np.split(found, np.cumsum(n)[:-1])]
 
 
-def test_ids_are_those_of_a_plainly_loaded_tokenizer():
-    from tokenizers import Tokenizer
+@pytest.mark.parametrize("seed", range(4))
+def test_ids_are_those_of_a_plainly_loaded_tokenizer(seed):
+    r = random.Random(seed)
+    parts = [
+        " ", " ", "  ", "\n", "\n\n", "\t", "\r", "a", "Word", "ß", "×", "ΣΑΣ", "жук", "日本", "'s", "don't", "'", ",", "...", "!!", "12", "x1", "\x1c", "\xa0", "\u3000", "🙂",
+        "<|endoftext|>", "<|end", "oftext|>", "\x7f", "ﬁ", "é", "e\u0301", "(a)", "_b_", "§",
+    ]
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(0, 12))) for _ in range(3000)] + [t or "" for _, t, *_ in awkward_rows()] + ["<|endoftext|>", "a <|endoftext|> b"]
+    assert encoded(texts) == [PLAIN_TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_ids_of_every_byte_of_a_letter_range():
+    texts = [f"a {chr(c)}b, {chr(c)} c\n{chr(c)}. x{chr(c)}{chr(c)}" for c in [*range(33, 0x530), 0x1E00, 0x2019, 0x2C7F, 0xA722, 0x1DF00]]
+    assert encoded(texts) == [PLAIN_TOKENIZER.encode(t, add_special_tokens=False).ids for t in texts]
+
 
-    plain = Tokenizer.from_file(default_path())
-    r = random.Random(2)
-    parts = [" ", "\n", "a", "Word", "don't", ",", "12", "日本", "<|endoftext|>", "<|end", "oftext|>"]
-    texts = ["<|endoftext|>", "a <|endoftext|> b", *("".join(r.choice(parts) for _ in range(r.randint(0, 10))) for _ in range(2000))]
-    got = [np.frombuffer(x, "<u4").tolist() for x in encoder(default_path()).encode(texts)]
-    assert got == [plain.encode(t, add_special_tokens=False).ids for t in texts]
-    assert got[0] == [plain.token_to_id("<|endoftext|>")]
+def test_forgotten_pieces_are_learned_again(monkeypatch):
+    from tessella.llm import tokens
+
+    monkeypatch.setattr(tokens, "KEPT", 20)
+    coder = tokens.Encoder(default_path())
+    for seed in range(6):
+        texts = [prose(30, seed), "", prose(3, seed + 50)]
+        found, n = coder.encode_with_end(texts, 7)
+        assert found.tolist() == [i for t in texts for i in ids(t, 7)] and n.tolist() == [len(ids(t, 7)) for t in texts]
 
 
 # --- sharding -----------------------------------------------------------------------------
@@ -120,6 +141,7 @@ def test_packing_keeps_every_token_once(awkward):
         sequences[p["sequence_id"]].append((p["offset"], p["length"], p["window"]))
     tokens = collections.Counter(v for _, t, *_ in awkward_rows() for v in ids(t, 1))
     assert collections.Counter(np.frombuffer(b"".join(p["ids"] for p in pieces), "<u4").tolist()) == tokens
+    assert sorted(sequences) == list(range(len(sequences)))
     partial = 0
     for parts in sequences.values():
         parts.sort()
@@ -130,6 +152,40 @@ def test_packing_keeps_every_token_once(awkward):
     assert partial <= 1
 
 
+def test_documents_are_packed_whole_and_steps_are_balanced(spark):
+    r = random.Random(4)
+    docs = spark.createDataFrame([(i, prose(int(r.lognormvariate(4, 1)) + 1, i)) for i in range(1500)], "doc_id long, text string").repartition(3)
+    pieces = packing.pack(docs, step_tokens=20_000).toPandas()
+    by_doc = pieces.groupby("doc_id").agg(n=("length", "size"), tokens=("doc_tokens", "first"))
+    assert (by_doc["n"] > -(-by_doc["tokens"] // 2048)).mean() < 0.05
+    sequences = pieces.groupby("sequence_id").agg(tokens=("length", "sum"), window=("window", "first"), step=("step_id", "first"))
+    assert set(sequences["window"]) == set(packing.TIERS)
+    # a gap of a long window holds documents of shorter tiers
+    tier = pieces["doc_tokens"].map(lambda n: min([w for w in packing.TIERS if w >= n], default=2048))
+    assert ((tier < pieces["window"]) & (pieces["window"] == 2048)).sum() > 10
+    load = sequences.groupby("step")["tokens"].sum()
+    assert len(load) > 5 and load.max() - load.min() <= 2 * sum(packing.TIERS)
+    work = sequences.assign(w=sequences["window"] ** 2).groupby("step")["w"].sum()
+    assert work.max() - work.min() <= 2 * sum(w * w for w in packing.TIERS)
+
+
+@pytest.mark.parametrize("sizes", [[], [5], [2048, 4096, 1], [700] * 50, [1025] * 40, list(range(1, 400)), [100_000, 3]])
+def test_blocks_are_packed_to_the_last_token(sizes):
+    found, windows, left = packing.pack_block(sizes, packing.TIERS)
+    inside, pieces = collections.defaultdict(list), collections.defaultdict(list)
+    for document, start, length, tier, number, offset in found:
+        inside[tier, number].append((offset, length))
+        pieces[document].append((start, length))
+    for (tier, number), parts in inside.items():
+        parts.sort()
+        assert [o for o, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) == (left if tier < 0 else packing.TIERS[tier]) and (tier < 0 or number < windows[tier])
+    assert left < 2048 and len(pieces) == len(sizes)
+    for document, parts in pieces.items():
+        parts.sort()
+        assert [s for s, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))] and sum(n for _, n in parts) == sizes[document]
+
+
 def test_pieces_lie_where_they_say(awkward):
     by_text = {t: ids(t, 1) for _, t, *_ in awkward_rows()}
     for p in packing.digest(packing.pack(awkward)).collect():
@@ -152,6 +208,46 @@ def test_token_table_round_trip(spark, awkward):
     assert collections.Counter((r["doc_id"], tuple(r["tokens"])) for r in got) == want
 
 
+def test_token_table_is_the_plain_tokenizers(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
+    want, at = {}, 0
+    for r in docs:
+        mine = ids(r["text"], 0)
+        want[r["doc_id"]] = (at, len(mine), crc(mine))
+        at += len(mine)
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in token_tables.op8_token_table(spark, SF).collect()} == want
+
+
+def test_selective_reads_skip_pages_and_columns(spark):
+    import pyarrow.parquet as pq
+
+    docs = spark.createDataFrame([(i, prose(12, i)) for i in range(9000)], "doc_id long, text string")
+    path = fresh_path(spark, "table")
+    token_tables.write_token_table(docs.repartition(2), path)
+    every = token_tables.read_token_table(spark, path).orderBy("start").collect()
+    some = token_tables.read_documents(spark, path, 4000, 4009)
+    assert [(r["doc_id"], r["tokens"]) for r in some.orderBy("doc_id").collect()] == [(r["doc_id"], r["tokens"]) for r in every if 4000 <= r["doc_id"] <= 4009]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(doc_id), GreaterThanOrEqual(doc_id,4000), LessThanOrEqual(doc_id,4009)]" in plan
+    assert "ReadSchema: struct<doc_id:bigint,n_tokens:bigint>" in token_tables.read_metadata(spark, path)._jdf.queryExecution().executedPlan().toString()
+    # the scan returns the pages that may have these ids, not the table
+    jdf = some.select("doc_id", "tokens")._jdf
+    executed = jdf.queryExecution().executedPlan()
+    jdf.queryExecution().toRdd().count()
+    assert 10 <= executed.collectLeaves().head().metrics().apply("numOutputRows").value() <= 4000
+    for name in ("doc_id", "n_tokens", "tokens"):
+        for file in __import__("glob").glob(path.removeprefix("file://") + "/*.parquet"):
+            group = pq.ParquetFile(file).metadata.row_group(0)
+            column = next(group.column(i) for i in range(group.num_columns) if group.column(i).path_in_schema.startswith(name))
+            assert column.has_offset_index and column.has_column_index
+            assert any("DICTIONARY" in e for e in column.encodings) if name == "tokens" else "DELTA_BINARY_PACKED" in column.encodings
+    start, length = every[100]["start"] + 3, every[140]["start"] - every[100]["start"]
+    flat = [i for r in every for i in r["tokens"]]
+    part = token_tables.read_tokens(spark, path, start, length).orderBy("start").collect()
+    assert [i for r in part for i in r["tokens"]] == flat[start : start + length] and part[0]["start"] == start
+    assert token_tables.read_tokens(spark, path, len(flat), 5).count() == 0
+
+
 def test_empty_token_table(spark, nothing):
     path = fresh_path(spark, "table")
     token_tables.write_token_table(nothing, path)
