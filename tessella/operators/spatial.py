@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions.columns import divided
 from tessella.functions.session import stored
+from tessella.operators import graphs
 
 
 def _cells(axes: list[str], d: float) -> list[Column]:
@@ -66,22 +67,8 @@ def nearest_in_tile(queries: DataFrame, candidates: DataFrame, keys: list[str],
 
 
 def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
-    """(node, comp): the smallest node of each connected component of ``edges`` (a, b).
-
-    Labels fall to the neighbours' smallest one and then to that one's own, so
-    the rounds grow with the logarithm of the longest chain. Each round is
-    written to the shared folder. ``nodes`` adds those without edges.
-    """
-    both = stored(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "edges")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("comp")), "labels")
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "comp"), "b").groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("near"))
-        hooked = stored(labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("next")), "hooked")
-        follow = hooked.select(F.col("node").alias("next"), F.col("next").alias("jump"))
-        moved = stored(hooked.join(follow, "next").select("node", "comp", F.col("jump").alias("next")), "labels")
-        labels = moved.select("node", F.col("next").alias("comp"))
-        if not moved.where("next <> comp").limit(1).count():
-            break
+    """(node, comp): the smallest node of each connected component of ``edges`` (a, b); ``nodes`` adds those without edges."""
+    labels = graphs.components(edges)
     if nodes is None:
         return labels
     return nodes.join(labels, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))

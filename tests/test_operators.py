@@ -1,5 +1,6 @@
 """Operators against loops and hand-made truths where SQL has no say."""
 
+import collections
 import math
 import random
 
@@ -7,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessella.operators import hierarchy, scores, spatial, tables, transforms, voxels
+from tessella.functions.session import stored
+from tessella.operators import graphs, hierarchy, scores, spatial, tables, transforms, voxels
 from tessella.sources import files
 
 
@@ -66,6 +68,24 @@ def test_components_of_a_long_chain(spark):
     assert found == {i: i // 20 * 20 for i in range(60)}
 
 
+@pytest.mark.parametrize("alone", [0, graphs.ALONE])
+def test_components_of_a_shuffled_path_take_few_rounds(spark, alone, monkeypatch):
+    n, order, written = 10_000, np.random.default_rng(3).permutation(10_000).tolist(), []
+    monkeypatch.setattr(graphs, "stored", lambda df, tag: written.append(tag) or stored(df, tag))
+    edges = frame(spark, [(order[i], order[i + 1]) for i in range(n - 1) if i != n // 2] + [(7, 7)], "a long, b long")
+    found = {r["node"]: r["comp"] for r in graphs.components(edges, alone).collect()}
+    halves = [order[: n // 2 + 1], order[n // 2 + 1 :]]
+    assert found == {x: min(h) for h in halves for x in h}
+    assert written.count("small-stars") <= 16
+
+
+def test_components_of_words_and_a_star(spark):
+    edges = frame(spark, [("hub", f"leaf{i}") for i in range(3000)] + [("a", None), ("x", "y"), ("y", "x")], "a string, b string")
+    for alone in (0, graphs.ALONE):
+        found = collections.Counter(r["comp"] for r in graphs.components(edges, alone).collect())
+        assert found == {"hub": 3001, "x": 2}
+
+
 def test_components_of_nothing(spark):
     edges = frame(spark, [], "a long, b long")
     nodes = frame(spark, [(1,), (2,)], "node long")
