@@ -102,6 +102,9 @@ _NOT_ALNUM[:128] = True
 for _a, _b in ((48, 58), (65, 91), (97, 123)):
     _NOT_ALNUM[_a:_b] = False
 
+#: Bytes that are hashed at a time.
+HASH_BLOCK = 1 << 19
+
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -116,12 +119,22 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def segment_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, values: np.ndarray = _BYTES) -> np.ndarray:
-    """Hashes of the bytes from each start to its end; ``values`` has a number for each byte."""
-    power, inverse = _power_table(len(data) + 1)
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(values[data] * power[:-1], out=total[1:])
-        return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    """Hashes of the bytes from each start to its end, starts rising; ``values`` has a number for each byte.
+
+    Block by block, so that memory doesn't follow the length of ``data``.
+    """
+    out = np.empty(len(start), np.uint64)
+    edges = np.searchsorted(start, np.arange(0, len(data) + HASH_BLOCK, HASH_BLOCK))
+    for i, j in zip(edges, edges[1:]):
+        if i == j:
+            continue
+        low, high = int(start[i]), int(end[i:j].max())
+        power, inverse = _power_table(high - low + 1)
+        with np.errstate(over="ignore"):
+            total = np.zeros(high - low + 1, np.uint64)
+            np.cumsum(values[data[low:high]] * power[:-1], out=total[1:])
+            out[i:j] = mix((total[end[i:j] - low] - total[start[i:j] - low]) * inverse[start[i:j] - low] + (end[i:j] - start[i:j]).astype(np.uint64))
+    return out
 
 
 def word_hashes(texts: list[str], alnum: bool = False, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:

@@ -37,12 +37,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.llm import bloom
-from tessella.llm.common import chunks, documents, materialize, mix, window_hashes, word_hashes
+from tessella.llm.common import chunks, documents, materialize, mix, small_batches, window_hashes, word_hashes
+from tessella.operators import graphs
 
 SHINGLE = 5
 THRESHOLD = 0.8
 #: At similarity 0.8 a pair misses all bands with a probability of (1 - 0.8**5)**32 = 3e-6.
 BANDS, ROWS = 32, 5
+#: Texts that a task remembers having seen, so as not to repeat itself; repeats beyond them are told later.
+SEEN = 50_000
 
 
 def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -119,9 +122,13 @@ def signatures(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
 def _band_keys(bands: int, rows: int):
     def run(frames):
         seen: set[bytes] = set()
-        for frame in chunks(frames, "text"):
+        for frame in chunks(frames, "text", 1 << 20):
             frame = frame[~frame["node"].isin(seen)].drop_duplicates("node")
+            if len(seen) > SEEN:
+                seen.clear()
             seen.update(frame["node"])
+            if not len(frame):
+                continue
             times, total = signatures(frame["text"].tolist(), bands * rows)
             bits = times.view(np.uint64).reshape(-1, bands, rows)
             with np.errstate(over="ignore"):
@@ -148,6 +155,8 @@ def _packed_texts(words: np.ndarray):
             keep = np.flatnonzero(bloom.may_have(words, keys)) if len(frame) else []
             rows = [(frame["node"].iat[i], frame["text"].iat[i]) for i in keep]
             rows = [(n, t) for n, t in dict(rows).items() if n not in seen]
+            if len(seen) > SEEN:
+                seen.clear()
             seen.update(n for n, _ in rows)
             yield pd.DataFrame({"node": [n for n, _ in rows], "packed": [zlib.compress(t.encode("utf-8", "surrogatepass"), 1) for _, t in rows]})
 
@@ -175,25 +184,8 @@ def _similar(threshold: float):
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, comp) of all linked nodes: the smallest node that links lead to.
-
-    Each round joins every node to the smallest neighbour of itself and then
-    takes that one's own smallest; labels only fall, and rounds grow with the
-    logarithm of the longest chain.
-    """
-    edges = materialize(links.select("left", "right").union(links.select("right", "left")).toDF("a", "b").distinct(), "links")
-    labels = materialize(edges.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("comp")).withColumnRenamed("a", "node"), "labels")
-    while True:
-        near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("comp").alias("near"))
-        hooked = labels.join(near, labels["node"] == near["a"]).select("node", F.least("comp", "near").alias("next"), "comp")
-        hooked = materialize(hooked, "hooked")
-        # the label of the label: whoever points at a node follows it
-        leads = hooked.select(F.col("node").alias("next"), F.col("next").alias("jump"))
-        found = materialize(hooked.join(leads, "next", "left").select("node", F.coalesce("jump", "next").alias("next"), "comp"), "labels")
-        changed = found.where("next <> comp").limit(1).count()
-        labels = found.select("node", F.col("next").alias("comp"))
-        if not changed:
-            return labels
+    """(node, comp) of all linked nodes."""
+    return graphs.components(links.select(F.col("left").alias("a"), F.col("right").alias("b")))
 
 
 def linked_components(docs: DataFrame, threshold: float, bands: int, rows: int) -> DataFrame | None:
@@ -211,11 +203,8 @@ def linked_components(docs: DataFrame, threshold: float, bands: int, rows: int)
     packed = materialize(packed.groupBy("node").agg(F.first("packed").alias("packed")), "texts")
 
     # every member with its bucket's first one
-    first = materialize(
-        members.withColumn("rank", F.row_number().over(Window.partitionBy("bucket").orderBy("node"))).where("rank = 1")
-        .select("bucket", F.col("node").alias("leader"), F.col("weight").alias("leader_weight")),
-        "leaders",
-    )
+    first = members.groupBy("bucket").agg(F.min(F.struct("node", "weight")).alias("f"))
+    first = materialize(first.select("bucket", F.col("f.node").alias("leader"), F.col("f.weight").alias("leader_weight")), "leaders")
     with_first = members.join(first, "bucket").where(
         (F.col("node") != F.col("leader")) & (F.col("weight") >= threshold * F.col("leader_weight")) & (F.col("leader_weight") >= threshold * F.col("weight"))
     )
@@ -228,16 +217,23 @@ def linked_components(docs: DataFrame, threshold: float, bands: int, rows: int)
     if rest.limit(1).count() and links.limit(1).count():
         # and with the open member that has most links, which texts near a common source most likely share
         degree = materialize(links.select(F.col("left").alias("node")).union(links.select("right")).groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "degrees")
-        order = Window.partitionBy("bucket").orderBy(F.col("degree").desc(), "node")
-        hubs = rest.join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0))).withColumn("rank", F.row_number().over(order)).where("rank = 1")
-        hubs = materialize(hubs.select("bucket", F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "hubs")
+        ranked = rest.join(degree, "node", "left").groupBy("bucket").agg(F.max_by(F.struct("node", "comp"), F.struct(F.coalesce("degree", F.lit(0)).alias("d"), "node")).alias("h"))
+        hubs = materialize(ranked.select("bucket", F.col("h.node").alias("hub"), F.col("h.comp").alias("hub_comp")), "hubs")
         with_hub = rest.join(hubs, "bucket").where(F.col("comp") != F.col("hub_comp"))
         links = links.union(_verified(with_hub.select(F.least("node", "hub").alias("left"), F.greatest("node", "hub").alias("right")).distinct(), packed, threshold))
         comps = components(links)
         rest = _labelled(rest.select("bucket", "node"), comps)
     left_open = materialize(_mixed(rest).select("node", "comp").distinct(), "open-nodes")
     if left_open.limit(1).count():
-        more = _verified(_prefix_pairs(left_open, packed, threshold), packed, threshold)
+        prefix = _prefixes(left_open, packed, threshold)
+        # one text of each component a token first: one link is enough for two components
+        more = _verified(_prefix_pairs(prefix, threshold, one_each=True), packed, threshold)
+        if more.limit(1).count():
+            links = links.union(more)
+            comps = components(links)
+            prefix = prefix.drop("comp").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+            prefix = materialize(prefix, "prefixes")
+        more = _verified(_prefix_pairs(prefix, threshold), packed, threshold)
         if more.limit(1).count():
             return components(links.union(more))
     return comps if comps.limit(1).count() else None
@@ -277,7 +273,17 @@ def _tokens(frames):
             yield pd.DataFrame({"node": part["node"].to_numpy()[owner], "comp": part["comp"].to_numpy()[owner], "size": size[owner], "token": token.view(np.int64)})
 
 
-def _prefix_pairs(nodes: DataFrame, packed: DataFrame, threshold: float) -> DataFrame:
+def _prefixes(nodes: DataFrame, packed: DataFrame, threshold: float) -> DataFrame:
+    """The early tokens of each node that other nodes have too, rare ones first, with their places."""
+    tokens = materialize(packed.join(nodes, "node").mapInPandas(_tokens, "node binary, comp binary, size int, token long"), "tokens")
+    spread = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "token-texts")
+    order = Window.partitionBy("node").orderBy("texts", "token")
+    placed = tokens.join(spread, "token", "left").withColumn("texts", F.coalesce("texts", F.lit(1))).withColumn("place", F.row_number().over(order) - 1)
+    early = F.col("place") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-9)
+    return materialize(placed.where(early & (F.col("texts") > 1)).select("node", "comp", "size", "token", "place"), "prefixes")
+
+
+def _prefix_pairs(prefix: DataFrame, threshold: float, one_each: bool = False) -> DataFrame:
     """All pairs of different components that may reach the threshold, without a comparison of each with each.
 
     Tokens are ordered by the texts that have them, rare ones first. Two texts
@@ -286,17 +292,17 @@ def _prefix_pairs(nodes: DataFrame, packed: DataFrame, threshold: float) -> Data
     that condition finds every such pair. Texts that differ from a large group
     in many places begin with tokens of their own and so meet nothing of it.
     The component that has most texts of a token stands on one side only.
+    ``one_each``: only the text of each component in which a token comes first.
     """
-    tokens = materialize(packed.join(nodes, "node").mapInPandas(_tokens, "node binary, comp binary, size int, token long"), "tokens")
-    spread = materialize(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "token-texts")
-    order = Window.partitionBy("node").orderBy("texts", "token")
-    placed = tokens.join(spread, "token", "left").withColumn("texts", F.coalesce("texts", F.lit(1))).withColumn("place", F.row_number().over(order) - 1)
-    early = F.col("place") <= F.col("size") - F.ceil(F.col("size") * threshold - 1e-9)
-    prefix = materialize(placed.where(early & (F.col("texts") > 1)).select("node", "comp", "size", "token", "place"), "prefixes")
+    if one_each:
+        best = F.min(F.struct("place", "node", "size")).alias("f")
+        prefix = materialize(prefix.groupBy("token", "comp").agg(best).select("token", "comp", "f.node", "f.size", "f.place"), "prefix-heads")
     shares = prefix.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
     largest = materialize(shares.groupBy("token").agg(F.max_by("comp", F.struct("n", "comp")).alias("largest"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select("token", "largest"), "largest")
     few = materialize(prefix.join(largest, "token").where(F.col("comp") != F.col("largest")).drop("largest"), "few")
     other = prefix.select("token", *(F.col(c).alias(f"o_{c}") for c in ("node", "comp", "size", "place")))
+    if one_each:  # with the largest component's text alone
+        other = materialize(other.join(largest.select("token", F.col("largest").alias("o_comp")), ["token", "o_comp"]), "largest-heads")
     least = (F.col("size") + F.col("o_size")) * (threshold / (1 + threshold)) - 1e-6
     possible = F.least(F.col("size") - F.col("place"), F.col("o_size") - F.col("o_place")) >= least
     pairs = few.join(other, "token").where((F.col("comp") != F.col("o_comp")) & possible)
@@ -314,19 +320,28 @@ def node_of(text: Column) -> Column:
     return F.coalesce(F.unhex(F.md5(text.cast("string"))), null)
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row a distinct text: node, class key, class_id, class_size (documents), texts (distinct)."""
-    keyed = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), node_of(F.col("text")).alias("node"))
-    comps = linked_components(keyed, threshold, bands, rows)
-    copies = keyed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+def numbered(docs: DataFrame) -> DataFrame:
+    """doc_id, node and a number of every row, stored: the number tells equal rows apart."""
+    rows = docs.select(F.col("doc_id").cast("long"), node_of(F.col("text")).alias("node"), F.monotonically_increasing_id().alias("row"))
+    return materialize(rows, "document-nodes")
+
+
+def classes(docs: DataFrame, rows: DataFrame | None = None, threshold: float = THRESHOLD, bands: int = BANDS, per_band: int = ROWS) -> DataFrame:
+    """One row a distinct text: node, first_id, class_key, class_id, class_size (documents), texts (distinct), and the class's head and head_row."""
+    small_batches(docs.sparkSession)
+    rows = numbered(docs) if rows is None else rows
+    comps = linked_components(docs.select(F.col("text").cast("string"), node_of(F.col("text")).alias("node")), threshold, bands, per_band)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    copies = rows.groupBy("node").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("copies"))
     if comps is None:
-        comps = keyed.select("node", F.col("node").alias("comp")).limit(0)
-    members = materialize(copies.join(comps, "node", "left").select("node", "first_id", "copies", F.coalesce("comp", "node").alias("class_key")), "members")
+        comps = rows.select("node", F.col("node").alias("comp")).limit(0)
+    members = materialize(copies.join(comps, "node", "left").select("node", "first", "copies", F.coalesce("comp", "node").alias("class_key")), "members")
     whole = members.groupBy("class_key").agg(
-        F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("texts"),
-        F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "node"))["node"].alias("head"),
+        F.min("first")["doc_id"].alias("class_id"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("texts"),
+        F.min_by("node", "first").alias("head"), F.min("first")["row"].alias("head_row"),
     )
-    return materialize(members.join(materialize(whole, "classes"), "class_key").select("node", "first_id", "class_key", "class_id", "class_size", "texts", "head"), "class-members")
+    found = members.select("node", "class_key", F.col("first.doc_id").alias("first_id")).join(materialize(whole, "classes"), "class_key")
+    return materialize(found.select("node", "first_id", "class_key", "class_id", "class_size", "texts", "head", "head_row"), "class-members")
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -334,7 +349,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     Rows that are equal in doc_id and text are one document; the first of them stays.
     """
-    heads = classes(docs, threshold).where("node = head").select(F.col("node").alias("__head"), F.col("first_id").alias("__id"))
+    heads = classes(docs, threshold=threshold).where("node = head").select(F.col("node").alias("__head"), F.col("first_id").alias("__id"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.withColumn("__node", node_of(F.col("text")))
     same = (F.col("__node") == F.col("__head")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
@@ -342,7 +357,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its class."""
+    """Every document with its class; ``kept`` holds for one row of each class."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = classes(docs)
-    return docs.select("doc_id", node_of(F.col("text")).alias("node")).join(found, "node").select("doc_id", "class_id", "class_size", "texts", ((F.col("node") == F.col("head")) & F.col("doc_id").eqNullSafe(F.col("first_id"))).alias("kept"))
+    rows = numbered(docs)
+    return rows.join(classes(docs, rows), "node").select("doc_id", "class_id", "class_size", "texts", (F.col("row") == F.col("head_row")).alias("kept"))

@@ -25,6 +25,8 @@ from tessella.llm.common import segment_hashes
 
 #: Distinct pieces that a Python worker remembers; beyond that it keeps the last batch's.
 KEPT = 1_000_000
+#: Characters that are encoded at a time.
+STEP = 1 << 20
 #: White space other than blank and line end, and control characters on whose class libraries differ.
 _RARE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
 #: Letters beyond ASCII that every library's tables know as such.
@@ -182,6 +184,12 @@ class Encoder:
         return out, np.add.reduceat(n, np.flatnonzero(head))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        place = np.cumsum([len(t) for t in texts]) // STEP
+        edges = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(texts)]
+        found = [self._encode(texts[a:b]) for a, b in zip(edges, edges[1:])]
+        return np.concatenate([x for x, _ in found]), np.concatenate([n for _, n in found])
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole = np.array([t[:1] in " \n" or bool(_RARE.search(t)) or bool(self.added.search(t)) for t in texts], bool)
         if not whole.any():
             return self._by_pieces(texts) if texts else (np.zeros(0, "<u4"), np.zeros(0, np.int64))

@@ -427,6 +427,52 @@ def test_classes_equal_brute_force(spark):
     assert sorted(map(sorted, got.values())) == classes_by_force(rows)
 
 
+def linked_by_force(texts):
+    """Pairs of similarity 0.8 or more, by an index of shingles."""
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    bags, where = [], collections.defaultdict(list)
+    for i, t in enumerate(texts):
+        w = re.findall(r"[^\x20\x09-\x0D]+", t.translate(lower))
+        bags.append(collections.Counter(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else collections.Counter([tuple(w)] if w else []))
+        for s in bags[i]:
+            where[s].append(i)
+    pairs = {(i, j) for v in where.values() for k, j in enumerate(v) for i in v[:k]}
+    return [(i, j) for i, j in pairs if sum((bags[i] & bags[j]).values()) >= 0.8 * sum((bags[i] | bags[j]).values())]
+
+
+def test_all_links_of_the_documents_are_found(spark):
+    """Recall over a whole table: classes equal the components of all similar pairs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = list(dict.fromkeys(r["text"] for r in docs.collect() if r["text"]))
+    parent = {t: t for t in texts}
+
+    def root(t):
+        while parent[t] != t:
+            t = parent[t]
+        return t
+
+    links = linked_by_force(texts)
+    for i, j in links:
+        parent[root(texts[i])] = root(texts[j])
+    assert len(links) >= 5
+    want = collections.defaultdict(set)
+    for r in docs.collect():
+        want[root(r["text"]) if r["text"] else r["text"]].add(r["doc_id"])
+    got = collections.defaultdict(set)
+    kept = collections.Counter()
+    for r in near_duplicates.op9_near_duplicates(spark, "/root/testdata/sf0.01").collect():
+        got[r["class_id"]].add(r["doc_id"])
+        kept[r["class_id"]] += r["kept"]
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and set(kept.values()) == {1}
+
+
+def test_equal_rows_are_kept_once(spark, tmp_path):
+    rows = [(1, prose(60, 1))] * 5 + [(None, None)] * 3 + [(2, "")] * 2 + [(3, prose(60, 2))]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    got = near_duplicates.op9_near_duplicates(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and sum(r["kept"] for r in got) == 4 == near_duplicates.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).count()
+
+
 def test_one_of_each_class_stays(awkward):
     kept = near_duplicates.keep_one(awkward)
     assert kept.columns == awkward.columns
