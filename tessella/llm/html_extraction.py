@@ -29,9 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.llm.common import small_batches
+
 # Element names by kind.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style title textarea noscript template iframe".split())
+RAW = set("script style title textarea template iframe".split())
 KINDS = {
     "root": "html body", "article": "article main", "box": "div section center", "heading": "h1 h2 h3 h4 h5 h6 hgroup",
     "paragraph": "p blockquote pre", "list": "ul ol dl menu", "item": "li dt dd", "table": "table thead tbody tfoot tr td th caption",
@@ -40,12 +42,12 @@ KINDS = {
 }
 KIND = {t: k for k, v in KINDS.items() for t in v.split()}
 BLOCK = {t for k, v in KINDS.items() if k != "link" for t in v.split()} - {"label", "button", "input", "select", "option", "optgroup", "datalist"} | {"hr"}
-#: What an opening element ends: the first of these that is open, looking no further than the second group.
+#: What an opening element ends: the last of the first names, unless one of the second (or, third, any block) was opened in it.
 ENDS = {
-    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
-    "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
-    "tbody": ({"thead", "tbody", "tfoot"}, {"table"}), "tfoot": ({"thead", "tbody", "tfoot"}, {"table"}),
-    "option": ({"option"}, BLOCK | {"select", "datalist", "optgroup"}), "optgroup": ({"optgroup"}, BLOCK | {"select"}),
+    "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
+    "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
+    "tbody": (("thead", "tbody", "tfoot"), ("table",)), "tfoot": (("thead", "tbody", "tfoot"), ("table",)),
+    "option": (("option",), ("select", "datalist", "optgroup"), True), "optgroup": (("optgroup",), ("select",), True),
 }
 # Words of class, id and role, by what they speak for.
 WORDS = {
@@ -60,17 +62,21 @@ WORD_KIND = {w: k for k, v in WORDS.items() for w in v.split()}
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.S)
 _TOKEN = re.compile(_COMMENT.pattern + r"|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)", re.S)
 _QUOTE_OR_END = re.compile("[>\"']")
-_ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role|data-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_LABEL = re.compile(r" data-label=\"([01])\"")  # in pages that this module writes to learn from
 _SENTENCE = re.compile(r"[.!?…。](?:\s|$)")
 
 
 class Page:
     """Elements in page order: parents come before children; 0 is the page."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, labelled: bool = False):
         self.tag, self.parent, self.words, self.label = ["#page"], [0], [""], [None]
         self.runs: list[tuple[int, int, str]] = []  # element, block, text
-        self._block = 0
+        self._block, self._labelled = 0, labelled
+        # of the open elements: places in the stack by name, and those of blocks
+        self._open_at: dict[str, list[int]] = {}
+        self._open_blocks = [0]
         self._read(source)
 
     def _read(self, source: str) -> None:
@@ -113,7 +119,7 @@ class Page:
             else:
                 self._open(stack, tag, attributes)
                 if attributes.endswith("/") and tag not in BLOCK:
-                    stack.pop()
+                    self._pop(stack, len(stack) - 1)
 
     @staticmethod
     def _tag_end(source: str, at: int, last: dict[str, int], dead: set[int]) -> int:
@@ -132,46 +138,52 @@ class Page:
     def _text(self, stack: list[int], text: str) -> None:
         self.runs.append((stack[-1], self._block, html.unescape(text) if "&" in text else text))
 
-    def _end(self, stack: list[int], names: set[str], barrier: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] in names:
-                del stack[k:]
-                return
-            if self.tag[stack[k]] in barrier:
-                return
+    def _pop(self, stack: list[int], k: int) -> None:
+        """End the elements from place ``k`` of the stack on."""
+        while len(stack) > k:
+            name = self.tag[stack.pop()]
+            self._open_at[name].pop()
+            if name in BLOCK:
+                self._open_blocks.pop()
+
+    def _last(self, names) -> int:
+        """Place of the last open element with one of these names, or 0."""
+        return max((self._open_at[n][-1] for n in names if self._open_at.get(n)), default=0)
+
+    def _end(self, stack: list[int], names: tuple, barrier: tuple, blocks: bool = False) -> None:
+        """End the last of ``names`` unless one of ``barrier`` (or a block) was opened in it."""
+        at = self._last(names)
+        if at and at >= self._last(barrier) and not (blocks and self._open_blocks[-1] > at):
+            self._pop(stack, at)
 
     def _open(self, stack: list[int], tag: str, attributes: str) -> None:
         if tag in BLOCK:
             self._block += 1
-            self._end(stack, {"p"}, BLOCK - {"p"})
-            self._end(stack, {"select", "datalist"}, BLOCK)
-            self._end(stack, {"option", "optgroup"}, BLOCK)
+            self._end(stack, ("p",), (), True)
+            self._end(stack, ("select", "datalist"), (), True)
+            self._end(stack, ("option", "optgroup"), (), True)
         if tag in ENDS:
             self._end(stack, *ENDS[tag])
         words, label = "", None
         if attributes:
-            for a in _ATTRIBUTE.finditer(attributes):
-                value = a[2] or a[3] or a[4] or ""
-                if a[1].lower() == "data-label":
-                    label = int(value)
-                else:
-                    words += " " + value
+            words = "".join(" " + (a[2] or a[3] or a[4] or "") for a in _ATTRIBUTE.finditer(attributes))
+            if self._labelled and (found := _LABEL.search(attributes)):
+                label = int(found[1])
         self.tag.append(tag)
         self.parent.append(stack[-1])
         self.words.append(words)
         self.label.append(label)
+        self._open_at.setdefault(tag, []).append(len(stack))
+        if tag in BLOCK:
+            self._open_blocks.append(len(stack))
         stack.append(len(self.tag) - 1)
 
     def _close(self, stack: list[int], tag: str) -> None:
         if tag in BLOCK:
             self._block += 1
-        for k in range(len(stack) - 1, 0, -1):
-            name = self.tag[stack[k]]
-            if name == tag:
-                del stack[k:]
-                return
-            if tag not in BLOCK and name in BLOCK:  # an inline end tag ends no block
-                return
+        at = self._last((tag,))
+        if at and (tag in BLOCK or at > self._open_blocks[-1]):  # an inline end tag ends no block
+            self._pop(stack, at)
 
     def features(self) -> list[tuple[int, ...]]:
         """Of each element: kind, kind of its words, text, linked text, sentences."""
@@ -227,7 +239,7 @@ class Model:
         step = np.full((kinds, 2, 2), smooth) + np.eye(2) * 2
         root = np.full(2, smooth)
         for source in pages:
-            page = Page(source)
+            page = Page(source, labelled=True)
             labels, rows = truth(page), page.features()
             root[labels[0]] += 1
             for i, (y, row) in enumerate(zip(labels, rows)):
@@ -402,6 +414,7 @@ def main_text(source: str | None, model: Model, least: float = 0.5) -> str:
 def extract(pages: DataFrame, html_column: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``keep`` and the main text of every page."""
     model = trained()
+    small_batches(pages.sparkSession)
 
     def run(batches):
         for b in batches:
