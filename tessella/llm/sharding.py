@@ -25,6 +25,8 @@ ROUNDS = 6
 WALK = 40
 #: Buckets of the numbering; their totals, one row each, are the only broadcast.
 BUCKETS = 16_384
+#: Equal rows that are written out of one record; more of them go in blocks to other tasks first.
+COPIES = 100_000
 
 
 def _permute(x: Column, a: Column, b: Column, key: int) -> Column:
@@ -60,7 +62,8 @@ def number_rows(df: DataFrame, name: str = "row_number", total: str = "n_rows")
     """Add global row numbers 0..n-1 and the row count, without a global sort.
 
     Equal rows are counted before they are shuffled, so a row repeated any
-    number of times costs one record a task.
+    number of times costs one record a task; they are written out in blocks of
+    ``COPIES`` that are dealt to all tasks.
     """
     columns = [F.col(f"`{c}`") for c in df.columns]
     groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
@@ -77,9 +80,13 @@ def number_rows(df: DataFrame, name: str = "row_number", total: str = "n_rows")
     )
     placed = groups.withColumn("__before", before).join(F.broadcast(offsets), "__bucket")
     first = F.col("__offset") + F.col("__before")
-    return placed.select(
+    step = F.lit(COPIES).cast("long")
+    block = lambda k: F.struct((first + k * step).alias("first"), F.least(step, F.col("__copies") - k * step).alias("copies"))
+    blocks = F.transform(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("__copies") - 1, step)), block)
+    dealt = placed.select(*columns, F.col("__total"), F.explode(blocks).alias("__block")).repartition(F.col("__block.first"))
+    return dealt.select(
         *columns,
-        F.explode(F.sequence(first, first + F.col("__copies") - 1)).alias(name),
+        F.explode(F.sequence(F.col("__block.first"), F.col("__block.first") + F.col("__block.copies") - 1)).alias(name),
         F.col("__total").alias(total),
     )
 
