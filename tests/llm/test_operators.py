@@ -126,6 +126,49 @@ def test_feistel_is_a_permutation(spark, n):
     assert sorted(r["p"] for r in at.collect()) == list(range(n))
 
 
+def test_very_many_equal_rows_are_numbered_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES", 100)
+    rows = spark.range(5000).select(F.lit("same").alias("v"), F.lit(None).cast("int").alias("__start")).drop("__start").union(spark.range(7).select(F.col("id").cast("string")))
+    numbered = sharding.number_rows(rows)
+    assert sorted(r["row_number"] for r in numbered.collect()) == list(range(5007))
+
+
+def test_shards_are_those_of_the_permutation(spark, tmp_path):
+    """The query against its documented rule in plain Python: sizes, checksums, and a permutation that gives shard and slot."""
+    rows = [(i, t) for i, t, *_ in awkward_rows()] * 3
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sharding.op2_sharding(spark, str(tmp_path)).collect()
+    want = collections.Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    assert sorted(r["slot"] * 16 + r["shard"] for r in got) == list(range(len(rows)))
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("rows", None)}
+    keys = {(r["doc_id"], r["size"], r["text_crc32"]) for r in got}
+    numbers = {}
+    for r in sharding.number_rows(spark.createDataFrame([(*k,) for k in want.elements()], "doc_id long, size long, text_crc32 long")).collect():
+        numbers.setdefault((r["doc_id"], r["size"], r["text_crc32"]), []).append(r["row_number"])
+    n = len(rows)
+    a = math.ceil(math.sqrt(n))
+    b = -(-n // a)
+    tables = [spark.range(max(a, b)).select(F.pmod(F.xxhash64(F.lit(2024), F.lit(i), F.col("id")), F.lit(b if i % 2 else a)).alias("h")).collect() for i in range(sharding.ROUNDS)]
+
+    def permuted(x):
+        while True:
+            left, right = divmod(x, b)
+            for i in range(sharding.ROUNDS):
+                if i % 2:
+                    right = (right + tables[i][left]["h"]) % b
+                else:
+                    left = (left + tables[i][right]["h"]) % a
+            x = left * b + right
+            if x < n:
+                return x
+
+    placed = collections.defaultdict(set)
+    for r in got:
+        placed[r["doc_id"], r["size"], r["text_crc32"]].add(r["slot"] * 16 + r["shard"])
+    assert all(placed[k] == {permuted(x) for x in numbers[k]} for k in keys)
+
+
 def test_no_rows_no_shards(nothing):
     assert sharding.shard(nothing, 4).count() == 0
 
@@ -305,10 +348,18 @@ def test_cascade_equals_all_rules(spark, awkward):
     assert kept.count() == awkward.where(every).count() == 8
 
 
-def test_order_prefers_cheap_rejections(spark, awkward):
-    text = F.coalesce("text", F.lit(""))
-    order = quality_rules.measured_order(awkward.select("text"), {"never": F.size(F.split(text, " ")) < 0, "often": F.length(text) > 10})
-    assert set(order) == {"never", "often"}
+def test_order_prefers_cheap_rejections(spark):
+    docs = spark.createDataFrame([(prose(300, i),) for i in range(80)], "text string")
+    dear = lambda least: quality_rules.repeated_words(quality_rules.words_of(F.col("text"))) >= least
+    checks = {"never": F.length("text") < 0, "dear": dear(0), "cheap": F.length("text") > 10, "dear and rare": dear(10**6)}
+    order = quality_rules.measured_order(docs, checks)
+    assert order[:2] == ["cheap", "dear"] and set(order[2:]) == {"never", "dear and rare"}
+
+
+def test_sample_is_bounded(spark, monkeypatch):
+    docs = spark.range(8000).repartition(40).select(F.concat(F.lit("text of "), F.col("id").cast("string")).alias("text"))
+    monkeypatch.setattr(quality_rules, "SAMPLE_ROWS", 50)
+    assert len(quality_rules.sample_of(docs)) == 50 and len(quality_rules.sample_of(docs.limit(60))) < 30
 
 
 def test_quality_of_nothing(nothing):
@@ -584,7 +635,7 @@ def test_marginals_are_exact():
 def test_held_out_pages():
     model, wrong, every = html_extraction.trained(), 0, 0
     for source in html_extraction.labelled_pages(100, seed=123):
-        page = html_extraction.Page(source)
+        page = html_extraction.Page(source, labelled=True)
         truth, found = html_extraction.truth(page), model.marginals(page)
         for i, _, text in page.runs:
             w = len(text.split())
@@ -640,6 +691,28 @@ def test_unclosed_quotes_take_linear_time():
         assert time.perf_counter() - began < 10
 
 
+def test_attributes_of_pages_are_no_labels():
+    for value in ("Price", "", "1", "0", "12"):
+        source = f"<article><h1>A title here</h1><p>The text of the post is here. It goes on.</p><table><tr><td data-label='{value}'>one</td><td data-label=\"{value}\">two cells</td></tr></table></article>"
+        assert html_extraction.main_text(source, html_extraction.trained()).split("\n")[:2] == ["A title here", "The text of the post is here. It goes on."]
+        assert set(html_extraction.Page(source).label) == {None}
+
+
+@pytest.mark.parametrize("source", [
+    "<b>" * 100_000 + "</i>" * 100_000, "<i><div>" + "<b>" * 50_000 + "</i>" * 50_000, "<p><section>" + "<b>" * 50_000 + "<div></div>" * 50_000, "<li><b>" * 60_000, "<div>" * 100_000 + "</p>" * 100_000,
+    "<p><b>" * 60_000, "<table>" * 50_000 + "</tr>" * 50_000, "<ul>" + "<b>" * 50_000 + "<li>" * 50_000, "<a b='" + "x" * 3_000_000 + "'>",
+])
+def test_deep_and_unclosed_elements_take_linear_time(source):
+    began = time.perf_counter()
+    html_extraction.main_text(source, html_extraction.trained())
+    assert time.perf_counter() - began < 30
+
+
+def test_fallback_text_in_an_article_stays():
+    source = "<article><h1>A title here</h1><p>The text of the post is here. <noscript>It has a film.</noscript> It goes on.</p></article>"
+    assert html_extraction.main_text(source, html_extraction.trained()) == "A title here\nThe text of the post is here. It has a film. It goes on."
+
+
 def test_broken_markup_ends():
     for source in ("<" * 2000, "<a href='" * 500, "<p" * 3000, "<div>" * 3000, "</p>" * 3000, "<!-- " * 100, "<script>" * 50):
         html_extraction.main_text(source, html_extraction.trained())
