@@ -10,13 +10,13 @@ from tessella.plans.volumes import rounded
 from tessella.sources import files as I
 from tessella.streaming import streams as R
 
-query("io1_read_table", "SELECT n_nationkey, n_name FROM nation")(lambda t: I.read_table(t.spark, "nation", {"path": t.sf_dir}).select("n_nationkey", "n_name"))
+query("io1_read_table", "SELECT c_custkey, c_name FROM customer")(lambda t: I.read_table(t.spark, "customer", {"path": t.sf_dir}).select("c_custkey", "c_name"))
 
 
-@query("io2_read_csv_glob", "SELECT l_suppkey, l_quantity, l_tax FROM lineitem WHERE l_linenumber IN (1, 2)")
+@query("io2_read_csv_glob", "SELECT l_suppkey, l_quantity, l_tax FROM lineitem")
 def _(t):
     path = scratch(t.spark, "csv")
-    t.lineitem.where("l_linenumber in (1, 2)").select("l_linenumber", "l_suppkey", "l_quantity", "l_tax").write.partitionBy("l_linenumber").option("header", True).csv(path)
+    t.lineitem.select("l_linenumber", "l_suppkey", "l_quantity", "l_tax").write.partitionBy("l_linenumber").option("header", True).csv(path)
     return I.read_csv_glob(t.spark, f"{path}/*/*.csv", "l_suppkey bigint, l_quantity double, l_tax double").drop("file")
 
 
@@ -57,8 +57,15 @@ def _(t):
 ACRONYMS = "SELECT id, name, substr(name, 1, 4) AS acronym, parent_id FROM tree"
 query("io9_flatten_ontology", f"WITH a AS ({ACRONYMS}) SELECT a.id, a.name, a.acronym, a.parent_id, coalesce(p.name, 'null') AS parent_name, coalesce(p.acronym, 'null') AS parent_acronym FROM a LEFT JOIN a p ON a.parent_id = p.id")(
     lambda t: I.flatten_ontology(t.tree.withColumn("acronym", F.substring("name", 1, 4))))
-query("io9_ontology_rows", "SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name, NULL::BIGINT AS parent_id FROM region UNION ALL SELECT CAST(1000 + n_nationkey AS BIGINT), n_name, CAST(n_regionkey AS BIGINT) FROM nation")(
-    lambda t: I.ontology_rows(t.spark, t.region.join(t.nation, F.col("r_regionkey") == F.col("n_regionkey"), "left").groupBy("r_regionkey", "r_name").agg(F.collect_list(F.struct((1000 + F.col("n_nationkey")).alias("id"), F.col("n_name").alias("name"))).alias("children")).select(F.to_json(F.struct(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"), "children")).alias("doc")), "doc", 2).select("id", "name", "parent_id"))
+@query("io9_ontology_rows", """SELECT CAST(c_custkey AS BIGINT) AS id, c_name AS name, NULL::BIGINT AS parent_id FROM customer UNION ALL SELECT 1000000000 + o_orderkey, o_orderpriority, CAST(o_custkey AS BIGINT) FROM orders JOIN customer ON o_custkey = c_custkey
+UNION ALL SELECT 1000000000000 + l_orderkey * 8 + l_linenumber, l_returnflag, 1000000000 + l_orderkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""")
+def _(t):
+    # a customer with orders with lines, as one nested text each
+    part = lambda k, n, *more: F.struct(F.col(k).alias("id"), F.col(n).alias("name"), *more)
+    lines = t.lineitem.withColumn("k", 1000000000000 + F.col("l_orderkey") * 8 + F.col("l_linenumber")).groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(part("k", "l_returnflag")).alias("children"))
+    orders = t.orders.join(lines, "o_orderkey", "left").withColumn("k", 1000000000 + F.col("o_orderkey")).groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.collect_list(part("k", "o_orderpriority", F.col("children"))).alias("children"))
+    docs = t.customer.join(orders, "c_custkey", "left").select(F.to_json(part("c_custkey", "c_name", F.col("children"))).alias("doc"))
+    return I.ontology_rows(docs, "doc").select("id", "name", "parent_id")
 
 
 @query("io10_write_result", "SELECT label, count(*) AS voxels, 'csv' AS how FROM vox GROUP BY label UNION ALL SELECT label, count(*), 'parquet' FROM vox GROUP BY label")

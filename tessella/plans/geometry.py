@@ -21,7 +21,7 @@ def moved(t):
     """Transforms with known parts: one a brain."""
     angle = F.col("prep") * 0.1
     cells = {"r00": F.cos(angle) * 2, "r01": -F.sin(angle) * 2, "r02": F.lit(0.0), "r10": F.sin(angle) * 2, "r11": F.cos(angle) * 2, "r12": F.lit(0.0), "r20": F.lit(0.0), "r21": F.lit(0.0), "r22": F.lit(2.0), "t0": F.lit(1.0), "t1": F.lit(2.0), "t2": F.lit(3.0)}
-    return t.centroids.select("prep").distinct().select("prep", *(v.alias(k) for k, v in cells.items()))
+    return t.pts3.select("prep").distinct().select("prep", *(v.alias(k) for k, v in cells.items()))
 
 
 # fits decompose 3 x 3 matrices: tests check them against known transforms
@@ -45,10 +45,10 @@ def _(t):
     return rounded(f, *(c for c in f.columns if c != "prep"), digits=4)
 
 
-MOVED = "SELECT id, round(2 * (cos(prep * 0.1) * x - sin(prep * 0.1) * y) + 1, 8) AS x, round(2 * (sin(prep * 0.1) * x + cos(prep * 0.1) * y) + 2, 8) AS y, round(2 * z + 3, 8) AS z FROM pts3 WHERE prep < 6"
-query("g4_apply_transform", MOVED)(lambda t: rounded(X.apply_transform(t.pts3.where("prep < 6"), moved(t), ["prep"]).select("id", *XYZ), *XYZ, digits=8))
-query("g5_apply_inverse", "SELECT id, round(x, 8) AS x, round(y, 8) AS y, round(z, 8) AS z FROM pts3 WHERE prep < 6")(
-    lambda t: rounded(X.apply_inverse(X.apply_transform(t.pts3.where("prep < 6"), moved(t), ["prep"]), moved(t), ["prep"]).select("id", *XYZ), *XYZ, digits=8))
+MOVED = "SELECT id, round(2 * (cos(prep * 0.1) * x - sin(prep * 0.1) * y) + 1, 8) AS x, round(2 * (sin(prep * 0.1) * x + cos(prep * 0.1) * y) + 2, 8) AS y, round(2 * z + 3, 8) AS z FROM pts3"
+query("g4_apply_transform", MOVED)(lambda t: rounded(X.apply_transform(t.pts3, moved(t), ["prep"]).select("id", *XYZ), *XYZ, digits=8))
+query("g5_apply_inverse", "SELECT id, round(x, 8) AS x, round(y, 8) AS y, round(z, 8) AS z FROM pts3")(
+    lambda t: rounded(X.apply_inverse(X.apply_transform(t.pts3, moved(t), ["prep"]), moved(t), ["prep"]).select("id", *XYZ), *XYZ, digits=8))
 query("g6_to_um", """WITH p AS (SELECT c.id, s.prep_id, c.x, c.y, c.z FROM centers c JOIN sessions s ON c.session_id = s.id), u AS (SELECT prep_id, orientation FROM histology)
 SELECT p.id, round(x * CASE orientation WHEN 'coronal' THEN 20 ELSE 0.325 END, 8) AS x, round(y * CASE orientation WHEN 'horizontal' THEN 20 ELSE 0.325 END, 8) AS y, round(z * CASE orientation WHEN 'sagittal' THEN 20 ELSE 0.325 END, 8) AS z FROM p JOIN u ON p.prep_id = u.prep_id""")(
     lambda t: rounded(X.to_um(t.centers.join(t.sessions.select(F.col("id").alias("session_id"), "prep_id"), "session_id"), t.scans.select("prep_id", "resolution", "zresolution").distinct(), t.histology).select("id", *XYZ), *XYZ, digits=8))
@@ -97,9 +97,9 @@ query("g16_mirror_centers", f"WITH c AS ({SIDED}) SELECT a.abbr, round(coalesce(
     lambda t: rounded(X.mirror_centers(t.centroids.where("prep in (1, 2)").select(F.concat(F.split("abbr", "_")[0], F.when(F.col("prep") == 1, "_L").otherwise("_R")).alias("abbr"), *XYZ), 5), *XYZ, digits=4))
 query("g17_assign_tiles", "SELECT id, CAST(floor(y / 199) * 2 + floor(x / 500) AS BIGINT) AS tile, round(x - floor(x / 500) * 500, 8) AS tile_x, round(y - floor(y / 199) * 199, 8) AS tile_y FROM pts WHERE x >= 0 AND x < 1000 AND y >= 0 AND y < 995")(
     lambda t: rounded(X.assign_tiles(t.pts, 1001, 999).select("id", "tile", "tile_x", "tile_y"), "tile_x", "tile_y", digits=8))
-query("g20_sort_from_center", """WITH u AS (SELECT DISTINCT l_orderkey AS k, l_quantity AS x, l_partkey % 40 AS y FROM lineitem WHERE l_linenumber <= 4), m AS (SELECT *, atan2(y - avg(y) OVER (PARTITION BY k), x - avg(x) OVER (PARTITION BY k)) AS a FROM u)
+query("g20_sort_from_center", """WITH u AS (SELECT DISTINCT l_orderkey AS k, l_quantity AS x, l_partkey % 40 AS y FROM lineitem), m AS (SELECT *, atan2(y - avg(y) OVER (PARTITION BY k), x - avg(x) OVER (PARTITION BY k)) AS a FROM u)
 SELECT k, x, y, row_number() OVER (PARTITION BY k ORDER BY round(a, 9) DESC, x, y) - 1 AS point_order FROM m""")(
-    lambda t: X.sort_from_center(t.lineitem.where("l_linenumber <= 4").select(F.col("l_orderkey").alias("k"), F.col("l_quantity").alias("x"), (F.col("l_partkey") % 40).alias("y")), ["k"]).withColumn("point_order", F.col("point_order").cast("long")))
+    lambda t: X.sort_from_center(t.lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_quantity").alias("x"), (F.col("l_partkey") % 40).alias("y")), ["k"]).withColumn("point_order", F.col("point_order").cast("long")))
 query("w8_densify", """WITH p AS (SELECT session_id, section, x, y, row_number() OVER w - 1 AS i, coalesce(lead(x) OVER w, first_value(x) OVER w) AS nx, coalesce(lead(y) OVER w, first_value(y) OVER w) AS ny FROM polygons WINDOW w AS (PARTITION BY session_id, section ORDER BY id))
 SELECT session_id, section, 2 * i AS point_order, x, round(y, 8) AS y FROM p UNION ALL SELECT session_id, section, 2 * i + 1, (x + nx) / 2, round((y + ny) / 2, 8) FROM p""")(
     lambda t: rounded(X.densify(t.polygons.withColumn("point_order", F.col("id")), ["session_id", "section"]).withColumn("point_order", F.col("point_order").cast("long")), "y", digits=8))

@@ -26,7 +26,7 @@ BINDINGS = {
     "tifs": "SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS id, ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS slide_id, l_partkey % 4 AS scene_index, l_partkey % 4 AS scene_number, l_suppkey % 3 + 1 AS channel, l_quantity * 1000 AS width, l_extendedprice / 4 AS height, l_extendedprice AS file_size, l_returnflag <> 'A' AS active FROM lineitem",
     "sessions": "SELECT o_orderkey AS id, o_custkey AS prep_id, o_orderkey % 5 AS user_id, o_orderkey % 40 AS brain_region_id, CASE o_orderkey % 3 WHEN 0 THEN 'STRUCTURE_COM' WHEN 1 THEN 'POLYGON_SEQUENCE' ELSE 'MARKED_CELL' END AS annotation_type, o_orderstatus <> 'F' AS active, o_orderdate AS created FROM orders",
     "centers": "SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS id, l_orderkey AS session_id, l_quantity AS x, l_extendedprice / 1000 AS y, l_discount * 100 AS z, CASE WHEN l_returnflag = 'A' THEN 'COMPUTER' ELSE 'MANUAL' END AS source FROM lineitem",
-    "brain_regions": "SELECT p_partkey AS id, 'R' || CAST(p_partkey AS VARCHAR(20)) || CASE p_partkey % 3 WHEN 0 THEN '_L' WHEN 1 THEN '_R' ELSE '' END AS abbreviation, p_name AS description, p_size > 5 AS active FROM part WHERE p_partkey < 60",
+    "brain_regions": "SELECT p_partkey AS id, 'R' || CAST(p_partkey AS VARCHAR(20)) || CASE p_partkey % 3 WHEN 0 THEN '_L' WHEN 1 THEN '_R' ELSE '' END AS abbreviation, p_name AS description, p_size > 5 AS active FROM part",
     "polygons": "SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS id, l_orderkey AS session_id, l_suppkey % 4 AS section, l_linenumber AS point_order, l_quantity * 20 AS x, l_extendedprice / 100 AS y FROM lineitem",
     "centroids": "SELECT l_suppkey % 6 AS prep, 'R' || CAST(l_partkey % 9 AS VARCHAR(20)) || CASE l_partkey % 3 WHEN 0 THEN '_L' WHEN 1 THEN '_R' ELSE '' END AS abbr, avg(l_quantity) AS x, avg(l_extendedprice) / 1000 AS y, avg(l_discount) * 100 AS z FROM lineitem GROUP BY l_suppkey % 6, l_partkey % 9, CASE l_partkey % 3 WHEN 0 THEN '_L' WHEN 1 THEN '_R' ELSE '' END",
     # region tree: a root, regions, nations, customers
@@ -34,7 +34,7 @@ BINDINGS = {
     "tree_counts": "SELECT 10000 + o_custkey AS id, count(*) AS cells, CAST(floor(sum(o_totalprice)) AS BIGINT) AS voxels FROM orders GROUP BY 10000 + o_custkey",
     # sparse volumes
     "vox": "SELECT CAST(p_size AS BIGINT) AS x, p_partkey % 50 AS y, p_partkey % 7 AS z, max(1 + p_partkey % 11) AS label FROM part GROUP BY p_size, p_partkey % 50, p_partkey % 7",
-    "brain_vox": "SELECT DISTINCT l_suppkey % 4 AS brain, CAST(l_quantity AS BIGINT) AS x, l_partkey % 20 AS y, l_orderkey % 6 AS z, 1 AS v FROM lineitem WHERE l_quantity < 20",
+    "brain_vox": "SELECT DISTINCT l_suppkey % 4 AS brain, CAST(l_quantity AS BIGINT) AS x, l_partkey % 20 AS y, l_orderkey % 6 AS z, 1 AS v FROM lineitem",
     "pixels": "SELECT l_linenumber AS section, l_suppkey % 25 AS x, l_partkey % 25 AS y, max(CAST(l_quantity * 400 AS BIGINT)) AS value FROM lineitem GROUP BY l_linenumber, l_suppkey % 25, l_partkey % 25",
     "mask": "SELECT DISTINCT l_linenumber AS section, l_suppkey % 25 AS x, l_partkey % 25 AS y FROM lineitem WHERE l_returnflag = 'A'",
     # detections and scores

@@ -52,7 +52,13 @@ MEAN = f"SELECT 0 AS channel, x, y, avg(value) AS value FROM ({PATCH}) GROUP BY
 query("a31_mean_patch", f"WITH m AS ({MEAN}) SELECT channel, x, y, round((value - avg(value) OVER ()) / stddev_pop(value) OVER (), 5) AS value FROM m")(lambda t: rounded(K.mean_patch(patch(t).withColumn("channel", F.lit(0))), "value"))
 
 
-@query("a32_patch_gradients")
+CELLS = "SELECT i - 2 AS i, j - 2 AS j, a.w * c.v AS kx, b.w * d.v AS ky FROM (VALUES (0, -1), (1, -2), (2, 0), (3, 2), (4, 1)) a(i, w), (VALUES (0, -1), (1, -2), (2, 0), (3, 2), (4, 1)) b(j, w), (VALUES (0, 1), (1, 4), (2, 6), (3, 4), (4, 1)) c(jj, v), (VALUES (0, 1), (1, 4), (2, 6), (3, 4), (4, 1)) d(ii, v) WHERE c.jj = b.j AND d.ii = a.i"
+SLOPES = "SELECT {by}x - i AS x, y - j AS y, sum(value * kx) AS gx, sum(value * ky) AS gy FROM {rows}, cells GROUP BY {by}x - i, y - j HAVING count(*) = 25"
+
+
+@query("a32_patch_gradients", f"""WITH cells AS ({CELLS}), p AS ({PATCH}), m0 AS (SELECT x, y, avg(value) AS value FROM p GROUP BY x, y), m1 AS (SELECT x, y, (value - avg(value) OVER ()) / stddev_pop(value) OVER () AS value FROM m0),
+g AS ({SLOPES.format(by="patch, ", rows="p")}), h AS ({SLOPES.format(by="", rows="m1")}), s AS (SELECT patch, sqrt(avg(gx * gx + gy * gy) / 2) AS s FROM g GROUP BY patch), t AS (SELECT sqrt(avg(gx * gx + gy * gy) / 2) AS s FROM h)
+SELECT g.patch, 0 AS channel, round(avg((g.gx * h.gx + g.gy * h.gy) / (s.s * t.s)), 4) AS corr, round(max(s.s), 4) AS energy FROM g JOIN h ON g.x = h.x AND g.y = h.y JOIN s ON s.patch = g.patch, t GROUP BY g.patch""")
 def _(t):
     p = patch(t).withColumn("channel", F.lit(0)).select("patch", "channel", "x", "y", "value")
     return rounded(K.patch_gradient_features(p, K.mean_patch(p)), "corr", "energy", digits=4)
@@ -77,12 +83,24 @@ def box_values(t):
     return d.withColumn("v", F.when(F.col("box") % 5 == 0, F.col("v") * 2).otherwise(F.col("v")))
 
 
-@query("w11_ks_test")
+BOX_VALUES = "SELECT l_suppkey % 27 AS box, l_linenumber AS feature, CASE WHEN l_suppkey % 27 % 5 = 0 THEN l_quantity * 2 ELSE l_quantity END AS v FROM lineitem"
+# the gap's p-value by the same series as the operator's
+P_VALUE = "CASE WHEN lam < 0.2 THEN 1 ELSE least(greatest(list_sum(list_transform(range(1, 21), lambda k: 2 * (-1) ** (k - 1) * exp(-2 * k * k * lam * lam))), 0), 1) END"
+TESTED = "SELECT *, (sqrt(n1 * n2 / (n1 + n2)) + 0.12 + 0.11 / sqrt(n1 * n2 / (n1 + n2))) * abs(gap) AS lam FROM r WHERE o = 1 AND n1 > 0 AND n2 > 0"
+BACKGROUND = "SELECT {'b': box, 'f': feature} AS k, v, 'a' AS s FROM bv UNION ALL SELECT {'b': q.box, 'f': bv.feature}, v, 'b' FROM bv JOIN (SELECT DISTINCT box, feature FROM bv) q ON q.feature = bv.feature"
+DIFFERENT = f'''SELECT k.b AS box, k.f AS feature, gap, v AS "at", CAST(n1 AS BIGINT) AS n1, CAST(n2 AS BIGINT) AS n2, {P_VALUE} AS p FROM ({TESTED}) WHERE {P_VALUE} < 0.01'''
+
+
+@query('w11_ks_test', f'''WITH bv AS ({BOX_VALUES}), {KS.format(rows=BACKGROUND)[5:]} SELECT box, feature, round(gap, 6) AS gap, "at", n1, n2, round(p, 6) AS p FROM ({DIFFERENT})''')
 def _(t):
     return rounded(K.ks_test(box_values(t), box_values(t).select("feature", "v")), "gap", "p", digits=6)
 
 
-@query("w12_box_relations")
+@query("w12_box_relations", f"""WITH bv AS ({BOX_VALUES}), sig AS (WITH {KS.format(rows=BACKGROUND)[5:]} SELECT box, feature FROM ({DIFFERENT})), g3 AS (SELECT DISTINCT box AS id, box // 9 AS bx, box // 3 % 3 AS by, box % 3 AS bz FROM bv),
+near AS (SELECT a.id, b.id AS other FROM g3 a JOIN g3 b ON a.id < b.id AND abs(a.bx - b.bx) <= 1 AND abs(a.by - b.by) <= 1 AND abs(a.bz - b.bz) <= 1),
+rel AS (WITH {KS.format(rows="SELECT {'i': id, 'o': other, 'f': feature} AS k, v, 'a' AS s FROM near JOIN bv ON bv.box = id UNION ALL SELECT {'i': id, 'o': other, 'f': feature}, v, 'b' FROM near JOIN bv ON bv.box = other")[5:]} SELECT k.i AS id, k.o AS other, k.f AS feature, {P_VALUE} AS p FROM ({TESTED}))
+SELECT rel.feature, CASE WHEN s1.box IS NULL OR s2.box IS NULL THEN 'not_significant' WHEN p > 0.1 THEN 'agree' WHEN p < 0.01 THEN 'disagree' ELSE 'neither' END AS relation, count(*) AS pairs
+FROM rel LEFT JOIN sig s1 ON s1.box = id AND s1.feature = rel.feature LEFT JOIN sig s2 ON s2.box = other AND s2.feature = rel.feature GROUP BY 1, 2""")
 def _(t):
     v = box_values(t)
     boxes = v.select(F.col("box").alias("id")).distinct().select("id", F.floor(F.col("id") / 9).alias("bx"), F.floor(F.col("id") / 3 % 3).alias("by"), (F.col("id") % 3).alias("bz"))

@@ -75,8 +75,8 @@ query("v10_apply_mask", "SELECT section, x, y, value, 1 AS factor FROM pixels SE
     lambda t: V.apply_mask(t.pixels, t.mask).withColumn("factor", F.lit(1)).unionByName(V.apply_mask(t.pixels, t.mask, 4).withColumn("factor", F.lit(4))))
 query("v11_threshold_volume", "WITH r AS (SELECT label AS region, x, y, z, x * 7 % 11 AS v FROM vox), c AS (SELECT region, coalesce(quantile_cont(v, 0.9) FILTER (WHERE v > 0), 0.5) AS cut FROM r GROUP BY region) SELECT r.* FROM r JOIN c ON r.region = c.region WHERE v >= cut")(
     lambda t: V.threshold_volume(t.vox.select(F.col("label").alias("region"), "x", "y", "z", (F.col("x") * 7 % 11).alias("v"))))
-query("v12_origin_from_center", "WITH c AS (SELECT label AS region, label * 100.0 AS x, label * 50.0 AS y, 20.0 AS z FROM (SELECT DISTINCT label FROM vox WHERE label < 8)) SELECT c.region, round(any_value(c.x) / 10 - avg(v.x), 5) AS x, round(any_value(c.y) / 10 - avg(v.y), 5) AS y, round(any_value(c.z) / 20 - avg(v.z), 5) AS z FROM c JOIN vox v ON v.label = c.region GROUP BY c.region")(
-    lambda t: rounded(V.origin_from_center(t.vox.where("label < 8").select(F.col("label").alias("region")).distinct().select("region", (F.col("region") * 100.0).alias("x"), (F.col("region") * 50.0).alias("y"), F.lit(20.0).alias("z")), t.vox.withColumnRenamed("label", "region"), {"x": 10, "y": 10, "z": 20}), "x", "y", "z"))
+query("v12_origin_from_center", "WITH c AS (SELECT label AS region, label * 100.0 AS x, label * 50.0 AS y, 20.0 AS z FROM (SELECT DISTINCT label FROM vox)) SELECT c.region, round(any_value(c.x) / 10 - avg(v.x), 5) AS x, round(any_value(c.y) / 10 - avg(v.y), 5) AS y, round(any_value(c.z) / 20 - avg(v.z), 5) AS z FROM c JOIN vox v ON v.label = c.region GROUP BY c.region")(
+    lambda t: rounded(V.origin_from_center(t.vox.select(F.col("label").alias("region")).distinct().select("region", (F.col("region") * 100.0).alias("x"), (F.col("region") * 50.0).alias("y"), F.lit(20.0).alias("z")), t.vox.withColumnRenamed("label", "region"), {"x": 10, "y": 10, "z": 20}), "x", "y", "z"))
 query("v13_stack_volumes", "SELECT x, y, z, CAST(sum(v) AS DOUBLE) AS total, round(sum(v) / 4.0, 5) AS mean FROM brain_vox GROUP BY x, y, z")(
     lambda t: rounded(V.stack_volumes(t.brain_vox).withColumnRenamed("v", "total").join(V.stack_volumes(t.brain_vox, "mean").withColumnRenamed("v", "mean"), ["x", "y", "z"]), "mean"))
 query("w13_rescale_intensity", """WITH q AS (SELECT section, quantile_cont(value, 0.9) AS q90, quantile_cont(value, 0.99) AS q99 FROM pixels WHERE value > 0 GROUP BY section),
@@ -86,13 +86,13 @@ query("w14_normalize_bits", "SELECT section, x, y, round_even((value - mn) / (mx
 
 # --- components of volumes ----------------------------------------------------------------
 
-VOXEL_COMPONENTS = """WITH RECURSIVE n AS (SELECT x * 10000 + y * 100 + z AS id, x, y, z, label FROM vox WHERE label < 4),
+VOXEL_COMPONENTS = """WITH RECURSIVE n AS (SELECT x * 10000 + y * 100 + z AS id, x, y, z, label FROM vox),
 e AS (SELECT a.id AS a, b.id AS b FROM n a JOIN n b ON abs(a.x - b.x) + abs(a.y - b.y) + abs(a.z - b.z) = 1),
 w(id, o) AS (SELECT id, id FROM n UNION SELECT w.id, e.b FROM w JOIN e ON w.o = e.a), c AS (SELECT id, min(o) AS comp FROM w GROUP BY id)"""
 
 
 def voxel_components(t):
-    n = t.vox.where("label < 4").select((F.col("x") * 10000 + F.col("y") * 100 + F.col("z")).alias("id"), "x", "y", "z", F.col("label").alias("value"))
+    n = t.vox.select((F.col("x") * 10000 + F.col("y") * 100 + F.col("z")).alias("id"), "x", "y", "z", F.col("label").alias("value"))
     found = S.components(S.voxel_edges(n, 6), n.select(F.col("id").alias("node")))
     return n.join(found, n["id"] == found["node"]).drop("node")
 
@@ -116,10 +116,10 @@ query("g19_mask_boxes", "WITH c AS (SELECT section, y % 3 AS comp, x, y FROM mas
     lambda t: V.mask_box_per_section(t.mask.withColumn("comp", F.col("y") % 3)))
 
 
-@query("g18_rasterize", """WITH b AS (SELECT n_nationkey AS k, n_nationkey % 5 + 3 AS w, n_nationkey % 4 + 2 AS h FROM nation) SELECT k, x, y FROM b, range(0, 12) r(x), range(0, 12) s(y) WHERE x <= w AND y <= h AND y * w <= h * (w - x)""")
+@query("g18_rasterize", """WITH b AS (SELECT o_orderkey AS k, o_orderkey % 5 + 3 AS w, o_custkey % 4 + 2 AS h FROM orders) SELECT k, x, y FROM b, range(0, 12) r(x), range(0, 12) s(y) WHERE x <= w AND y <= h AND y * w <= h * (w - x)""")
 def _(t):
     # right triangles (0, 0), (w, 0), (0, h)
-    b = t.nation.select(F.col("n_nationkey").alias("k"), (F.col("n_nationkey") % 5 + 3).alias("w"), (F.col("n_nationkey") % 4 + 2).alias("h"))
+    b = t.orders.select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % 5 + 3).alias("w"), (F.col("o_custkey") % 4 + 2).alias("h"))
     corners = F.array(F.struct(F.lit(0).alias("o"), F.lit(0).alias("x"), F.lit(0).alias("y")), F.struct(F.lit(1).alias("o"), F.col("w").alias("x"), F.lit(0).alias("y")), F.struct(F.lit(2).alias("o"), F.lit(0).alias("x"), F.col("h").alias("y")))
     return V.rasterize(b.select("k", F.explode(corners).alias("c")).select("k", F.col("c.o").alias("point_order"), "c.x", "c.y"), ["k"])
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.functions.session import stored
+
 
 def read_table(spark: SparkSession, name: str, options: dict) -> DataFrame:
     """A table of a Parquet folder (``path``), or over JDBC (``url`` and others; give it a partition column)."""
@@ -98,18 +100,19 @@ def flatten_ontology(df: DataFrame) -> DataFrame:
     return joined.select("id", "name", "acronym", "parent_id", *(F.coalesce(c, F.lit("null")).alias(c) for c in ("parent_name", "parent_acronym")))
 
 
-def ontology_rows(spark: SparkSession, documents: DataFrame, column: str, levels: int) -> DataFrame:
-    """Nested ontologies (id, name, acronym, children) of up to ``levels`` levels as flat rows with parent ids."""
-    kind = "struct<id:bigint,name:string,acronym:string>"
-    for _ in range(levels - 1):
-        kind = f"struct<id:bigint,name:string,acronym:string,children:array<{kind}>>"
-    level = documents.select(F.from_json(column, kind).alias("r"), F.lit(None).cast("long").alias("parent_id"))
-    out = None
-    for k in range(levels):
-        rows = level.where("r is not null").select("r.id", "r.name", "r.acronym", "parent_id")
+def ontology_rows(documents: DataFrame, column: str) -> DataFrame:
+    """Nested ontologies (id, name, acronym, children) of any depth as flat rows with parent ids.
+
+    Level by level: children stay text until their turn, and each level is
+    written to the shared folder. Text that can't be read gives a row of nulls.
+    """
+    kind = "struct<id:bigint,name:string,acronym:string,children:array<string>>"
+    level, out = documents.where(F.col(column).isNotNull()).select(F.col(column).alias("doc"), F.lit(None).cast("long").alias("parent_id")), None
+    while out is None or level.limit(1).count():
+        read = stored(level.select(F.from_json("doc", kind).alias("r"), "parent_id").select("r.*", "parent_id"), "ontology-level")
+        rows = read.select("id", "name", "acronym", "parent_id")
         out = rows if out is None else out.union(rows)
-        if k < levels - 1:
-            level = level.select(F.explode("r.children").alias("c"), F.col("r.id").alias("parent_id")).select(F.col("c").alias("r"), "parent_id")
+        level = read.select(F.explode("children").alias("doc"), F.col("id").alias("parent_id")).where("doc is not null")
     return out
 
 

@@ -7,7 +7,7 @@ from tests.parity import compare
 
 SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 #: The smallest lineitem has one row twice, which has one point stand for two.
-NEEDS_DISTINCT_IDS = {"c1_components", "c2_group_close", "a21_signature_counts", "a34_inter_rater", "c4_groups_with_signature", "c3_group_matches"}
+NEEDS_DISTINCT_IDS = {"c1_components", "c2_group_close", "a21_signature_counts", "a34_inter_rater", "c4_groups_with_signature", "c3_group_matches", "c6_merge_thresholds", "c11_link_planes"}
 ORACLES = catalog.oracle_sql()
 
 
