@@ -211,10 +211,29 @@ def ks_p_value(gap: Column, n1: Column, n2: Column, terms: int = 20) -> Column:
 
 
 def ks_test(boxes: DataFrame, background: DataFrame, alpha: float = 0.01, by=("box", "feature")) -> DataFrame:
-    """Boxes and features whose values differ from the background's."""
-    keys = boxes.select(*by).distinct()
-    spread = background.join(keys, "feature")
-    found = ks_statistic(boxes.select(*by, "v"), spread.select(*by, "v"), list(by))
+    """Boxes and features whose values differ from the background's.
+
+    The background is counted once a feature. Between two values of a box its own
+    share stays and the background's rises, so the largest gap lies at one of the
+    box's values or at the last background value before one; a box costs what it
+    holds, not a copy of the background.
+    """
+    over = Window.partitionBy("feature")
+    own = boxes.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("a"))
+    known = background.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("b"))
+    values = known.unionByName(boxes.select("feature", "v").distinct().withColumn("b", F.lit(0).cast("long"))).groupBy("feature", "v").agg(F.sum("b").alias("b"))
+    so_far = over.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    earlier = over.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    placed = values.select("feature", "v", F.sum("b").over(so_far).alias("until"), F.sum("b").over(over).alias("n2"), "b", F.max(F.when(F.col("b") > 0, F.col("v"))).over(earlier).alias("last"))
+    box = Window.partitionBy(*by)
+    steps = own.join(placed, ["feature", "v"])
+    steps = steps.withColumns({"n1": F.sum("a").over(box), "mine": F.sum("a").over(box.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))}).where("n2 > 0")
+    gap = lambda mine, theirs: mine / F.col("n1") - theirs / F.col("n2")
+    here = F.struct(gap(F.col("mine"), F.col("until")).alias("gap"), F.col("v").alias("at"))
+    before = F.struct(gap(F.col("mine") - F.col("a"), F.col("until") - F.col("b")).alias("gap"), F.col("last").alias("at"))
+    best = F.max(F.struct(F.abs("g.gap").alias("size"), (-F.col("g.at")).alias("v"), "g.gap", "n1", "n2")).alias("m")
+    found = steps.select(*by, "n1", "n2", F.explode(F.array(here, before)).alias("g")).where("g.at is not null").groupBy(*by).agg(best)
+    found = found.select(*by, F.col("m.gap").alias("gap"), (-F.col("m.v")).alias("at"), F.col("m.n1").alias("n1"), F.col("m.n2").alias("n2"))
     return found.withColumn("p", ks_p_value(F.col("gap"), F.col("n1"), F.col("n2"))).where(F.col("p") < alpha)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.functions.columns import divided
-from tessella.functions.session import stored
+from tessella.functions.session import scratch, stored
 from tessella.operators import graphs
 
 
@@ -55,12 +55,33 @@ def nearest(queries: DataFrame, candidates: DataFrame, keys: list[str], max_dist
 
 
 def nearest_in_tile(queries: DataFrame, candidates: DataFrame, keys: list[str], axes=("x", "y")) -> DataFrame:
-    """The nearest candidate within the same tile, at any distance; ties to the smaller id."""
-    q = queries.select(*keys, "id", *axes)
-    c = candidates.select(*keys, F.col("id").alias("__id"), *(F.col(x).alias(f"__{x}") for x in axes))
-    dist = F.sqrt(reduce(lambda s, x: s + F.pow(F.col(x) - F.col(f"__{x}"), 2), axes, F.lit(0.0)))
-    best = q.join(c, keys).groupBy("id").agg(F.min(F.struct(dist.alias("d"), F.col("__id").alias("i"))).alias("m"))
-    return best.select("id", F.col("m.i").alias("match"), F.col("m.d").alias("dist"))
+    """The nearest candidate within the same tile, at any distance; ties to the smaller id.
+
+    The search widens: queries that find nothing within a distance, at first
+    about that of neighbouring candidates in a tile of mean size, go on with four
+    times that, until all candidates of a tile are near. So a dense tile costs
+    what its neighbourhoods cost, and never all its pairs.
+    """
+    q, c = stored(queries.select(*keys, "id", *axes), "queries"), stored(candidates.select(*keys, "id", *axes), "candidates")
+    tiles = q.select(*keys).union(c.select(*keys)).distinct().count()
+    ends = q.select(*axes).union(c.select(*axes)).agg(*(f(x).alias(f"{n}{x}") for x in axes for n, f in (("low", F.min), ("high", F.max)))).first()
+    sides = [float((ends[f"high{x}"] or 0) - (ends[f"low{x}"] or 0)) for x in axes]
+    widest = sum(v * v for v in sides) ** 0.5 + 1.0
+    area = 1.0
+    for v in sides:
+        area *= max(v, 1e-9)
+    d = min(widest, max(2 * (area / max(1, c.count())) ** (1 / len(axes)), widest * 1e-6))
+    open_, out = q.join(c.select(*keys).distinct(), keys, "left_semi"), None
+    while tiles:
+        found = stored(nearest(open_, c, keys, d, axes), "nearest")
+        out = found if out is None else out.unionByName(found)
+        if d >= widest:
+            break
+        open_ = stored(open_.join(found.select("id"), "id", "left_anti"), "open-queries")
+        if not open_.limit(1).count():
+            break
+        d = min(4 * d, widest)
+    return out if out is not None else nearest(q, c, keys, 1.0, axes)
 
 
 # --- components ---------------------------------------------------------------------------
@@ -122,15 +143,41 @@ def inter_rater(labelled: DataFrame, a: str, b: str) -> DataFrame:
     return labelled.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("groups"))
 
 
+#: Parts of a section whose outlines are found on their own first.
+HULL_PARTS = 8
+
+
+def _outline(frame):
+    """Corners of the convex hull of one group's points, by rising x."""
+    import pandas as pd
+
+    pts = sorted(set(zip(frame["x"].tolist(), frame["y"].tolist())))
+    turn = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
+    corners = set(pts[:1])
+    for way in (pts, pts[::-1]):
+        chain: list = []
+        for p in way:
+            while len(chain) > 1 and turn(chain[-2], chain[-1], p) <= 0:
+                chain.pop()
+            chain.append(p)
+        corners.update(chain)
+    first = frame.iloc[0]
+    return pd.DataFrame([(first["prep"], first["section"], x, y) for x, y in sorted(corners)], columns=["prep", "section", "x", "y"])
+
+
 def section_spread(pts: DataFrame) -> DataFrame:
     """Mean place and largest distance of two points of each section with two points or more.
 
-    The farthest two points lie on the outline, so only each column's lowest and
-    highest points are compared.
+    The farthest two points are corners of the convex hull. Only each column's
+    lowest and highest points are looked at; hulls of parts of a section are found
+    first, and the section's own from their corners, which are few.
     """
     mean = pts.groupBy("prep", "section").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("x"), F.avg("y").alias("y")).where("n >= 2")
-    rim = pts.groupBy("prep", "section", "x").agg(F.array_distinct(F.array(F.min("y"), F.max("y"))).alias("ys")).select("prep", "section", "x", F.explode("ys").alias("y"))
-    far = rim.join(rim.select("prep", "section", F.col("x").alias("x2"), F.col("y").alias("y2")), ["prep", "section"])
+    rim = pts.groupBy("prep", "section", "x").agg(F.array_distinct(F.array(F.min("y"), F.max("y"))).alias("ys")).select("prep", "section", F.col("x").cast("double").alias("x"), F.explode(F.col("ys").cast("array<double>")).alias("y"))
+    kind = ", ".join(f"{k} {rim.schema[k].dataType.simpleString()}" for k in ("prep", "section")) + ", x double, y double"
+    corners = rim.groupBy("prep", "section", F.pmod(F.xxhash64("x"), F.lit(HULL_PARTS)).alias("part")).applyInPandas(_outline, kind)
+    corners = stored(corners.groupBy("prep", "section").applyInPandas(_outline, kind), "corners")
+    far = corners.join(corners.select("prep", "section", F.col("x").alias("x2"), F.col("y").alias("y2")), ["prep", "section"])
     spread = far.groupBy("prep", "section").agg(F.max(F.sqrt(F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2))).alias("spread"))
     return mean.join(spread, ["prep", "section"])
 
@@ -231,18 +278,68 @@ def match_points(truth: DataFrame, pred: DataFrame, cutoff: float, keys: list[st
     return _greedy(left, list(keys))
 
 
-def _greedy(left: DataFrame, keys: list[str]) -> DataFrame:
-    taken = None
-    while True:
+#: Pairs, a few MB, that one task settles.
+SETTLED = 100_000
+
+
+def _in_order(keys: list[str]):
+    """Pairs that greedy matching takes, the shortest first, from frames that hold whole components."""
+
+    def run(frames):
+        import pandas as pd
+
+        frames = [f for f in frames if len(f)]
+        if not frames:
+            return
+        rows = pd.concat(frames).sort_values(["dist", "id_a", "id_b"], kind="stable")
+        left, right, take = set(), set(), []
+        for r in rows[[*keys, "id_a", "id_b"]].itertuples(index=False):
+            a, b = (*r[:-2], r[-2]), (*r[:-2], r[-1])
+            ok = a not in left and b not in right
+            if ok:
+                left.add(a)
+                right.add(b)
+            take.append(ok)
+        yield rows[take][[*keys, "id_a", "id_b", "dist"]]
+
+    return run
+
+
+def _greedy(left: DataFrame, keys: list[str], settled: int = SETTLED) -> DataFrame:
+    """Pairs that are the best of both their ends, round by round.
+
+    What one task can hold is settled there. If a round takes little, as in a
+    chain of falling distances, the pairs are split into components: small ones
+    are settled each in one group, and only large ones stay for further rounds.
+    """
+    spark, columns = left.sparkSession, [*keys, "id_a", "id_b", "dist"]
+    left = left.select(*columns)
+    schema, path = left.schema, scratch(left.sparkSession, "matched")
+    keep = lambda df: df.select(*columns).write.mode("append").parquet(path)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    split, n = False, left.count()
+    while n > settled:
         best_a = left.groupBy(*keys, "id_a").agg(F.min(F.struct("dist", "id_a", "id_b")).alias("m"))
         best_b = left.groupBy(*keys, "id_b").agg(F.min(F.struct("dist", "id_a", "id_b")).alias("m"))
         pick = lambda df: df.select(*keys, "m.id_a", "m.id_b", "m.dist")
-        new = stored(pick(best_a).join(pick(best_b), [*keys, "id_a", "id_b", "dist"], "left_semi"), "matched")
-        taken = new if taken is None else taken.union(new)
+        new = stored(pick(best_a).join(pick(best_b), columns, "left_semi"), "matched-round")
+        keep(new)
         left = left.join(new.select(*keys, "id_a"), [*keys, "id_a"], "left_anti").join(new.select(*keys, "id_b"), [*keys, "id_b"], "left_anti")
-        left = stored(left, "pairs")
-        if not left.limit(1).count():
-            return taken
+        left = stored(left.select(*columns), "pairs")
+        before, n = n, left.count()
+        if n > settled and n > 0.8 * before and not split:
+            split = True
+            end = lambda side: F.to_json(F.struct(*keys, F.lit(side).alias("side"), F.col(f"id_{side}").alias("id")))
+            named = stored(left.withColumns({"a": end("a"), "b": end("b")}), "ends")
+            comps = graphs.components(named.select("a", "b"))
+            named = stored(named.join(comps.withColumnRenamed("node", "a"), "a").select(*columns, "comp"), "pairs-by-component")
+            large = stored(named.groupBy("comp").count().where(F.col("count") > settled).select("comp"), "large-components")
+            run = _in_order(keys)
+            keep(named.join(large, "comp", "left_anti").groupBy("comp").applyInPandas(lambda f: next(run([f.drop(columns="comp")])), kinds))
+            left = stored(named.join(large, "comp", "left_semi").select(*columns), "pairs")
+            n = left.count()
+    keep(left.coalesce(1).mapInPandas(_in_order(keys), kinds))
+    return spark.read.schema(schema).parquet(path)
 
 
 def match_counts(truth: DataFrame, pred: DataFrame, pairs: DataFrame, by: list[str] = ()) -> DataFrame:

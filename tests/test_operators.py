@@ -62,6 +62,60 @@ def test_jittered_copies(spark):
     assert c["tp"] + c["fn"] == 300 and c["tp"] + c["fp"] == 290 and c["f1"] > 0.9
 
 
+@pytest.mark.parametrize("settled", [0, 10, 10**6])
+def test_matching_settles_chains_and_clouds_alike(spark, settled):
+    # a chain of falling distances takes one pair a round
+    chain = [(1, 2 * i, 2 * i + 1, 100.0 - 2 * i) for i in range(40)] + [(1, 2 * i + 2, 2 * i + 1, 99.0 - 2 * i) for i in range(39)]
+    r = random.Random(5)
+    cloud_ = [(2, a, b, float(r.randint(1, 30))) for a in range(20) for b in range(20) if r.random() < 0.4]
+    want = set()
+    for rows in (chain, cloud_):
+        left, right = set(), set()
+        for k, a, b, d in sorted(rows, key=lambda x: (x[3], x[1], x[2])):
+            if a not in left and b not in right:
+                left.add(a), right.add(b), want.add((k, a, b, d))
+    pairs = frame(spark, chain + cloud_, "k int, id_a long, id_b long, dist double")
+    if settled == 0:
+        pairs = pairs.where("k = 2")
+        want = {w for w in want if w[0] == 2}
+    assert set(map(tuple, spatial._greedy(pairs, ["k"], settled).collect())) == want
+
+
+def test_two_thousand_points_match_two_thousand(spark):
+    r = random.Random(8)
+    truth = [(i, 1, r.uniform(0, 400), r.uniform(0, 400)) for i in range(2010)]
+    found = [(i, 1, x + r.gauss(0, 1), y + r.gauss(0, 1)) for i, (_, _, x, y) in enumerate(truth[:2000])]
+    schema = "id long, section int, x double, y double"
+    pairs = spatial.match_points(frame(spark, truth, schema), frame(spark, found, schema), 10, ["section"])
+    assert {(p["id_a"], p["id_b"]) for p in pairs.collect()} == set(greedy(truth, found, 10))
+
+
+def test_nearest_in_tile_widens_its_search(spark):
+    r = random.Random(9)
+    a = [(i, i % 3, r.uniform(0, 1000), r.uniform(0, 1000)) for i in range(150)]
+    b = [(i, i % 2, r.choice([5.0, 990.0]) + r.random(), r.uniform(0, 1000)) for i in range(90)]
+    schema = "id long, t int, x double, y double"
+    got = {r["id"]: (r["match"], round(r["dist"], 9)) for r in spatial.nearest_in_tile(frame(spark, a, schema), frame(spark, b, schema), ["t"]).collect()}
+    want = {}
+    for i, t, x, y in a:
+        near = sorted((math.dist((x, y), q[2:]), q[0]) for q in b if q[1] == t)
+        if near:
+            want[i] = (near[0][1], round(near[0][0], 9))
+    assert got == want
+    assert spatial.nearest_in_tile(frame(spark, [], schema), frame(spark, b, schema), ["t"]).count() == 0
+
+
+def test_ks_test_of_boxes_that_share_no_values(spark):
+    r = random.Random(10)
+    boxes = [(k, 1, float(r.randint(0, 9 + 4 * k))) for k in range(5) for _ in range(40)]
+    background = [(1, r.randint(0, 40) / 2 + 0.25) for _ in range(300)] + [(1, float(r.randint(0, 12))) for _ in range(60)]
+    b, g = frame(spark, boxes, "box int, feature int, v double"), frame(spark, background, "feature int, v double")
+    got = {r["box"]: (round(r["gap"], 9), r["at"], r["n1"], r["n2"]) for r in scores.ks_test(b, g, alpha=2.0).collect()}
+    spread = g.join(b.select("box", "feature").distinct(), "feature")
+    want = scores.ks_statistic(b, spread.select("box", "feature", "v"), ["box", "feature"]).collect()
+    assert got == {r["box"]: (round(r["gap"], 9), r["at"], r["n1"], r["n2"]) for r in want} and len(got) == 5
+
+
 def test_components_of_a_long_chain(spark):
     edges = frame(spark, [(i, i + 1) for i in range(60) if i % 20 != 19], "a long, b long")
     found = {r["node"]: r["comp"] for r in spatial.components(edges).collect()}
