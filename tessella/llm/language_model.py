@@ -1,11 +1,12 @@
 """Deleted interpolation: an n-gram language model over the whole corpus.
 
-A word's probability after its context is
-    a * c(h, w) / c(h) + b * c(w) / N + c / (V + 1)
-with weights (a, b, c) that depend on how often the context was seen: contexts
-are bucketed by the binary logarithm of their frequency, and each bucket's
-weights are learned by expectation-maximisation on held-out counts, that is, on
-training documents whose own counts are deleted from the estimates first.
+A word's probability after the two words before it is
+    a * c(g, h, w) / c(g, h) + b * c(h, w) / c(h) + c * c(w) / N + d / (V + 1)
+with weights (a, b, c, d) that depend on how often the context was seen: contexts
+are bucketed by the binary logarithm of the frequency of (g, h), or of h where
+that pair is new, and each bucket's weights are learned by
+expectation-maximisation on held-out counts, that is, on training documents
+whose own counts are deleted from the estimates first.
 
 Counting and look-up are two exchanges. Documents are dealt into parts of a few
 MB. A part sends each of its distinct n-grams once, with its count, to the
@@ -13,7 +14,11 @@ n-gram's bucket; the bucket adds up and answers every part with the corpus
 counts, in the order in which the part asked, so answers need no keys. Parts
 then score their documents. N-grams travel as blocks of 64-bit hashes, one block
 for a part and bucket; both numbers grow with the corpus, so a task holds about
-the same amount at any size.
+the same amount at any size, while blocks grow with the square of the corpus and
+are small beyond some hundred GB. Words have 64-bit hashes: the chance that any
+two of V words share one is V * V / 2**65, 3e-8 for a million and 3e-4 for a
+hundred million. Pairs and triples have 48 bits, which only the mixture sees:
+of 10**9 distinct ones, 4 in a million meet another one's count.
 
 Defined cases: a null or empty text is its end mark alone; a null doc_id counts
 as the empty text where ids are hashed; equal rows get equal scores; an empty
@@ -31,15 +36,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm.common import chunks, documents, id_text, materialize, mix, text_of, word_hashes
+from tessella.llm.common import chunks, documents, id_text, materialize, mix, small_batches, text_of, word_hashes
 
 #: Bytes of text in a part.
 PART_BYTES = 8 << 20
 END, START = np.uint64(0x3C79AC492BA7B653), np.uint64(0x1C69B3F74AC4AE35)
-#: Context buckets: 0 for unseen ones, then one a power of two.
-CONTEXTS = 48
-#: Quarters of a binary logarithm by which probabilities are told apart while weights are learned.
-STEPS, FINE = 4, 160
+#: Context buckets: HALF for new pairs, by the word's frequency (0, then one a power of two), and as many for known ones.
+HALF = 32
+CONTEXTS = 2 * HALF
+#: Halves of a binary logarithm by which probabilities of triples, pairs and words are told apart while weights are
+#: learned: so many of each, and one that stands for zero. At most CONTEXTS * 33 * 41 * 49 cells reach the driver.
+STEPS, FINE = 2, (32, 40, 48)
+#: Bits of the hashes of words, pairs and triples.
+BITS = {1: 64, 2: 48, 3: 48}
 ROUNDS = 40
 
 
@@ -58,33 +67,64 @@ def _sequences(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class Grams:
-    """Distinct words and pairs of a part, sorted, and where each token's are."""
+    """Distinct words, pairs and triples of a part, sorted, and where each token's are."""
 
-    words: np.ndarray
-    pairs: np.ndarray
-    word_at: np.ndarray
-    pair_at: np.ndarray
-    context: np.ndarray  # of each pair: place of its first word; texts begin as often as they end
+    keys: dict[int, np.ndarray]  # by length
+    at: dict[int, np.ndarray]
+    before: np.ndarray  # of each token: place of the word before it; texts begin as often as they end
+    pair_before: np.ndarray  # place of the pair before it, or -1 at a text's start
     lengths: np.ndarray
 
     @classmethod
     def of(cls, texts: pd.Series) -> Grams:
         tokens, before, lengths = _sequences(texts)
-        words, word_at = np.unique(tokens, return_inverse=True)
+        keys, at = {}, {}
+        keys[1], at[1] = np.unique(tokens, return_inverse=True)
         with np.errstate(over="ignore"):
-            keys = mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(tokens))
-        pairs, first, pair_at = np.unique(keys, return_index=True, return_inverse=True)
-        led_by = np.where(before[first] == START, END, before[first])
-        return cls(words, pairs, word_at, pair_at, np.searchsorted(words, led_by), lengths)
-
-
-def _bucket_edges(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets that sorted keys fall into, and where each begins and ends."""
-    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+            pair = mix(before * np.uint64(0x9E3779B97F4A7C15) + mix(tokens))
+            first = np.cumsum(lengths) - lengths
+            earlier = np.append(START, before[:-1])
+            earlier[first] = START
+            triple = mix(earlier * np.uint64(0xD1B54A32D192ED03) + pair)
+        for k, x in ((2, pair), (3, triple)):
+            keys[k], at[k] = np.unique(x >> np.uint64(64 - BITS[k]), return_inverse=True)
+        pair_before = np.append(-1, at[2][:-1])
+        pair_before[first] = -1
+        word_before = np.append(0, at[1][:-1])
+        word_before[first] = np.searchsorted(keys[1], END)
+        return cls(keys, at, word_before, pair_before, lengths)
+
+    def estimates(self, counts: dict[int, np.ndarray], tokens: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each token: the context's bucket, and the probabilities by triple, pair and word."""
+        word, texts = counts[1][self.before], counts[1][np.searchsorted(self.keys[1], END)] if len(self.lengths) else 0
+        pair = np.where(self.pair_before < 0, texts, counts[2][self.pair_before])
+        share = lambda c, n: np.where(n > 0, c / np.maximum(n, 1), 0.0)
+        p = np.stack([share(counts[3][self.at[3]], pair), share(counts[2][self.at[2]], word), counts[1][self.at[1]] / max(tokens, 1)], axis=1)
+        log = lambda n: np.floor(np.log2(np.maximum(n, 1)))
+        new = np.minimum(np.where(word > 0, 1 + log(word), 0), HALF - 1)
+        return np.where(pair > 0, HALF + np.minimum(log(pair), HALF - 1), new).astype(np.int64), p
+
+
+def _bucket_edges(keys: np.ndarray, bits: int, of: int) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets that sorted keys of ``of`` bits fall into, and where each begins and ends."""
+    bucket = (keys >> np.uint64(of - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
     found, first = np.unique(bucket, return_index=True)
     return found, np.append(first, len(keys))
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Rising keys: the first one, and the steps between them in four bytes where they fit, else in eight."""
+    steps = np.diff(keys)
+    kind = "<u4" if not len(steps) or steps.max() < 2**32 else "<u8"
+    return keys[:1].astype("<u8").tobytes() + kind[-1].encode() + steps.astype(kind).tobytes()
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, f"<u{data[8:9].decode()}", offset=9).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return np.cumsum(np.append(np.frombuffer(data, "<u8", 1), steps), dtype=np.uint64)
+
+
 def _pack(numbers: np.ndarray) -> bytes:
     return zlib.compress(numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
@@ -98,11 +138,11 @@ def _ask(bits: int):
         grams, train = Grams.of(frame["text"]), frame["train"].to_numpy(bool)
         counted = np.repeat(train, grams.lengths)
         rows = []
-        for kind, keys, at in ((1, grams.words, grams.word_at), (2, grams.pairs, grams.pair_at)):
-            counts = np.bincount(at[counted], minlength=len(keys))
-            found, edges = _bucket_edges(keys, bits)
+        for kind, keys in grams.keys.items():
+            counts = np.bincount(grams.at[kind][counted], minlength=len(keys))
+            found, edges = _bucket_edges(keys, bits, BITS[kind])
             for b, i, j in zip(found, edges, edges[1:]):
-                rows.append((int(b), int(frame["part"].iat[0]), kind, keys[i:j].tobytes(), _pack(counts[i:j])))
+                rows.append((int(b), int(frame["part"].iat[0]), kind, _pack_keys(keys[i:j]), _pack(counts[i:j])))
         return pd.DataFrame(rows, columns=["bucket", "part", "kind", "keys", "counts"])
 
     return run
@@ -114,7 +154,7 @@ def _answer(first_held_out: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         rows, totals = [], np.zeros(4, np.int64)
         for kind, blocks in frame.groupby("kind"):
-            keys = [np.frombuffer(x, np.uint64) for x in blocks["keys"]]
+            keys = [_unpack_keys(x) for x in blocks["keys"]]
             counts = [_unpack(x) for x in blocks["counts"]]
             held = np.repeat(blocks["part"].to_numpy() >= first_held_out, [len(k) for k in keys])
             distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
@@ -133,63 +173,58 @@ def _answer(first_held_out: int):
     return run
 
 
-def _corpus_counts(answers: pd.DataFrame, column: str = "counts") -> tuple[np.ndarray, np.ndarray]:
-    """Counts of a part's words and pairs, in its order."""
+def _corpus_counts(answers: pd.DataFrame, column: str = "counts") -> dict[int, np.ndarray]:
+    """Counts of a part's words, pairs and triples, in its order."""
     answers = answers.sort_values("bucket")
-    return tuple(np.concatenate([_unpack(x) for x in answers.loc[answers["kind"] == k, column]]) for k in (1, 2))
-
+    return {k: np.concatenate([_unpack(x) for x in answers.loc[answers["kind"] == k, column]]) for k in BITS}
 
-def _context_bucket(counts: np.ndarray) -> np.ndarray:
-    return np.minimum(np.where(counts > 0, 1 + np.floor(np.log2(np.maximum(counts, 1))), 0), CONTEXTS - 1).astype(np.int64)
 
-
-def _steps(p: np.ndarray) -> np.ndarray:
-    """Negated binary logarithms in steps; FINE stands for zero."""
-    with np.errstate(divide="ignore"):
-        return np.where(p > 0, np.minimum(np.round(-np.log2(p) * STEPS), FINE - 1), FINE).astype(np.int64)
+def _cells(bucket: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """One number for the bucket and the three probabilities' steps."""
+    cell = bucket
+    for k, fine in enumerate(FINE):
+        with np.errstate(divide="ignore"):
+            step = np.where(p[:, k] > 0, np.minimum(np.round(-np.log2(p[:, k]) * STEPS), fine - 1), fine)
+        cell = cell * (fine + 1) + step.astype(np.int64)
+    return cell
 
 
 def _held_out(kept_tokens: int):
-    """How often held-out tokens have which context bucket, pair and word probability."""
+    """How often held-out tokens have which context bucket and probabilities."""
 
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame({"cell": [], "n": []})
-        grams = Grams.of(docs["text"])
-        words, pairs = (a - b for a, b in zip(_corpus_counts(answers), _corpus_counts(answers, "deleted")))
-        context = words[grams.context]
-        pair_p = np.where(context > 0, pairs / np.maximum(context, 1), 0)
-        word_of_pair = np.zeros(len(grams.pairs), np.int64)
-        word_of_pair[grams.pair_at] = grams.word_at
-        cell = (_context_bucket(context) * (FINE + 1) + _steps(pair_p)) * (FINE + 1) + _steps(words[word_of_pair] / max(kept_tokens, 1))
-        found, at = np.unique(cell, return_inverse=True)
-        return pd.DataFrame({"cell": found, "n": np.bincount(at, np.bincount(grams.pair_at, minlength=len(grams.pairs)), len(found)).astype(np.int64)})
+        grams, every, own = Grams.of(docs["text"]), _corpus_counts(answers), _corpus_counts(answers, "deleted")
+        found, n = np.unique(_cells(*grams.estimates({k: every[k] - own[k] for k in every}, kept_tokens)), return_counts=True)
+        return pd.DataFrame({"cell": found, "n": n})
 
     return run
 
 
 def learn_weights(cells: np.ndarray, n: np.ndarray, types: int) -> np.ndarray:
-    """Weights (pair, word, uniform) of each context bucket by expectation-maximisation."""
-    bucket, rest = cells // (FINE + 1) ** 2, cells % (FINE + 1) ** 2
-    p = np.zeros((len(cells), 3))
-    for k, step in ((0, rest // (FINE + 1)), (1, rest % (FINE + 1))):
-        p[:, k] = np.where(step == FINE, 0, 2.0 ** (-step / STEPS))
-    p[:, 2] = 1 / (types + 1)
-    weights = np.full((CONTEXTS, 3), 1 / 3)
+    """Weights (triple, pair, word, uniform) of each context bucket by expectation-maximisation."""
+    p, rest = np.full((len(cells), 4), 1 / (types + 1)), cells
+    for k in (2, 1, 0):
+        step, rest = rest % (FINE[k] + 1), rest // (FINE[k] + 1)
+        p[:, k] = np.where(step == FINE[k], 0, 2.0 ** (-step / STEPS))
+    bucket = rest
+    weights = np.full((CONTEXTS, 4), 1 / 4)
     seen = np.bincount(bucket, n, CONTEXTS) > 0
     for _ in range(ROUNDS):
         share = weights[bucket] * p
         share *= (n / share.sum(axis=1))[:, None]
-        mass = np.stack([np.bincount(bucket, share[:, k], CONTEXTS) for k in range(3)], axis=1)
+        mass = np.stack([np.bincount(bucket, share[:, k], CONTEXTS) for k in range(4)], axis=1)
         mass = mass + 1e-3  # no weight becomes nothing
         weights[seen] = (mass / mass.sum(axis=1, keepdims=True))[seen]
     # buckets that held-out text never met take their lower neighbour's weights
     for k in range(1, CONTEXTS):
-        if not seen[k]:
+        if not seen[k] and k != HALF:
             weights[k] = weights[k - 1]
-    weights[0] = np.where([True, False, False], 0, weights[0])  # an unseen context has no pairs
-    weights[0] /= weights[0].sum()
-    return weights
+    # a new pair has no triples, and a new word no pairs either
+    weights[:HALF, 0] = 0
+    weights[0, 1] = 0
+    return weights / weights.sum(axis=1, keepdims=True)
 
 
 def _score(weights: np.ndarray, types: int, tokens: int):
@@ -198,18 +233,16 @@ def _score(weights: np.ndarray, types: int, tokens: int):
         if not len(docs):
             return pd.DataFrame(columns=columns)
         grams = Grams.of(docs["text"])
-        words, pairs = _corpus_counts(answers)
-        context = words[grams.context]
-        w = weights[_context_bucket(context)]
-        word_of_pair = np.zeros(len(grams.pairs), np.int64)
-        word_of_pair[grams.pair_at] = grams.word_at
-        p = w[:, 0] * pairs / np.maximum(context, 1) + w[:, 1] * words[word_of_pair] / max(tokens, 1) + w[:, 2] / (types + 1)
+        counts = _corpus_counts(answers)
+        words = counts[1]
+        bucket, p = grams.estimates(counts, tokens)
+        p = (weights[bucket, :3] * p).sum(axis=1) + weights[bucket, 3] / (types + 1)
         first = np.cumsum(grams.lengths) - grams.lengths
         add = lambda x: np.add.reduceat(x, first)
         return pd.DataFrame({
             "doc_id": docs["doc_id"], "held_out": ~docs["train"].to_numpy(bool), "n_tokens": grams.lengths,
-            "n_known": add((words > 0)[grams.word_at].astype(np.int64)), "train_tokens": tokens,
-            "base_score": add(np.log10((words + 1) / (tokens + types + 1))[grams.word_at]), "score": add(np.log10(p)[grams.pair_at]),
+            "n_known": add((words > 0)[grams.at[1]].astype(np.int64)), "train_tokens": tokens,
+            "base_score": add(np.log10((words + 1) / (tokens + types + 1))[grams.at[1]]), "score": add(np.log10(p)),
         })
 
     return run
@@ -220,6 +253,7 @@ def score_documents(docs: DataFrame, train: Column, held_out: Column) -> DataFra
 
     ``held_out``: the training documents whose counts are deleted while weights are learned.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"), train.alias("train"), (train & held_out).alias("held"))
     size = rows.groupBy("held").agg(F.sum(F.octet_length("text")).alias("b")).collect()
     n_parts = {r["held"]: max(1, -(-(r["b"] or 0) // PART_BYTES)) for r in size}
@@ -237,7 +271,7 @@ def score_documents(docs: DataFrame, train: Column, held_out: Column) -> DataFra
     answers = answers.where("part >= 0")
 
     cells = parts.where("held").groupBy("part").cogroup(answers.where(F.col("part") >= plain).groupBy("part")).applyInPandas(_held_out(tokens - held_tokens), "cell long, n long")
-    cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # CONTEXTS * (FINE + 1)**2 rows at most
+    cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # bounded, see FINE
     weights = learn_weights(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(np.float64), kept_types)
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return parts.groupBy("part").cogroup(answers.groupBy("part")).applyInPandas(_score(weights, types, tokens), schema).withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -314,10 +314,66 @@ def test_base_scores(spark, awkward):
 
 
 def test_weights_come_from_held_out_counts():
-    # held-out tokens whose pair was likely want the pair's weight
-    cell = lambda b, pair, word: (b * (language_model.FINE + 1) + pair) * (language_model.FINE + 1) + word
-    w = language_model.learn_weights(np.array([cell(3, 2, 40), cell(5, language_model.FINE, 20)]), np.array([1000.0, 1000.0]), 10**6)
-    assert w[3, 0] > 0.95 and w[5, 0] < 0.05 and np.allclose(w.sum(axis=1), 1)
+    # held-out tokens whose triple or pair was likely want its weight
+    cell = lambda b, *p: int(language_model._cells(np.array([b]), np.array([p]))[0])
+    half = language_model.HALF
+    cells = np.array([cell(half + 3, 0.7, 0.0, 1e-6), cell(5, 0.0, 0.7, 1e-6), cell(7, 0.0, 0.0, 0.1)])
+    w = language_model.learn_weights(cells, np.array([1000.0, 1000.0, 1000.0]), 10**6)
+    assert w[half + 3, 0] > 0.95 and w[5, 1] > 0.95 and w[7, 2] > 0.95 and np.allclose(w.sum(axis=1), 1)
+    assert not w[:half, 0].any() and w[0, 1] == 0
+
+
+@pytest.mark.parametrize("part_bytes", [3000, 8 << 20])
+def test_scores_by_brute_force(spark, awkward, monkeypatch, part_bytes):
+    """The mixture of triples, pairs, words and a uniform part, counted with dictionaries; the weights by the same cells."""
+    monkeypatch.setattr(language_model, "PART_BYTES", part_bytes)
+    fold = F.coalesce(F.col("doc_id"), F.lit(0)) % 3
+    got = language_model.score_documents(awkward, fold != 1, fold == 2).collect()
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+    rows = [(i, [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)), "\n"]) for i, t, *_ in awkward_rows()]
+
+    def counted(keep):
+        c = collections.Counter()
+        for i, ws in rows:
+            if keep((i or 0) % 3):
+                c["texts"] += 1
+                for k, w in enumerate(ws):
+                    h = (["\r", "\r"] + ws)[k : k + 2]
+                    c.update([(w,), (h[1], w), (h[0], h[1], w)])
+                c["tokens"] += len(ws)
+        return c
+
+    def estimate(c, ws, k):
+        h = tuple((["\r", "\r"] + ws)[k : k + 2])
+        word = c["texts"] if h[1] == "\r" else c[h[1:]]
+        pair = c["texts"] if h == ("\r", "\r") else c[h]
+        bucket = language_model.HALF + int(math.log2(pair)) if pair else 1 + int(math.log2(word)) if word else 0
+        return bucket, (c[(*h, ws[k])] / pair if pair else 0, c[(h[1], ws[k])] / word if word else 0, c[(ws[k],)] / c["tokens"])
+
+    types = lambda c: sum(isinstance(x, tuple) and len(x) == 1 for x in c)
+    kept, every = counted(lambda f: f == 0), counted(lambda f: f != 1)
+    cells = collections.Counter()
+    for i, ws in rows:
+        if (i or 0) % 3 == 2:
+            for k in range(len(ws)):
+                b, p = estimate(kept, ws, k)
+                cells[int(language_model._cells(np.array([b]), np.array([p], float))[0])] += 1
+    keys = sorted(cells)
+    w = language_model.learn_weights(np.array(keys), np.array([float(cells[k]) for k in keys]), types(kept))
+    want = []
+    for i, ws in rows:
+        total = 0.0
+        for k in range(len(ws)):
+            b, p = estimate(every, ws, k)
+            total += math.log10(w[b, :3] @ np.array(p) + w[b, 3] / (types(every) + 1))
+        want.append((i, round(total, 5)))
+    assert collections.Counter((r["doc_id"], round(r["score"], 5)) for r in got) == collections.Counter(want)
+
+
+def test_key_blocks_come_back():
+    for keys in ([5], [1, 2, 2**48 - 1], [3, 2**40, 2**63 + 5], list(range(1, 4000, 7))):
+        a = np.array(keys, np.uint64)
+        assert language_model._unpack_keys(language_model._pack_keys(a)).tolist() == keys
 
 
 def test_pairs_help_where_words_follow_words(spark):
