@@ -6,8 +6,9 @@ the difference of their logarithms are the evidence. A logistic curve of second
 degree in that evidence, fitted on labelled texts that no dictionary has seen,
 turns it into a probability.
 
-Only fitting sees a sample: at most ``SAMPLE`` labelled texts of either class,
-those whose id hashes lowest. Every text is scored whole.
+Only fitting sees a sample: at most ``SAMPLE`` labelled texts and ``SAMPLE_BYTES``
+bytes of either class, those whose id hashes lowest; of an id with several texts
+the first one in order counts. Every text is scored whole.
 
 Defined cases: a null text is an empty one and is scored like any other; inputs
 are clipped to the range met while fitting; null labels are not learned from;
@@ -22,13 +23,14 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import documents, id_text, text_of
+from tessella.llm.common import chunks, documents, id_text, small_batches, text_of
 
 #: Labelled texts of a class at most, and bytes of one piece and of a dictionary.
 SAMPLE, PIECE, DICTIONARY = 3000, 2000, 64 << 10
+SAMPLE_BYTES = 32 << 20
 LEAST = 20
 #: Every third sampled text is for the curve, the others are for the dictionaries.
 CURVE = 3
@@ -113,7 +115,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learn: Column, sample: i
     place = F.xxhash64("__id", F.lit(5))
     chosen = [usable.where(F.col("__label") == k).orderBy(place, "__id").limit(sample) for k in (0, 1)]
     texts = docs.select(F.col("doc_id").cast("long").alias("__id"), text_of().alias("text")).join(F.broadcast(chosen[0].union(chosen[1])), "__id")
-    found = texts.orderBy(place, "__id", "text").limit(2 * sample).select("text", "__label").collect()
+    texts = texts.groupBy("__id", "__label").agg(F.min("text").alias("text"))
+    so_far = F.sum(F.octet_length("text")).over(Window.partitionBy("__label").orderBy(place, "__id"))  # of ``sample`` rows at most
+    found = texts.withColumn("__bytes", so_far).where(F.col("__bytes") <= SAMPLE_BYTES).orderBy(place, "__id").select("text", "__label").collect()
     return [(r["text"], r["__label"]) for r in found]
 
 
@@ -122,10 +126,11 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
 
     def run(frames):
         sizes = None if isinstance(model, float) else Sizes(model.good, model.bad)
-        for frame in frames:
+        for frame in chunks(frames, "text"):
             scores = model if sizes is None else model.probability(sizes.inputs(frame["text"].tolist()))
             yield pd.DataFrame({"doc_id": frame["doc_id"], "score": scores})
 
+    small_batches(docs.sparkSession)
     return docs.select(id_text(), text_of().alias("text")).mapInPandas(run, "doc_id string, score double").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 

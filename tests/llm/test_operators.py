@@ -430,6 +430,13 @@ def test_classifier_held_out_accuracy(spark):
     assert (j[j["quality"] == 0]["predicted"] == 0).mean() > 0.85
 
 
+def test_repeated_ids_crowd_nothing_out(spark):
+    docs = spark.createDataFrame([(1, f"copy {i}") for i in range(500)] + [(i, f"text {i}") for i in range(2, 12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 12)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    got = quality_classifier.labelled_sample(docs, labels, F.lit(True), 20)
+    assert sorted(got) == sorted([("copy 0", 1)] + [(f"text {i}", i % 2) for i in range(2, 12)])
+
+
 def test_classifier_awkward(awkward, nothing):
     model = quality_classifier.fit([(prose(60, i), 1) for i in range(60)] + [("junk " * 50 + str(i), 0) for i in range(60)])
     got = quality_classifier.score(awkward, model).collect()
