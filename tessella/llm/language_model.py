@@ -14,8 +14,10 @@ n-gram's bucket; the bucket adds up and answers every part with the corpus
 counts, in the order in which the part asked, so answers need no keys. Parts
 then score their documents. N-grams travel as blocks of 64-bit hashes, one block
 for a part and bucket; both numbers grow with the corpus, so a task holds about
-the same amount at any size, while blocks grow with the square of the corpus and
-are small beyond some hundred GB. Words have 64-bit hashes: the chance that any
+the same amount at any size. Blocks grow with the square of the corpus up to
+some hundred GB; as no block is empty, there are never more of them than parts
+have distinct n-grams, so beyond that size they grow in proportion and an n-gram
+costs about a row of its own, as in a plain count by key. Words have 64-bit hashes: the chance that any
 two of V words share one is V * V / 2**65, 3e-8 for a million and 3e-4 for a
 hundred million. Pairs and triples have 48 bits, which only the mixture sees:
 of 10**9 distinct ones, 4 in a million meet another one's count.
@@ -284,6 +286,7 @@ def _totals(frames):
 
 
 def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of all documents; those with crc32(doc_id) mod 7 = 2 are not learned from."""
+    """Scores of all documents; those with crc32(doc_id) mod 7 = 2 are not learned from. ``mean_score`` is that of a token."""
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
-    return score_documents(documents(spark, sf_dir), fold % 7 != 2, F.call_function("div", fold, F.lit(7).cast("long")) % 8 == 0)
+    scored = score_documents(documents(spark, sf_dir), fold % 7 != 2, F.call_function("div", fold, F.lit(7).cast("long")) % 8 == 0)
+    return scored.withColumn("mean_score", F.col("score") / F.col("n_tokens"))

@@ -132,7 +132,7 @@ def base_spans(text: Column, kind: str) -> Column:
 
 FEATURES = [
     "length", "digit_share", "upper_share", "lower_share", "variety", "hexadecimal", "groups", "digits", "check_digit",
-    "upper_prefix", "opens_as_card", "digit_steps", *CUES, "assigned", "quoted",
+    "upper_prefix", "opens_as_card", "digit_steps", *CUES, "assigned", "quoted", "ends_as_domain",
 ]
 
 
@@ -161,14 +161,19 @@ def features(text: Column, s: Column) -> list[Column]:
         *(flag(before.rlike(f"(?:^|[^a-z])(?:{p})")) for p in CUES.values()),
         flag(before.rlike(r"[=:]\s*[\"']?$")),
         flag(before.rlike(r"[\"'`]$")),
+        flag(v.rlike(r"[\])}]\x20?(?:com|org|net|edu|gov|info|biz|[a-z]{2})$")),
     ]
 
 
 # --- labelled snippets --------------------------------------------------------------------
 
 
-def labelled_snippets(n: int = 1200, seed: int = 11) -> list[tuple[str, str, str, int]]:
-    """(kind, text, value, label): rule-written examples, half of them look-alikes."""
+#: Snippets of each kind; every second one is set aside for calibration.
+SNIPPETS = 1200
+
+
+def labelled_snippets(n: int = SNIPPETS, seed: int = 11) -> list[tuple[str, str, str, int]]:
+    """(kind, text, value, label): rule-written examples, ``n`` of a kind, half of them look-alikes."""
     rng = np.random.default_rng(seed)
     pick = lambda x: x[int(rng.integers(len(x)))]
     some = lambda alphabet, k: "".join(pick(alphabet) for _ in range(k))
@@ -203,10 +208,11 @@ def labelled_snippets(n: int = 1200, seed: int = 11) -> list[tuple[str, str, str
                 return pick(["IBAN ", "account ", "iban: ", ""]), pick([d, " ".join(d[i : i + 4] for i in range(0, len(d), 4))])
             return pick(["model ", "part ", ""]), some(up, 2) + some(dec, 2) + " " + some(up, 4) + " " + some(up, 4)
         if kind == "email_spelt":
+            a, b = pick([("[at]", "[dot]"), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", " (dot) ")])
             if label:
-                a, b = pick([("[at]", "[dot]"), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", " (dot) ")])
-                return pick(["", "mail ", "contact "]), word() + pick([".", ""]) + word() + a + word() + b + pick(["com", "org", "net", "de"])
-            return "", word()[:2] + "x(at)" + pick(["noon", "once", "home"]) + "(dot)" + word()[:3]
+                name, host = pick([word(), word()[:3], word() + pick("._") + word(), word() + pick(dec)]), pick([word(), word() + "-" + word(), word() + b + word()])
+                return pick(["", "mail ", "contact ", "to "]), name + a + host + b + pick(["com", "org", "net", "edu", "info", some(low, 2)])
+            return "", pick([word(), "we", "look", "stay"]) + a + pick(["noon", "once", "home", word()]) + b + some(low, int(rng.integers(5, 9)))
         if label:
             return pick([
                 lambda: (pick(["ssn ", "SSN: ", "social security number ", ""]), f"{some(dec, 3)}-{some(dec, 2)}-{some(dec, 4)}"),
@@ -223,10 +229,12 @@ def labelled_snippets(n: int = 1200, seed: int = 11) -> list[tuple[str, str, str
         ])()
 
     out = []
-    for i in range(n):
-        kind, label = list(GENERATORS)[i % len(GENERATORS)], int(rng.integers(2))
-        lead, value = one(kind, label)
-        out.append((kind, f"{prose()} {lead}{value}{pick([' ', '. ', ', ', chr(10)])}{prose()}", value, label))
+    for k, kind in enumerate(GENERATORS):
+        rng = np.random.default_rng([seed, k])  # a kind's snippets don't depend on the others'
+        for _ in range(n):
+            label = int(rng.integers(2))
+            lead, value = one(kind, label)
+            out.append((kind, f"{prose()} {lead}{value}{pick([' ', '. ', ', ', chr(10)])}{prose()}", value, label))
     return out
 
 
@@ -234,7 +242,7 @@ def labelled_snippets(n: int = 1200, seed: int = 11) -> list[tuple[str, str, str
 def _fitted(app: str) -> tuple[dict, dict]:
     """Forest and threshold of each generator."""
     spark = SparkSession.getActiveSession()
-    rows = [{"kind": k, "text": t, "value": v, "label": y, "fold": (i // len(GENERATORS)) % 2} for i, (k, t, v, y) in enumerate(labelled_snippets())]
+    rows = [{"kind": k, "text": t, "value": v, "label": y, "fold": i % 2} for i, (k, t, v, y) in enumerate(labelled_snippets())]
     given = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), "array<struct<kind:string,text:string,value:string,label:int,fold:int>>")).alias("r")).select("r.*")
     span = F.struct((F.instr("text", F.col("value")) - 1).alias("start"), F.char_length("value").alias("end"), F.col("value").alias("value"))
     table = given.select("kind", "label", "fold", F.array(*features(F.col("text"), span)).alias("x")).collect()
@@ -310,7 +318,7 @@ def redact(df: DataFrame, text_column: str = "text") -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts and places of personal data in every document."""
+    """Counts and places of personal data in every document; ``n_spans`` counts all of them, those of the method too."""
     found = find_spans(documents(spark, sf_dir).select("doc_id", "text"))
     listed = {k: F.concat_ws(",", _listed(k, "pii_" + k)) for k in [*BASE, *GENERATORS]}
     joined = lambda kinds: F.concat_ws(",", *(F.when(F.size("pii_" + k) > 0, listed[k]) for k in kinds))
@@ -319,4 +327,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(F.size("pii_" + k).cast("long").alias("n_" + k) for k in BASE),
         F.sha2(joined(BASE), 256).alias("base_sha256"),
         joined([*BASE, *GENERATORS]).alias("spans"),
+        sum((F.size("pii_" + k) for k in [*BASE, *GENERATORS]), F.lit(0)).cast("long").alias("n_spans"),
     )
