@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.columns import divided
+from tessella.operators.tables import numbered, unit_hash
 
 # --- summaries ----------------------------------------------------------------------------
 
@@ -179,10 +180,11 @@ def patch_gradient_features(pixels: DataFrame, mean: DataFrame, by: list[str] =
 
 def score_cdf(df: DataFrame, label: str = "label", value: str = "score") -> DataFrame:
     """Share of a class's scores before each: rising for positives, falling for negatives."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(label))
-    up = F.row_number().over(Window.partitionBy(label).orderBy(value, "id"))
-    down = F.row_number().over(Window.partitionBy(label).orderBy(F.col(value).desc(), "id"))
-    return df.withColumn("cdf", (F.when(F.col(label) == 1, up).otherwise(down) - 1) / n)
+    v, up = F.col(value).cast("double"), F.coalesce(F.col(label) == 1, F.lit(False))
+    # falling order as rising negatives, with what is not a number before all, and nulls behind
+    kind = F.when(up, v.isNotNull().cast("int")).otherwise(F.when(v.isNull(), 2).when(F.isnan(v), 0).otherwise(1))
+    placed = numbered(df.withColumns({"__kind": kind, "__v": F.when(up, v).otherwise(-v)}), [label], ["__kind", "__v", "id"], "__before", "__of")
+    return placed.select(*df.columns, (F.col("__before") / F.col("__of")).alias("cdf"))
 
 
 def ks_statistic(a: DataFrame, b: DataFrame, by: list[str] = (), value: str = "v") -> DataFrame:
@@ -350,8 +352,6 @@ def train_ensemble(df: DataFrame, n: int, features: str = "features", label: str
     from pyspark import inheritable_thread_target
     from pyspark.ml.classification import GBTClassifier
 
-    from tessella.operators.tables import unit_hash
-
     model = GBTClassifier(featuresCol=features, labelCol=label, maxIter=trees, stepSize=0.3, maxDepth=3, seed=1)
     data = df.select(key, features, label).persist()
     fit = lambda k: model.fit(data.where(unit_hash(key, seed=k) < 0.5))

@@ -54,6 +54,17 @@ def nearest(queries: DataFrame, candidates: DataFrame, keys: list[str], max_dist
     return pairs.groupBy(F.col("id_a").alias("id")).agg(best.alias("m")).select("id", F.col("m.id_b").alias("match"), F.col("m.dist").alias("dist"))
 
 
+def _reach(a: DataFrame, b: DataFrame, axes) -> tuple[float, float]:
+    """A distance about that of neighbours of ``b`` if they were spread evenly, and one beyond all distances."""
+    ends = a.select(*axes).union(b.select(*axes)).agg(*(f(x).alias(f"{n}{x}") for x in axes for n, f in (("low", F.min), ("high", F.max)))).first()
+    sides = [float((ends[f"high{x}"] or 0) - (ends[f"low{x}"] or 0)) for x in axes]
+    widest = sum(v * v for v in sides) ** 0.5 + 1.0
+    area = 1.0
+    for v in sides:
+        area *= max(v, 1e-9)
+    return min(widest, max(2 * (area / max(1, b.count())) ** (1 / len(axes)), widest * 1e-6)), widest
+
+
 def nearest_in_tile(queries: DataFrame, candidates: DataFrame, keys: list[str], axes=("x", "y")) -> DataFrame:
     """The nearest candidate within the same tile, at any distance; ties to the smaller id.
 
@@ -64,13 +75,7 @@ def nearest_in_tile(queries: DataFrame, candidates: DataFrame, keys: list[str],
     """
     q, c = stored(queries.select(*keys, "id", *axes), "queries"), stored(candidates.select(*keys, "id", *axes), "candidates")
     tiles = q.select(*keys).union(c.select(*keys)).distinct().count()
-    ends = q.select(*axes).union(c.select(*axes)).agg(*(f(x).alias(f"{n}{x}") for x in axes for n, f in (("low", F.min), ("high", F.max)))).first()
-    sides = [float((ends[f"high{x}"] or 0) - (ends[f"low{x}"] or 0)) for x in axes]
-    widest = sum(v * v for v in sides) ** 0.5 + 1.0
-    area = 1.0
-    for v in sides:
-        area *= max(v, 1e-9)
-    d = min(widest, max(2 * (area / max(1, c.count())) ** (1 / len(axes)), widest * 1e-6))
+    d, widest = _reach(q, c, axes)
     open_, out = q.join(c.select(*keys).distinct(), keys, "left_semi"), None
     while tiles:
         found = stored(nearest(open_, c, keys, d, axes), "nearest")
@@ -366,11 +371,27 @@ def match_sweep(truth: DataFrame, pred: DataFrame, cutoffs: list[float], keys: l
 
 
 def match_all(truth: DataFrame, pred: DataFrame, keys: list[str], axes=("x", "y")) -> tuple[DataFrame, DataFrame]:
-    """Greedy pairs at any distance within ``keys`` (small groups), and what is left over and of which side."""
-    t = truth.select(*keys, F.col("id").alias("id_a"), *(F.col(c).alias(f"{c}_a") for c in axes))
-    p = pred.select(*keys, F.col("id").alias("id_b"), *(F.col(c).alias(f"{c}_b") for c in axes))
-    dist = F.sqrt(reduce(lambda s, c: s + F.pow(F.col(f"{c}_a") - F.col(f"{c}_b"), 2), axes, F.lit(0.0)))
-    pairs = _greedy(stored(t.join(p, keys).select(*keys, "id_a", "id_b", dist.alias("dist")), "pairs"), list(keys))
+    """Greedy pairs at any distance within ``keys``, and what is left over and of which side.
+
+    The shortest pairs come first, so pairs within a distance are matched before
+    longer ones matter: the reach grows fourfold, and only points without a
+    partner, in groups that have such points on both sides, go on. Points without
+    a place have no partner.
+    """
+    a, b = (stored(df.select(*keys, "id", *axes), "open-points") for df in (truth, pred))
+    (d, widest), pairs = _reach(a, b, axes), None
+    while True:
+        near = stored(close_pairs(a, b, d, list(axes), keys).select(*keys, "id_a", "id_b", "dist"), "pairs")
+        found = _greedy(near, list(keys))
+        pairs = found if pairs is None else pairs.unionByName(found)
+        if d >= widest:
+            break
+        a = a.join(found.select(*keys, F.col("id_a").alias("id")), [*keys, "id"], "left_anti")
+        b = stored(b.join(found.select(*keys, F.col("id_b").alias("id")), [*keys, "id"], "left_anti").join(a.select(*keys).distinct(), keys, "left_semi"), "open-points")
+        a = stored(a.join(b.select(*keys).distinct(), keys, "left_semi"), "open-points")
+        if not a.limit(1).count():
+            break
+        d = min(4 * d, widest)
     rest = truth.select("id").join(pairs.select(F.col("id_a").alias("id")), "id", "left_anti").withColumn("side", F.lit("truth"))
     return pairs, rest.union(pred.select("id").join(pairs.select(F.col("id_b").alias("id")), "id", "left_anti").withColumn("side", F.lit("prediction")))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.columns import matches
+from tessella.functions.session import stored
 
 # --- filters and look-ups -----------------------------------------------------------------
 
@@ -300,9 +301,28 @@ def top_k(df: DataFrame, by: str, k: int, tie: str = "id", per: list[str] | None
     return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+def numbered(df: DataFrame, by: list[str], order: list, row: str = "row", total: str | None = None) -> DataFrame:
+    """Numbers from 0 in ``order`` within ``by``, and each group's rows as ``total``.
+
+    Rows are dealt to ranges of the order, numbered within their range, and moved
+    on by the rows of earlier ranges, a small table; so a group may have any size.
+    ``order`` should tell all rows of a group apart. Null groups are groups.
+    """
+    ranged = stored(df.repartitionByRange(*by, *order).withColumn("__range", F.spark_partition_id()), "ranges")
+    earlier = Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy(*by, "__range").agg(F.count(F.lit(1)).alias("__n"))
+    sizes = sizes.select(*(F.col(b).alias(f"__by{i}") for i, b in enumerate(by)), F.col("__range").alias("__of"), F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"), F.sum("__n").over(Window.partitionBy(*by)).alias("__total"))
+    placed = ranged.withColumn("__row", F.row_number().over(Window.partitionBy(*by, "__range").orderBy(*order)) - 1)
+    same = F.col("__range") == F.col("__of")
+    for i, b in enumerate(by):
+        same = same & F.col(b).eqNullSafe(F.col(f"__by{i}"))
+    more = [F.col("__total").alias(total)] if total else []
+    return placed.join(sizes, same).select(*df.columns, (F.col("__row") + F.col("__before")).alias(row), *more)
+
+
 def export_order(pts: DataFrame, layer: str = "name") -> DataFrame:
     """Dense ids from 0 in z, x, y order in each layer."""
-    return pts.withColumn("row", F.row_number().over(Window.partitionBy(layer).orderBy("z", "x", "y", "id")) - 1)
+    return numbered(pts, [layer], ["z", "x", "y", "id"])
 
 
 def unit_hash(*keys: str, seed: int = 0) -> Column:

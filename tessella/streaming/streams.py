@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -39,8 +40,8 @@ def stream_upsert(stream: DataFrame, path: str, checkpoint: str, keys: list[str]
             try:
                 old = spark.read.schema(new.schema).parquet(path).where(F.col("part").isin(touched))
                 both = old.unionByName(new)
-            except Exception as missing:
-                if "PATH_NOT_FOUND" not in str(missing):
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
                     raise
                 both = new
             rest = [c for c in both.columns if c not in (*keys, "part")]

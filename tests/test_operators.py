@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessella.functions.session import stored
@@ -52,6 +53,39 @@ def test_match_all_leaves_the_rest(spark):
     assert {r["side"] for r in rest.collect()} == {"truth"} and rest.count() == 3
 
 
+@pytest.mark.parametrize("crowd", [1, 40])
+def test_match_all_is_greedy_at_any_distance(spark, crowd):
+    # a dense crowd in one corner and few points far away, in two sections and one that has truths alone
+    r = random.Random(crowd)
+    side = lambda first, n: [(first + i, 1 + i % 2, *((r.uniform(0, 1), r.uniform(0, 1)) if i < crowd else (r.uniform(0, 500), r.uniform(0, 500)))) for i in range(n)]
+    a, b = [*side(0, 60), (900, 3, 1.0, 1.0), (901, 1, None, 2.0)], side(1000, 45)
+    schema = "id long, section int, x double, y double"
+    pairs, rest = spatial.match_all(frame(spark, a, schema), frame(spark, b, schema), ["section"])
+    want = [p for s in (1, 2) for p in greedy([p for p in a if p[1] == s and p[2] is not None], [p for p in b if p[1] == s], math.inf)]
+    assert sorted((x["id_a"], x["id_b"]) for x in pairs.collect()) == sorted(want)
+    assert {x["id"] for x in rest.collect()} == {p[0] for p in a + b} - {i for p in want for i in p}
+
+
+def test_rows_are_numbered_over_ranges(spark):
+    r = random.Random(8)
+    rows = [(i, r.choice(["a", "a", "a", "b", None]), r.choice([None, 0.0, -0.0, math.nan, *range(40)]), r.choice([0, 1, 1])) for i in range(700)]
+    rows = [(i, k, None if v is None else float(v), y) for i, k, v, y in rows]
+    df = frame(spark, rows, "id long, name string, score double, label int").withColumns({"z": F.col("score"), "x": F.lit(1.0), "y": F.lit(2.0)})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {x["id"]: x["row"] for x in tables.export_order(df).collect()}
+        want = {x["id"]: x["n"] - 1 for x in df.withColumn("n", F.row_number().over(Window.partitionBy("name").orderBy("z", "x", "y", "id"))).collect()}
+        assert got == want
+        up, down = (F.row_number().over(Window.partitionBy("label").orderBy(o, "id")) for o in (F.col("score"), F.col("score").desc()))
+        n = F.count(F.lit(1)).over(Window.partitionBy("label"))
+        want = {x["id"]: x["c"] for x in df.withColumn("c", (F.when(F.col("label") == 1, up).otherwise(down) - 1) / n).collect()}
+        cdf = scores.score_cdf(df)
+        assert cdf.columns == [*df.columns, "cdf"] and {x["id"]: x["cdf"] for x in cdf.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert tables.export_order(df.where("id < 0")).count() == 0
+
+
 def test_jittered_copies(spark):
     r = random.Random(5)
     base = [(i, 1, r.random() * 50, r.random() * 50) for i in range(300)]
