@@ -22,10 +22,15 @@ two of V words share one is V * V / 2**65, 3e-8 for a million and 3e-4 for a
 hundred million. Pairs and triples have 48 bits, which only the mixture sees:
 of 10**9 distinct ones, 4 in a million meet another one's count.
 
+Rows equal in id and text that would fill a part by themselves are counted
+before they are dealt: one of them stands for all in its part, with their number
+as its weight, and its score is written out in blocks that are dealt to all
+tasks. So no number of repeated rows makes a large part.
+
 Defined cases: a null or empty text is its end mark alone; a null doc_id counts
-as the empty text where ids are hashed; equal rows get equal scores; an empty
-table gives an empty result; without training or held-out text the weights fall
-back to equal ones; other columns are not read.
+as the empty text where ids are hashed; equal rows get equal scores, one for each
+row; an empty table gives an empty result; without training or held-out text the
+weights fall back to equal ones; other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,8 +45,11 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import chunks, documents, id_text, materialize, mix, small_batches, text_of, word_hashes
 
-#: Bytes of text in a part.
+#: Bytes of text in a part, and what a row counts in addition.
 PART_BYTES = 8 << 20
+ROW_BYTES = 64
+#: Equal rows that are written out at a time.
+COPIES = 100_000
 END, START = np.uint64(0x3C79AC492BA7B653), np.uint64(0x1C69B3F74AC4AE35)
 #: Context buckets: HALF for new pairs, by the word's frequency (0, then one a power of two), and as many for known ones.
 HALF = 32
@@ -138,10 +146,10 @@ def _unpack(data: bytes) -> np.ndarray:
 def _ask(bits: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         grams, train = Grams.of(frame["text"]), frame["train"].to_numpy(bool)
-        counted = np.repeat(train, grams.lengths)
+        weight = np.repeat(np.where(train, frame["copies"].to_numpy(), 0), grams.lengths)
         rows = []
         for kind, keys in grams.keys.items():
-            counts = np.bincount(grams.at[kind][counted], minlength=len(keys))
+            counts = np.bincount(grams.at[kind], weight, len(keys)).astype(np.int64)
             found, edges = _bucket_edges(keys, bits, BITS[kind])
             for b, i, j in zip(found, edges, edges[1:]):
                 rows.append((int(b), int(frame["part"].iat[0]), kind, _pack_keys(keys[i:j]), _pack(counts[i:j])))
@@ -198,8 +206,10 @@ def _held_out(kept_tokens: int):
         if not len(docs):
             return pd.DataFrame({"cell": [], "n": []})
         grams, every, own = Grams.of(docs["text"]), _corpus_counts(answers), _corpus_counts(answers, "deleted")
-        found, n = np.unique(_cells(*grams.estimates({k: every[k] - own[k] for k in every}, kept_tokens)), return_counts=True)
-        return pd.DataFrame({"cell": found, "n": n})
+        cells = _cells(*grams.estimates({k: every[k] - own[k] for k in every}, kept_tokens))
+        found, at = np.unique(cells, return_inverse=True)
+        n = np.bincount(at, np.repeat(docs["copies"].to_numpy(), grams.lengths), len(found))
+        return pd.DataFrame({"cell": found, "n": n.astype(np.int64)})
 
     return run
 
@@ -231,7 +241,7 @@ def learn_weights(cells: np.ndarray, n: np.ndarray, types: int) -> np.ndarray:
 
 def _score(weights: np.ndarray, types: int, tokens: int):
     def run(docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        columns = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        columns = ["doc_id", "copies", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
         if not len(docs):
             return pd.DataFrame(columns=columns)
         grams = Grams.of(docs["text"])
@@ -242,7 +252,7 @@ def _score(weights: np.ndarray, types: int, tokens: int):
         first = np.cumsum(grams.lengths) - grams.lengths
         add = lambda x: np.add.reduceat(x, first)
         return pd.DataFrame({
-            "doc_id": docs["doc_id"], "held_out": ~docs["train"].to_numpy(bool), "n_tokens": grams.lengths,
+            "doc_id": docs["doc_id"], "copies": docs["copies"], "held_out": ~docs["train"].to_numpy(bool), "n_tokens": grams.lengths,
             "n_known": add((words > 0)[grams.at[1]].astype(np.int64)), "train_tokens": tokens,
             "base_score": add(np.log10((words + 1) / (tokens + types + 1))[grams.at[1]]), "score": add(np.log10(p)),
         })
@@ -250,6 +260,32 @@ def _score(weights: np.ndarray, types: int, tokens: int):
     return run
 
 
+def fold_copies(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """``rows`` with a column ``copies``, and whether any row stands for several.
+
+    Only rows whose copies would fill a part are folded, so texts are shuffled
+    for none of the others; where there are no such rows nothing else is done.
+    """
+    key = F.xxhash64("doc_id", "text")
+    many = rows.groupBy(key.alias("key")).agg(F.sum(F.octet_length("text") + ROW_BYTES).alias("size"), F.count(F.lit(1)).alias("n"))
+    many = materialize(many.where((F.col("n") > 1) & (F.col("size") > PART_BYTES)).select("key"), "repeated-keys")
+    if many.isEmpty():
+        return rows.withColumn("copies", F.lit(1).cast("long")), False
+    keyed = rows.withColumn("key", key)
+    folded = keyed.join(many, "key", "left_semi").groupBy("key", *rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    folded = materialize(folded, "repeated-rows")
+    return keyed.join(many, "key", "left_anti").withColumn("copies", F.lit(1).cast("long")).unionByName(folded).drop("key"), True
+
+
+def unfold_copies(scored: DataFrame) -> DataFrame:
+    """Each row as often as its ``copies`` say, block by block."""
+    step = F.lit(COPIES).cast("long")
+    blocks = F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("copies") - 1, step))
+    dealt = scored.withColumn("block", F.explode(blocks)).repartition(F.xxhash64("doc_id", "score", "block"))
+    in_block = F.sequence(F.lit(1).cast("long"), F.least(step, F.col("copies") - F.col("block") * step))
+    return dealt.withColumn("copy", F.explode(in_block)).drop("block", "copy")
+
+
 def score_documents(docs: DataFrame, train: Column, held_out: Column) -> DataFrame:
     """Score all ``docs`` (doc_id, text) by a model of those for which ``train`` holds.
 
@@ -257,7 +293,8 @@ def score_documents(docs: DataFrame, train: Column, held_out: Column) -> DataFra
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"), train.alias("train"), (train & held_out).alias("held"))
-    size = rows.groupBy("held").agg(F.sum(F.octet_length("text")).alias("b")).collect()
+    rows, repeated = fold_copies(rows)
+    size = rows.groupBy("held").agg(F.sum(F.octet_length("text") + ROW_BYTES).alias("b")).collect()
     n_parts = {r["held"]: max(1, -(-(r["b"] or 0) // PART_BYTES)) for r in size}
     plain, held = n_parts.get(False, 1), n_parts.get(True, 1)
     bits = max(0, int(plain + held - 1).bit_length())
@@ -275,8 +312,9 @@ def score_documents(docs: DataFrame, train: Column, held_out: Column) -> DataFra
     cells = parts.where("held").groupBy("part").cogroup(answers.where(F.col("part") >= plain).groupBy("part")).applyInPandas(_held_out(tokens - held_tokens), "cell long, n long")
     cells = cells.groupBy("cell").agg(F.sum("n").alias("n")).toPandas()  # bounded, see FINE
     weights = learn_weights(cells["cell"].to_numpy(np.int64), cells["n"].to_numpy(np.float64), kept_types)
-    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return parts.groupBy("part").cogroup(answers.groupBy("part")).applyInPandas(_score(weights, types, tokens), schema).withColumn("doc_id", F.col("doc_id").cast("long"))
+    schema = "doc_id string, copies long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    scored = parts.groupBy("part").cogroup(answers.groupBy("part")).applyInPandas(_score(weights, types, tokens), schema).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return (unfold_copies(scored) if repeated else scored).drop("copies")
 
 
 def _totals(frames):

@@ -323,14 +323,21 @@ def test_weights_come_from_held_out_counts():
     assert not w[:half, 0].any() and w[0, 1] == 0
 
 
-@pytest.mark.parametrize("part_bytes", [3000, 8 << 20])
-def test_scores_by_brute_force(spark, awkward, monkeypatch, part_bytes):
-    """The mixture of triples, pairs, words and a uniform part, counted with dictionaries; the weights by the same cells."""
+@pytest.mark.parametrize("part_bytes, repeats", [(3000, 0), (8 << 20, 0), (3000, 60)])
+def test_scores_by_brute_force(spark, awkward, monkeypatch, part_bytes, repeats):
+    """The mixture of triples, pairs, words and a uniform part, counted with dictionaries; the weights by the same cells.
+
+    Repeats: rows equal in id and text that would fill parts by themselves, in both folds and without a text.
+    """
     monkeypatch.setattr(language_model, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(language_model, "COPIES", 7)
+    again = [r for r in awkward_rows() if r[0] in (BIG, 2, 6) or r[:2] == (None, None)] * repeats
+    awkward = awkward.union(spark.createDataFrame(again, SCHEMA))
     fold = F.coalesce(F.col("doc_id"), F.lit(0)) % 3
+    assert language_model.fold_copies(awkward.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))[1] == bool(repeats)
     got = language_model.score_documents(awkward, fold != 1, fold == 2).collect()
     lower = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-    rows = [(i, [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)), "\n"]) for i, t, *_ in awkward_rows()]
+    rows = [(i, [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)), "\n"]) for i, t, *_ in awkward_rows() + again]
 
     def counted(keep):
         c = collections.Counter()
