@@ -103,8 +103,8 @@ SELECT run, sum(n)::BIGINT AS total, count(*) AS distinct_numbers, coalesce(stri
     lambda t: T.slide_duplicates(t.slides.withColumn("run", F.col("scan_run_id") % 50), by="run"))
 query("a7_check_stack", "SELECT count(*) AS n_files, count(*) = 1000 AS count_right, count(*) FILTER (WHERE size < 200) AS n_small, count(*) > 100 AND (min(size) <> max(size)) AS sizes_differ FROM files")(
     lambda t: T.check_stack(t.files.withColumns({"width": F.col("size"), "height": F.lit(1)}), 1000, 200))
-query("a8_stack_status", "SELECT s AS directory, count(id) AS n, count(id) = 50 AS complete FROM (SELECT 'src' || i AS s FROM range(0, 25) r(i)) LEFT JOIN files ON directory = s GROUP BY s")(
-    lambda t: T.stack_status(t.files, t.spark.range(25).select(F.concat(F.lit("src"), F.col("id").cast("string")).alias("directory"), F.lit(50).alias("expected"))))
+query("a8_stack_status", "SELECT s AS directory, count(id) AS n, count(id) = 50 AS complete FROM (SELECT DISTINCT 'src' || CAST(p_partkey % 25 AS VARCHAR(20)) AS s FROM part) LEFT JOIN files ON directory = s GROUP BY s")(
+    lambda t: T.stack_status(t.files, t.part.select(F.concat(F.lit("src"), (F.col("p_partkey") % 25).cast("string")).alias("directory"), F.lit(50).alias("expected")).distinct()))
 query("a37_task_progress", """WITH k AS (SELECT o_custkey AS prep_id, avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0 END) * 100 AS percent, max(o_orderkey % 10) FILTER (WHERE o_orderstatus = 'F') AS lookup_id FROM orders GROUP BY 1)
 SELECT prep_id, round(percent, 6) AS percent, lookup_id, p_name AS description FROM k LEFT JOIN part ON p_partkey = lookup_id""")(
     lambda t: T.task_progress(t.orders.select(F.col("o_custkey").alias("prep_id"), (F.col("o_orderkey") % 10).alias("lookup_id"), (F.col("o_orderstatus") == "F").cast("int").alias("completed")), t.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("description"))).withColumn("percent", F.round("percent", 6)))

@@ -32,11 +32,11 @@ BINDINGS = {
     # region tree: a root, regions, nations, customers
     "tree": "SELECT CAST(0 AS BIGINT) AS id, CAST(NULL AS BIGINT) AS parent_id, 'root' AS name UNION ALL SELECT CAST(1000 + r_regionkey AS BIGINT), CAST(0 AS BIGINT), r_name FROM region UNION ALL SELECT CAST(2000 + n_nationkey AS BIGINT), CAST(1000 + n_regionkey AS BIGINT), n_name FROM nation UNION ALL SELECT CAST(10000 + c_custkey AS BIGINT), CAST(2000 + c_nationkey AS BIGINT), c_name FROM customer",
     "tree_counts": "SELECT 10000 + o_custkey AS id, count(*) AS cells, CAST(floor(sum(o_totalprice)) AS BIGINT) AS voxels FROM orders GROUP BY 10000 + o_custkey",
-    # sparse volumes
-    "vox": "SELECT CAST(p_size AS BIGINT) AS x, p_partkey % 50 AS y, p_partkey % 7 AS z, max(1 + p_partkey % 11) AS label FROM part GROUP BY p_size, p_partkey % 50, p_partkey % 7",
-    "brain_vox": "SELECT DISTINCT l_suppkey % 4 AS brain, CAST(l_quantity AS BIGINT) AS x, l_partkey % 20 AS y, l_orderkey % 6 AS z, 1 AS v FROM lineitem",
-    "pixels": "SELECT l_linenumber AS section, l_suppkey % 25 AS x, l_partkey % 25 AS y, max(CAST(l_quantity * 400 AS BIGINT)) AS value FROM lineitem GROUP BY l_linenumber, l_suppkey % 25, l_partkey % 25",
-    "mask": "SELECT DISTINCT l_linenumber AS section, l_suppkey % 25 AS x, l_partkey % 25 AS y FROM lineitem WHERE l_returnflag = 'A'",
+    # sparse volumes and pixels; one axis follows the keys, so that volumes and images grow with the tables
+    "vox": "SELECT p_size + 50 * CAST(floor(p_partkey / 2000) AS BIGINT) AS x, p_partkey % 50 AS y, p_partkey % 7 AS z, max(1 + p_partkey % 11) AS label FROM part GROUP BY 1, 2, 3",
+    "brain_vox": "SELECT DISTINCT l_suppkey % 4 AS brain, CAST(l_quantity AS BIGINT) AS x, l_partkey % 20 AS y, l_orderkey % 6 + 6 * CAST(floor(l_orderkey / 20000) AS BIGINT) AS z, 1 AS v FROM lineitem",
+    "pixels": "SELECT l_linenumber AS section, l_suppkey % 25 AS x, l_partkey % 25 + 25 * CAST(floor(l_partkey / 2000) AS BIGINT) AS y, max(CAST(l_quantity * 400 AS BIGINT)) AS value FROM lineitem GROUP BY 1, 2, 3",
+    "mask": "SELECT DISTINCT l_linenumber AS section, l_suppkey % 25 AS x, l_partkey % 25 + 25 * CAST(floor(l_partkey / 2000) AS BIGINT) AS y FROM lineitem WHERE l_returnflag = 'A'",
     # detections and scores
     "scores": "SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS id, l_suppkey % 30 AS model, l_quantity - 25 AS score FROM lineitem",
     "detections": "SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS id, l_suppkey % 8 AS animal, l_linenumber AS section, l_quantity * 20 AS x, l_extendedprice / 100 AS y, (l_quantity - 25) / 5 AS mean_score, l_discount * 40 AS std_score, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 0 ELSE -1 END AS label FROM lineitem",

@@ -14,8 +14,8 @@ def rounded(df, *names, digits=5):
     return df.withColumns({n: F.round(n, digits) for n in names})
 
 
-REGIONS = "SELECT i AS id, 'area' || i AS name FROM range(0, 14) r(i)"
-regions = lambda t: t.spark.range(14).select("id", F.concat(F.lit("area"), F.col("id").cast("string")).alias("name"))
+REGIONS = "SELECT DISTINCT p_partkey % 14 AS id, 'area' || CAST(p_partkey % 14 AS VARCHAR(20)) AS name FROM part"
+regions = lambda t: t.bound(REGIONS)
 LABELLED = "SELECT p.id, p.prep, v.label FROM pts3 p JOIN vox v ON CAST(trunc(p.x) AS BIGINT) = v.x AND CAST(trunc(p.y) AS BIGINT) = v.y AND CAST(trunc(p.z) AS BIGINT) = v.z"
 
 query("j10_point_labels", LABELLED)(lambda t: V.point_labels(t.pts3, t.vox).select("id", "prep", "label"))
@@ -103,11 +103,11 @@ query("c7_component_measures", f"{VOXEL_COMPONENTS}, v AS (SELECT n.*, comp FROM
 query("c8_size_filter", f"{VOXEL_COMPONENTS} SELECT id, comp FROM c WHERE comp IN (SELECT comp FROM c GROUP BY comp HAVING count(*) BETWEEN 2 AND 50)")(lambda t: V.size_filter(voxel_components(t), 2, 50).select("id", "comp"))
 
 
-@query("c9_find_site", """WITH RECURSIVE b AS (SELECT section * 10000 + x * 100 + y AS id, section AS z, x, y FROM pixels WHERE value > (SELECT avg(value) + 0.3 * stddev_pop(value) FROM pixels)),
+@query("c9_find_site", """WITH RECURSIVE b AS (SELECT (section * 100 + x) * 10000000000 + y AS id, section AS z, x, y FROM pixels WHERE value > (SELECT avg(value) + 0.3 * stddev_pop(value) FROM pixels)),
 e AS (SELECT a.id AS a, c.id AS b FROM b a JOIN b c ON abs(a.x - c.x) + abs(a.y - c.y) + abs(a.z - c.z) = 1), w(id, o) AS (SELECT id, id FROM b UNION SELECT w.id, e.b FROM w JOIN e ON w.o = e.a),
 c AS (SELECT id, min(o) AS comp FROM w GROUP BY id) SELECT comp, count(*) AS voxels FROM c GROUP BY comp ORDER BY voxels DESC, comp LIMIT 3""")
 def _(t):
-    bright = V.bright_voxels(t.pixels, 0.3).select((F.col("section") * 10000 + F.col("x") * 100 + F.col("y")).cast("long").alias("id"), "x", "y", F.col("section").cast("long").alias("z"))
+    bright = V.bright_voxels(t.pixels, 0.3).select(((F.col("section") * 100 + F.col("x")).cast("long") * 10000000000 + F.col("y")).alias("id"), "x", "y", F.col("section").cast("long").alias("z"))
     found = S.components(S.voxel_edges(bright, 6), bright.select(F.col("id").alias("node")))
     return found.groupBy("comp").agg(F.count(F.lit(1)).alias("voxels")).orderBy(F.col("voxels").desc(), "comp").limit(3)
 
