@@ -22,6 +22,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -49,7 +50,7 @@ ENDS = {
     "tbody": (("thead", "tbody", "tfoot"), ("table",)), "tfoot": (("thead", "tbody", "tfoot"), ("table",)),
     "option": (("option",), ("select", "datalist", "optgroup"), True), "optgroup": (("optgroup",), ("select",), True),
 }
-# Words of class, id and role, by what they speak for.
+# Words of class, id and role, by what they speak for; content is the last.
 WORDS = {
     "comments": "comment comments commentlist commenter reply replies respond disqus discussion thread responses",
     "notice": "cookie cookies consent gdpr notice alert banner popup modal overlay subscribe newsletter signup paywall promo promotion disclaimer toast",
@@ -59,7 +60,8 @@ WORDS = {
 }
 WORD_KIND = {w: k for k, v in WORDS.items() for w in v.split()}
 
-_COMMENT = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)", re.S)
+# As browsers read them: <!--> and <!---> are whole comments, --!> ends one, and <![CDATA[ outside foreign elements ends at >.
+_COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))", re.S)
 _TOKEN = re.compile(_COMMENT.pattern + r"|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)", re.S)
 _QUOTE_OR_END = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -186,7 +188,7 @@ class Page:
             self._pop(stack, at)
 
     def features(self) -> list[tuple[int, ...]]:
-        """Of each element: kind, kind of its words, text, linked text, sentences."""
+        """Of each element: kind, words of each kind of words, text, linked text, sentences."""
         n = len(self.tag)
         words, linked, sentences = [0] * n, [0] * n, [0] * n
         in_link = [False] * n
@@ -205,26 +207,28 @@ class Page:
         out = []
         for i in range(n):
             kind = KIND_NUMBER.get(KIND.get(self.tag[i], "inline"), 0)
-            out.append((kind, _word_kind(self.words[i]), _bin(words[i], TEXT), _bin(linked[i] / max(words[i], 1), LINKED) if words[i] else len(LINKED) + 1, _bin(sentences[i] / max(words[i], 1), SENTENCES)))
+            out.append((kind, *_word_kinds(self.words[i]), _bin(words[i], TEXT), _bin(linked[i] / max(words[i], 1), LINKED) if words[i] else len(LINKED) + 1, _bin(sentences[i] / max(words[i], 1), SENTENCES)))
         return out
 
 
 KIND_NUMBER = {k: i for i, k in enumerate(["inline", *KINDS])}
-WORD_NUMBER = {k: i + 1 for i, k in enumerate(WORDS)}
 TEXT, LINKED, SENTENCES = (1, 3, 6, 12, 30, 80), (0.01, 0.3, 0.6, 0.9), (0.001, 0.03, 0.08)
-SIZES = (len(KIND_NUMBER), len(WORDS) + 1, len(TEXT) + 1, len(LINKED) + 2, len(SENTENCES) + 1)
+SIZES = (len(KIND_NUMBER), *[3] * (len(WORDS) - 1), 9, len(TEXT) + 1, len(LINKED) + 2, len(SENTENCES) + 1)
 
 
 def _bin(x: float, edges: tuple) -> int:
     return sum(x >= e for e in edges)
 
 
-def _word_kind(words: str) -> int:
-    """The first kind in the order of WORDS that one of the words speaks for."""
+@lru_cache(maxsize=50_000)
+def _word_kinds(words: str) -> tuple[int, ...]:
+    """What speaks for each kind of clutter: nothing (0), a part of a name (1), a whole name (2); and for content, beside the strongest of these."""
     if not words:
-        return 0
-    found = {WORD_KIND.get(w) for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", words).lower())}
-    return next((WORD_NUMBER[k] for k in WORDS if k in found), 0)
+        return (0,) * len(WORDS)
+    whole = {WORD_KIND.get(w) for w in words.lower().split()}
+    part = {WORD_KIND.get(w) for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", words).lower())}
+    *clutter, content = (2 if k in whole else int(k in part) for k in WORDS)
+    return (*clutter, 3 * content + max(clutter))
 
 
 SAME = 0.5
@@ -255,17 +259,24 @@ class Model:
         self.step = np.log(step / step.sum(axis=2, keepdims=True)).tolist()
         self.root = np.log(root / root.sum()).tolist()
 
-    def marginals(self, page: Page) -> list[float]:
-        """Probability of content of each element, by messages up and then down the tree."""
-        rows, parent, n = page.features(), page.parent, len(page.tag)
+    def evidence(self, page: Page, rows: list[tuple[int, ...]]) -> list[list[float]]:
+        """Log potential of each element's labels by what is seen of it."""
+        alike = Counter(zip(page.parent, rows))  # siblings that look the same repeat each other
         own = []
-        for row in rows:
+        for p, row in zip(page.parent, rows):
             a = b = 0.0
             for table, v in zip(self.seen, row[1:]):
                 x, y = table[row[0]][v]
                 a += x
                 b += y
-            own.append([a, b])
+            weight = alike[p, row] ** -0.5
+            own.append([a * weight, b * weight])
+        return own
+
+    def marginals(self, page: Page) -> list[float]:
+        """Probability of content of each element, by messages up and then down the tree."""
+        rows, parent, n = page.features(), page.parent, len(page.tag)
+        own = self.evidence(page, rows)
         up = [[0.0, 0.0]] * n  # the message of i to its parent
         for i in range(n - 1, 0, -1):
             t, (a, b) = self.step[rows[i][0]], own[i]
@@ -328,12 +339,15 @@ def labelled_pages(n: int = 600, seed: int = 7) -> list[str]:
 
     prose = lambda a=1, b=6: " ".join(sentence() for _ in range(int(rng.integers(a, b))))
 
+    def inked(text: str) -> str:
+        return f"<{(t := pick('b', 'em', 'strong', 'i', 'code', 'span'))}>{text}</{t}>" if chance(0.25) else text
+
     def rich() -> str:
         text = prose()
         if chance(0.3):
             text += f' <{(t := pick("b", "em", "strong", "i", "code", "span"))}>{some(1, 5)}</{t}> {prose(1, 3)}'
         if chance(0.3):
-            text += f' <a href="/{word()}">{some(1, 4)}</a> {sentence()}'
+            text += f' <a href="/{word()}">{inked(some(1, 4))}</a> {sentence()}'
         return text
 
     def paragraph() -> str:
@@ -351,12 +365,28 @@ def labelled_pages(n: int = 600, seed: int = 7) -> list[str]:
         return f"<pre>{some(4, 20)}</pre>" if chance(0.5) else f"<p>{some(1, 3)}.</p>"
 
     def links(a: int = 1, b: int = 9) -> str:
-        items = [f'<a href="/{word()}">{some(1, 3)}</a>' for _ in range(int(rng.integers(a, b)))]
+        items = [f'<a href="/{word()}">{inked(some(1, 3))}</a>' for _ in range(int(rng.integers(a, b)))]
         return pick("<ul>" + "".join(f"<li>{x}</li>" for x in items) + "</ul>", " ".join(items), " | ".join(items))
 
+    plain_words = {kind: [w for w in words.split() if "-" not in w] for kind, words in WORDS.items()}
+
+    def aside_words(kind: str) -> str:
+        """Words of other kinds in a name: an article that is tagged or has comments, the footer of a post."""
+        if kind == "content":
+            about = pick(*plain_words[pick("chrome", "chrome", "comments", "notice", "advert")])
+            return pick(f"{about}-{word()}", f"{pick('has', 'no', 'with')}-{about}", f"{pick('tag', 'tags')}-{word()} {pick(*plain_words['content'])}-{word()}")
+        return f"{pick(*plain_words['content'])}-{pick(*plain_words[kind])}"
+
     def named(kind: str, *tags: str) -> str:
-        names = [w for w in WORDS[kind].split() if "-" not in w]
-        return f'{pick(*tags)} {pick("class", "class", "id")}="{pick("", word()[:3] + " ", "site-", "the-")}{pick(*names)}{pick("", "-" + word()[:4], " " + word()[:4])}"'
+        names = plain_words[kind]
+        if kind == "content" and chance(0.5):  # entry-content, post__body
+            names = [f"{pick(*names)}{pick('-', '-', '_', '__')}{pick(*names)}"]
+        more = f" {aside_words(kind)}" if chance(0.35) else ""
+        if kind == "content" and chance(0.5):
+            more += f" {pick(*names)}"
+        if more and chance(0.35):  # in the other attribute
+            return f'{pick(*tags)} id="{more.strip().replace(" ", "-")}" class="{pick(*names)}"'
+        return f'{pick(*tags)} {pick("class", "class", "id")}="{pick("", word()[:3] + " ", "site-", "the-")}{pick(*names)}{pick("", "-" + word()[:4], " " + word()[:4])}{more}"'
 
     def part(opening: str, inner: str) -> str:
         tag = opening.split()[0]
@@ -377,6 +407,9 @@ def labelled_pages(n: int = 600, seed: int = 7) -> list[str]:
     def content() -> str:
         title = f"<h1>{some(1, 9)}</h1>" if chance(0.8) else ""
         inner = title + "".join(paragraph() for _ in range(int(rng.integers(1, pick(3, 9, 9)))))
+        if chance(0.15):  # the same few words over and over
+            line = pick(some(1, 4), sentence())
+            inner += "".join(f"<p>{pick('', '', '', '<b>')}{pick(line, line, line, some(1, 4))}{pick('.', '', '<br>')}" + pick("</p>", "</p>", "") for _ in range(int(rng.integers(5, pick(50, 150)))))
         if chance(0.25):
             inner += clutter()
         kind = pick("article", "article", "main", "section", "div", named("content", "div", "div", "section", "article", "main"), named("content", "div"))
