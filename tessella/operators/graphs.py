@@ -40,13 +40,14 @@ def _settled(frames):
     yield pd.DataFrame({"node": list(parent), "comp": [root(x) for x in parent]})
 
 
-def components(edges: DataFrame, alone: int = ALONE) -> DataFrame:
+def components(edges: DataFrame, alone: int | None = None) -> DataFrame:
     """(node, comp): the smallest node of each connected component of ``edges`` (a, b).
 
     Edges with a null and those from a node to itself are left out; direction and
     repeats don't matter; no edges give no rows. Up to ``alone`` edges are settled
     in one task, more of them in rounds.
     """
+    alone = ALONE if alone is None else alone
     left = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     left = stored(left, "edges")
     kind = left.schema["a"].dataType.simpleString()

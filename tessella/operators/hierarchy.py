@@ -1,26 +1,106 @@
-"""The region tree: closures, roll-ups, levels, relabelling. Trees have columns id, parent_id, name."""
+"""The region tree: closures, roll-ups, levels, intervals, relabelling. Trees have columns id, parent_id, name.
+
+Nothing walks level by level. Every node knows its ancestor 1, 2, 4, ... levels up
+(``lifts``, found by joining such a table with itself), and sums, paths and reach
+double with them: what lies less than 2k levels below a node is what lies less than
+k below it, and below those that are exactly k below. So a tree costs joins of its
+nodes by the logarithm of its depth, and its depth has no limit. A node whose parent
+isn't in the tree is a root; a cycle or an id with two parents is an error.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Levels that a walk follows at most; a deeper tree raises an error.
-DEPTH = 60
+from tessella.functions.session import stored
+from tessella.operators.tables import numbered
+
 
+def lifts(tree: DataFrame) -> list[DataFrame]:
+    """Tables (id, up) of ancestors 1, 2, 4, ... levels up, of the nodes that have them; written to the shared folder."""
+    nodes = stored(tree.select("id", F.col("parent_id").alias("up")).distinct(), "nodes")
+    n = nodes.count()
+    twice = nodes.groupBy("id").count().where("count > 1").select("id").limit(5).collect()
+    if twice:
+        raise ValueError(f"nodes with two parents: {sorted(r['id'] for r in twice)}")
+    up, out, reach = stored(nodes.where("up is not null").join(nodes.select(F.col("id").alias("up")), "up", "left_semi").select("id", "up"), "lift"), [], 1
+    while up.limit(1).count():
+        if reach >= n:  # ancestors so far up are on a cycle
+            raise ValueError(f"a cycle goes through {sorted(r['up'] for r in up.select('up').distinct().orderBy('up').limit(5).collect())}")
+        out.append(up)
+        further = up.select(F.col("id").alias("up"), F.col("up").alias("further"))
+        up = stored(up.join(further, "up").select("id", F.col("further").alias("up")), "lift")
+        reach *= 2
+    return out
 
-def _recursive(tree: DataFrame, start: str, step: str) -> DataFrame:
-    return tree.sparkSession.sql(f"WITH RECURSIVE walk(id, other, depth) MAX RECURSION LEVEL {DEPTH} AS ({start} UNION ALL {step}) SELECT * FROM walk", tree=tree)
+
+def reached(tree: DataFrame, marked: DataFrame | None = None, levels: list[DataFrame] | None = None) -> DataFrame:
+    """(id, descendant, depth): every marked node (column id; all if None) with itself and all below it.
+
+    Only rows of the answer are made: a node takes over what the node k levels up has found.
+    """
+    nodes = tree.select("id").distinct()
+    found = nodes if marked is None else nodes.join(marked.select("id").distinct(), "id", "left_semi")
+    found = found.select("id", F.col("id").alias("descendant"), F.lit(0).cast("long").alias("depth"))
+    reach = 1
+    for up in lifts(tree) if levels is None else levels:
+        found = stored(found, "reached")
+        over = up.join(found, up["up"] == found["descendant"]).select(found["id"], up["id"].alias("descendant"), (F.col("depth") + reach).alias("depth"))
+        found = found.unionByName(over)
+        reach *= 2
+    return found
 
 
 def closure(tree: DataFrame) -> DataFrame:
     """(id, descendant, depth): every region with itself and all below it."""
-    found = _recursive(
-        tree,
-        "SELECT id, id, 0 FROM {tree}",
-        "SELECT w.id, t.id, w.depth + 1 FROM walk w JOIN {tree} t ON t.parent_id = w.other",
-    )
-    return found.select("id", F.col("other").alias("descendant"), "depth")
+    return reached(tree)
+
+
+def subtree_sums(tree: DataFrame, own: DataFrame, values: list[str], levels: list[DataFrame] | None = None) -> DataFrame:
+    """(id, values): sums of ``own`` (id, values) over each node and all below it, of nodes that have any."""
+    summed = own.join(tree.select("id").distinct(), "id", "left_semi").groupBy("id").agg(*(F.sum(v).alias(v) for v in values))
+    kinds = dict(summed.dtypes)
+    for up in lifts(tree) if levels is None else levels:
+        summed = stored(summed, "subtree-sums")
+        lifted = up.join(summed, "id").select(F.col("up").alias("id"), *values)
+        summed = summed.unionByName(lifted).groupBy("id").agg(*(F.sum(v).cast(kinds[v]).alias(v) for v in values))
+    return summed
+
+
+def _path_sums(own: DataFrame, value: str, levels: list[DataFrame]) -> DataFrame:
+    """(id, value): sums over each node and all above it."""
+    for up in levels:
+        own = stored(own, "path-sums")
+        above = up.join(own.select(F.col("id").alias("up"), F.col(value).alias("__above")), "up").select("id", "__above")
+        own = own.join(above, "id", "left").select("id", (F.col(value) + F.coalesce("__above", F.lit(0))).alias(value))
+    return own
+
+
+def intervals(tree: DataFrame) -> DataFrame:
+    """(id, first, last, depth): numbers of an Euler tour, children in the order of their ids.
+
+    A node is below another if its ``first`` lies in that one's interval, and a sum
+    over a subtree is one over a range of ``first``. Siblings are numbered over
+    ranges, so a node may have any number of children.
+    """
+    levels = lifts(tree)
+    nodes = stored(tree.select("id", "parent_id").distinct(), "nodes")
+    sizes = stored(subtree_sums(tree, nodes.select("id", F.lit(1).cast("long").alias("n")), ["n"], levels), "sizes")
+    parents = levels[0] if levels else nodes.select("id", F.col("id").alias("up")).limit(0)
+    family = sizes.join(parents, "id", "left").select("id", "n", "up")
+    ranked = numbered(family, ["up"], ["id"], "row")
+    # within blocks of siblings, and then over the blocks of a family
+    block = F.call_function("div", F.col("row"), F.lit(1024))
+    inside = Window.partitionBy("up", "block").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = stored(ranked.withColumn("block", block).withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))), "siblings")
+    over = Window.partitionBy("up").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = ranked.groupBy("up", "block").agg(F.sum("n").alias("n")).select(F.col("up").alias("up2"), F.col("block").alias("block2"), F.coalesce(F.sum("n").over(over), F.lit(0)).alias("earlier"))
+    offset = F.col("before") + F.col("earlier") + F.when(F.col("up").isNull(), 0).otherwise(1)
+    steps = ranked.join(blocks, F.col("up").eqNullSafe(F.col("up2")) & (F.col("block") == F.col("block2"))).select("id", offset.alias("first"))
+    first = _path_sums(steps, "first", levels)
+    depth = _path_sums(nodes.select("id").withColumn("depth", F.lit(1).cast("long")), "depth", levels)
+    return first.join(sizes, "id").join(depth, "id").select("id", "first", (F.col("first") + F.col("n") - 1).alias("last"), (F.col("depth") - 1).alias("depth"))
 
 
 def progeny(tree: DataFrame) -> DataFrame:
@@ -38,9 +118,7 @@ def ancestors(tree: DataFrame) -> DataFrame:
 
 def rollup_counts(tree: DataFrame, counts: DataFrame, values: list[str]) -> DataFrame:
     """Sums over each region and all below it, 0 where there are none."""
-    own = counts.select(F.col("id").alias("descendant"), *values)
-    summed = closure(tree).join(own, "descendant").groupBy("id").agg(*(F.sum(v).alias(v) for v in values))
-    return tree.select("id", "name").join(summed, "id", "left").na.fill(0, values)
+    return tree.select("id", "name").join(subtree_sums(tree, counts, values), "id", "left").na.fill(0, values)
 
 
 def rollup_pivot(tree: DataFrame, wide: DataFrame, brains: list[str]) -> DataFrame:
@@ -50,9 +128,7 @@ def rollup_pivot(tree: DataFrame, wide: DataFrame, brains: list[str]) -> DataFra
 
 def below(tree: DataFrame, name: str) -> DataFrame:
     """(id, depth) of a named region and all below it."""
-    root = tree.where(F.col("name") == name).select(F.col("id").alias("__root"))
-    found = closure(tree)
-    return found.join(root, found["id"] == root["__root"], "left_semi").select(F.col("descendant").alias("id"), "depth")
+    return reached(tree, tree.where(F.col("name") == name)).select(F.col("descendant").alias("id"), "depth")
 
 
 def progeny_to_level(tree: DataFrame, name: str, n: int) -> DataFrame:
@@ -73,7 +149,7 @@ def consolidate(vox: DataFrame, tree: DataFrame, names: list[str], root: str = "
     for i, n in listed:
         order = F.when(F.col("name") == n, F.lit(i)).otherwise(order)
     chosen = tree.select("id", order.alias("ord")).where("ord is not null")
-    owner = closure(tree).join(chosen, "id").groupBy("descendant").agg(F.max_by("id", "ord").alias("owner"))
+    owner = reached(tree, chosen).join(chosen, "id").groupBy("descendant").agg(F.max_by("id", "ord").alias("owner"))
     return vox.join(owner, vox["label"] == owner["descendant"], "left").withColumn("label", F.coalesce("owner", "label")).drop("owner", "descendant")
 
 

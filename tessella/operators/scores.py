@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.columns import divided
+from tessella.operators.ranges import largest_gap, percentiles, running
 from tessella.operators.tables import numbered, unit_hash
 
 # --- summaries ----------------------------------------------------------------------------
@@ -16,7 +17,9 @@ from tessella.operators.tables import numbered, unit_hash
 def score_stats(scores: DataFrame, by: str = "id", value: str = "score") -> DataFrame:
     """Mean, population deviation, median and p90 - p10 of each row's ensemble scores (long form)."""
     v = F.col(value)
-    return scores.groupBy(by).agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"), F.percentile(v, 0.5).alias("median"), (F.percentile(v, 0.9) - F.percentile(v, 0.1)).alias("spread"))
+    shape = scores.groupBy(by).agg(F.avg(v).alias("mean"), F.stddev_pop(v).alias("std"))
+    points = percentiles(scores, [by], value, {"median": 0.5, "p10": 0.1, "p90": 0.9}).select(F.col(by).alias("__by"), "median", (F.col("p90") - F.col("p10")).alias("spread"))
+    return shape.join(points, F.col(by).eqNullSafe(F.col("__by")), "left").drop("__by")
 
 
 def size_outliers(files: DataFrame, k: float = 5, value: str = "size") -> DataFrame:
@@ -188,20 +191,14 @@ def score_cdf(df: DataFrame, label: str = "label", value: str = "score") -> Data
 
 
 def ks_statistic(a: DataFrame, b: DataFrame, by: list[str] = (), value: str = "v") -> DataFrame:
-    """Largest gap (signed) of two empirical distributions and where it is; ties are one step.
+    """Largest gap (signed) of two empirical distributions and where it is; ties are one step. Nulls are left out.
 
-    Values are counted first, so the ordered sum runs over distinct values only.
+    Values are counted first, and counts run up over ranges of the values, so one
+    group, also that of no ``by`` at all, is spread over tasks.
     """
-    ca = a.groupBy(*by, value).agg(F.count(F.lit(1)).alias("a"))
-    cb = b.groupBy(*by, value).agg(F.count(F.lit(1)).alias("b"))
-    steps = ca.join(cb, [*by, value], "full").na.fill(0, ["a", "b"])
-    whole = Window.partitionBy(*by)
-    n1, n2 = F.sum("a").over(whole), F.sum("b").over(whole)
-    run = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    gap = F.sum("a").over(run) / n1 - F.sum("b").over(run) / n2
-    best = F.max(F.struct(F.abs("gap").alias("g"), (-F.col(value)).alias("v"), "gap", "n1", "n2")).alias("m")
-    found = steps.withColumns({"n1": n1, "n2": n2, "gap": gap}).where("n1 > 0 and n2 > 0").groupBy(*by).agg(best)
-    return found.select(*by, F.col("m.gap").alias("gap"), (-F.col("m.v")).alias("at"), F.col("m.n1").alias("n1"), F.col("m.n2").alias("n2"))
+    side = lambda df, x, y: df.where(F.col(value).isNotNull()).select(*by, value, F.lit(x).cast("long").alias("a"), F.lit(y).cast("long").alias("b"))
+    steps = side(a, 1, 0).unionByName(side(b, 0, 1)).groupBy(*by, value).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return largest_gap(steps, list(by), value)
 
 
 def ks_p_value(gap: Column, n1: Column, n2: Column, terms: int = 20) -> Column:
@@ -220,16 +217,12 @@ def ks_test(boxes: DataFrame, background: DataFrame, alpha: float = 0.01, by=("b
     box's values or at the last background value before one; a box costs what it
     holds, not a copy of the background.
     """
-    over = Window.partitionBy("feature")
-    own = boxes.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("a"))
-    known = background.groupBy("feature", "v").agg(F.count(F.lit(1)).alias("b"))
-    values = known.unionByName(boxes.select("feature", "v").distinct().withColumn("b", F.lit(0).cast("long"))).groupBy("feature", "v").agg(F.sum("b").alias("b"))
-    so_far = over.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    earlier = over.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = values.select("feature", "v", F.sum("b").over(so_far).alias("until"), F.sum("b").over(over).alias("n2"), "b", F.max(F.when(F.col("b") > 0, F.col("v"))).over(earlier).alias("last"))
-    box = Window.partitionBy(*by)
-    steps = own.join(placed, ["feature", "v"])
-    steps = steps.withColumns({"n1": F.sum("a").over(box), "mine": F.sum("a").over(box.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))}).where("n2 > 0")
+    own = boxes.where("v is not null").groupBy(*by, "v").agg(F.count(F.lit(1)).alias("a"))
+    known = background.where("v is not null").groupBy("feature", "v").agg(F.count(F.lit(1)).alias("b"))
+    values = known.unionByName(own.select("feature", "v", F.lit(0).cast("long").alias("b"))).groupBy("feature", "v").agg(F.sum("b").alias("b"))
+    placed = running(values.withColumn("seen", F.when(F.col("b") > 0, F.col("v"))), ["feature"], ["v"], ["b"], ["seen"])
+    placed = placed.select("feature", "v", "b", F.col("b_until").alias("until"), F.col("b_total").alias("n2"), F.col("seen_before").alias("last")).where("n2 > 0")
+    steps = running(own, list(by), ["v"], ["a"]).withColumnsRenamed({"a_until": "mine", "a_total": "n1"}).join(placed, ["feature", "v"])
     gap = lambda mine, theirs: mine / F.col("n1") - theirs / F.col("n2")
     here = F.struct(gap(F.col("mine"), F.col("until")).alias("gap"), F.col("v").alias("at"))
     before = F.struct(gap(F.col("mine") - F.col("a"), F.col("until") - F.col("b")).alias("gap"), F.col("last").alias("at"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.columns import divided
@@ -48,10 +48,18 @@ def self_pairs(pts: DataFrame, d: float = 30.0, axes=("x", "y"), keys: list[str]
 
 
 def nearest(queries: DataFrame, candidates: DataFrame, keys: list[str], max_dist: float, axes=("x", "y")) -> DataFrame:
-    """The nearest candidate of each query closer than ``max_dist`` (or in the same place); ties to the smaller id."""
+    """(keys, id, match, dist): the nearest candidate of each query closer than ``max_dist`` (or in the same place); ties to the smaller id.
+
+    Ids need to be unique within ``keys`` only.
+    """
     pairs = close_pairs(queries.select(*keys, "id", *axes), candidates.select(*keys, "id", *axes), max_dist, list(axes), list(keys))
     best = F.min(F.struct("dist", "id_b"))
-    return pairs.groupBy(F.col("id_a").alias("id")).agg(best.alias("m")).select("id", F.col("m.id_b").alias("match"), F.col("m.dist").alias("dist"))
+    return pairs.groupBy(*keys, F.col("id_a").alias("id")).agg(best.alias("m")).select(*keys, "id", F.col("m.id_b").alias("match"), F.col("m.dist").alias("dist"))
+
+
+def _finite(df: DataFrame, axes) -> DataFrame:
+    """Rows that have a place: coordinates that are neither null nor NaN nor infinite."""
+    return df.where(reduce(lambda s, c: s & (F.abs(F.col(c).cast("double")) < float("inf")), axes, F.lit(True)))
 
 
 def _reach(a: DataFrame, b: DataFrame, axes) -> tuple[float, float]:
@@ -65,28 +73,103 @@ def _reach(a: DataFrame, b: DataFrame, axes) -> tuple[float, float]:
     return min(widest, max(2 * (area / max(1, b.count())) ** (1 / len(axes)), widest * 1e-6)), widest
 
 
-def nearest_in_tile(queries: DataFrame, candidates: DataFrame, keys: list[str], axes=("x", "y")) -> DataFrame:
-    """The nearest candidate within the same tile, at any distance; ties to the smaller id.
+# --- nearest without a cutoff: two trees of cells, searched together ----------------------
+
+#: Bits of a place's cell number on an axis at the finest level.
+DEPTH = 30
+#: Pairs of places up to which two cells are compared place by place.
+CELL_PAIRS = 1024
+#: Bounds are squares of rounded numbers; what is this close to a bound is kept.
+SLACK = 1 + 1e-9
+
+
+def _gridded(places: DataFrame, tiles: DataFrame, keys: list[str], axes) -> DataFrame:
+    """Places with whole numbers ``__g<axis>`` on a grid over their tile, the tile's longer side having 2**DEPTH steps."""
+    at = lambda c: F.least(F.floor((F.col(c) - F.col(f"__low{c}")) / F.col("__side") * F.lit(float(1 << DEPTH))), F.lit((1 << DEPTH) - 1)).alias(f"__g{c}")
+    return stored(places.join(tiles, keys).select(*keys, "id", *axes, *map(at, axes)), "places")
+
+
+def _cell_of(axes, level: int) -> list[Column]:
+    return [F.shiftright(F.col(f"__g{c}"), DEPTH - level).alias(f"__c{c}") for c in axes]
+
+
+def _boxes(places: DataFrame, keys: list[str], axes, level: int, up: int, side: str) -> DataFrame:
+    """Cells of a level with their places' number and tight box, and the cell ``up`` levels above."""
+    cells = places.groupBy(*keys, *_cell_of(axes, level)).agg(F.count(F.lit(1)).alias(f"n{side}"), *(f(c).alias(f"{n}{side}{c}") for c in axes for n, f in (("low", F.min), ("high", F.max))))
+    named = [F.col(f"__c{c}").alias(f"c{side}{c}") for c in axes]
+    above = [F.shiftright(F.col(f"__c{c}"), up).alias(f"p{side}{c}") for c in axes]
+    return cells.select(*keys, *named, *above, f"n{side}", *(f"{n}{side}{c}" for c in axes for n in ("low", "high")))
 
-    The search widens: queries that find nothing within a distance, at first
-    about that of neighbouring candidates in a tile of mean size, go on with four
-    times that, until all candidates of a tile are near. So a dense tile costs
-    what its neighbourhoods cost, and never all its pairs.
+
+def _apart(axes, a_low, a_high, b_low, b_high) -> tuple[Column, Column]:
+    """Squares of the least and the largest distance of two boxes."""
+    least = reduce(lambda s, c: s + F.pow(F.greatest(F.col(b_low + c) - F.col(a_high + c), F.col(a_low + c) - F.col(b_high + c), F.lit(0.0)), 2), axes, F.lit(0.0))
+    most = reduce(lambda s, c: s + F.pow(F.greatest(F.col(b_high + c) - F.col(a_low + c), F.col(a_high + c) - F.col(b_low + c)), 2), axes, F.lit(0.0))
+    return least, most
+
+
+def nearest_in_tile(queries: DataFrame, candidates: DataFrame, keys: list[str], axes=("x", "y")) -> DataFrame:
+    """(keys, id, match, dist): the nearest candidate within the same tile, at any distance; ties to the smaller id.
+
+    Both sides' places lie in cells that are halved from the tile down, and only
+    cells that hold much are halved. Pairs of a query cell and a candidate cell stay
+    in question while their boxes may be as close as the best bound of the query
+    cell (the least of its largest distances to any cell); small pairs are compared
+    place by place, again only with cells within each place's own bound. So a tile
+    costs about its places times their near cells, also where two crowds lie far
+    apart. Places of several ids are looked up once. Queries and candidates without
+    a finite place have no match.
     """
-    q, c = stored(queries.select(*keys, "id", *axes), "queries"), stored(candidates.select(*keys, "id", *axes), "candidates")
-    tiles = q.select(*keys).union(c.select(*keys)).distinct().count()
-    d, widest = _reach(q, c, axes)
-    open_, out = q.join(c.select(*keys).distinct(), keys, "left_semi"), None
-    while tiles:
-        found = stored(nearest(open_, c, keys, d, axes), "nearest")
-        out = found if out is None else out.unionByName(found)
-        if d >= widest:
-            break
-        open_ = stored(open_.join(found.select("id"), "id", "left_anti"), "open-queries")
-        if not open_.limit(1).count():
+    axes, bits = list(axes), 2 if len(axes) < 3 else 1
+    prepare = lambda df: _finite(df, axes).select(*keys, "id", *(F.col(c).cast("double").alias(c) for c in axes))
+    asked = stored(prepare(queries), "queries")
+    q = asked.groupBy(*keys, *axes).agg(F.min("id").alias("id"))
+    c = prepare(candidates).groupBy(*keys, *axes).agg(F.min("id").alias("id"))
+    ends = lambda df: df.groupBy(*keys).agg(*(f(x).alias(f"{n}{x}") for x in axes for n, f in (("__low", F.min), ("__high", F.max))))
+    both = ends(q).join(ends(c).select(*keys, *(F.col(f"{n}{x}").alias(f"{n}2{x}") for x in axes for n in ("__low", "__high"))), keys)
+    low = lambda x: F.least(f"__low{x}", f"__low2{x}")
+    side = F.greatest(*(F.greatest(f"__high{x}", f"__high2{x}") - low(x) for x in axes), F.lit(1e-300))
+    tiles = stored(both.select(*keys, *(low(x).alias(f"__low{x}") for x in axes), side.alias("__side")), "tiles")  # tiles of both sides
+    q, c = _gridded(q, tiles, keys, axes), _gridded(c, tiles, keys, axes)
+    open_q, open_c, level, found = q, c, 0, None
+    cells = lambda s, p="c": [f"{p}{s}{x}" for x in axes]
+    front = tiles.select(*keys, *(F.lit(0).cast("long").alias(n) for s in "qc" for n in cells(s, "p")), F.lit(float("inf")).alias("bound"))
+    while True:
+        boxes_q, boxes_c = _boxes(open_q, keys, axes, level, bits if level else 0, "q"), _boxes(open_c, keys, axes, level, bits if level else 0, "c")
+        pairs = front.join(boxes_q, [*keys, *cells("q", "p")]).join(boxes_c, [*keys, *cells("c", "p")])
+        least, most = _apart(axes, "lowq", "highq", "lowc", "highc")
+        pairs = stored(pairs.select(*keys, *cells("q"), *cells("c"), "nq", "nc", "bound", least.alias("least"), most.alias("most"), *(f"{n}c{x}" for x in axes for n in ("low", "high"))), "cell-pairs")
+        bounds = pairs.groupBy(*keys, *cells("q")).agg(F.least(F.min("most"), F.min("bound")).alias("best"))
+        pairs = stored(pairs.join(bounds, [*keys, *cells("q")]).where(F.col("least") <= F.col("best") * SLACK), "near-cells")
+        small = (F.col("nq") * F.col("nc") <= CELL_PAIRS) if level < DEPTH else F.lit(True)
+        new = stored(_compared(pairs.where(small), open_q, open_c, keys, axes, level), "nearest")
+        found = new if found is None else found.unionByName(new)
+        front = pairs.where(~small)
+        if level >= DEPTH or not front.limit(1).count():
             break
-        d = min(4 * d, widest)
-    return out if out is not None else nearest(q, c, keys, 1.0, axes)
+        here = lambda s: [*keys, *(F.col(f"c{s}{x}").alias(f"__c{x}") for x in axes)]
+        at = [*keys, *(f"__c{x}" for x in axes)]
+        stay = lambda df, s: stored(df.withColumns({f"__c{x}": col for x, col in zip(axes, _cell_of(axes, level))}).join(front.select(*here(s)).distinct(), at, "left_semi").drop(*(f"__c{x}" for x in axes)), "open-places")
+        open_q, open_c = stay(open_q, "q"), stay(open_c, "c")
+        front = front.select(*keys, *(F.col(f"c{s}{x}").alias(f"p{s}{x}") for s in "qc" for x in axes), F.col("best").alias("bound"))
+        level = min(DEPTH, level + bits) if level else bits
+    best = found.groupBy(*keys, *axes).agg(F.min(F.struct("dist", "match")).alias("m"))
+    return asked.join(best, [*keys, *axes]).select(*keys, "id", F.col("m.match").alias("match"), F.col("m.dist").alias("dist"))
+
+
+def _compared(pairs: DataFrame, q: DataFrame, c: DataFrame, keys: list[str], axes, level: int) -> DataFrame:
+    """(keys, place, match, dist) of the places of query cells and of those candidate cells that may hold the nearest one."""
+    cell = dict(zip(axes, _cell_of(axes, level)))
+    rows = pairs.join(q.select(*keys, *axes, *(cell[x].alias(f"cq{x}") for x in axes)), [*keys, *(f"cq{x}" for x in axes)])
+    least = reduce(lambda s, x: s + F.pow(F.greatest(F.col(f"lowc{x}") - F.col(x), F.col(x) - F.col(f"highc{x}"), F.lit(0.0)), 2), axes, F.lit(0.0))
+    most = reduce(lambda s, x: s + F.pow(F.greatest(F.col(f"highc{x}") - F.col(x), F.col(x) - F.col(f"lowc{x}")), 2), axes, F.lit(0.0))
+    rows = rows.select(*keys, *axes, *(f"cc{x}" for x in axes), "best", least.alias("least"), most.alias("most"))
+    own = Window.partitionBy(*keys, *axes)  # a place and its near cells
+    rows = rows.withColumn("limit", F.least(F.min("most").over(own), F.col("best"))).where(F.col("least") <= F.col("limit") * SLACK)
+    there = c.select(*keys, F.col("id").alias("match"), *(F.col(x).alias(f"{x}_c") for x in axes), *(cell[x].alias(f"cc{x}") for x in axes))
+    dist = F.sqrt(reduce(lambda s, x: s + F.pow(F.col(x) - F.col(f"{x}_c"), 2), axes, F.lit(0.0)))
+    near = rows.join(there, [*keys, *(f"cc{x}" for x in axes)]).withColumn("dist", dist)
+    return near.groupBy(*keys, *axes).agg(F.min(F.struct("dist", "match")).alias("m")).select(*keys, *axes, "m.dist", "m.match")
 
 
 # --- components ---------------------------------------------------------------------------
@@ -148,42 +231,66 @@ def inter_rater(labelled: DataFrame, a: str, b: str) -> DataFrame:
     return labelled.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("groups"))
 
 
-#: Parts of a section whose outlines are found on their own first.
-HULL_PARTS = 8
+#: Points of a section, about, whose outline is found in one task.
+OUTLINED = 50_000
+
+
+def _hull(x, y):
+    """Corners of the convex hull of points in the order of x and then y, counter-clockwise from the first one."""
+    def chain(order) -> list:
+        kept: list = []
+        for i in order:
+            while len(kept) > 1:
+                o, a = kept[-2], kept[-1]
+                if (x[a] - x[o]) * (y[i] - y[o]) - (y[a] - y[o]) * (x[i] - x[o]) > 0:
+                    break
+                kept.pop()
+            kept.append(i)
+        return kept
+
+    lower, upper = chain(range(len(x))), chain(range(len(x) - 1, -1, -1))
+    return lower[:-1] + upper[:-1] if len(x) > 1 else lower
 
 
 def _outline(frame):
-    """Corners of the convex hull of one group's points, by rising x."""
-    import pandas as pd
-
-    pts = sorted(set(zip(frame["x"].tolist(), frame["y"].tolist())))
-    turn = lambda o, a, b: (a[0] - o[0]) * (b[1] - o[1]) - (a[1] - o[1]) * (b[0] - o[0])
-    corners = set(pts[:1])
-    for way in (pts, pts[::-1]):
-        chain: list = []
-        for p in way:
-            while len(chain) > 1 and turn(chain[-2], chain[-1], p) <= 0:
-                chain.pop()
-            chain.append(p)
-        corners.update(chain)
-    first = frame.iloc[0]
-    return pd.DataFrame([(first["prep"], first["section"], x, y) for x, y in sorted(corners)], columns=["prep", "section", "x", "y"])
+    """The rows of one group that are corners of its convex hull."""
+    frame = frame.drop_duplicates(["x", "y"]).sort_values(["x", "y"], kind="stable").reset_index(drop=True)
+    corners = _hull(frame["x"].tolist(), frame["y"].tolist())
+    return frame.iloc[corners][["prep", "section", "x", "y"]]
+
+
+def _widest(frame):
+    """The largest distance of two points: calipers go round the hull, so its corners cost a step each."""
+    frame = frame.drop_duplicates(["x", "y"]).sort_values(["x", "y"], kind="stable").reset_index(drop=True)
+    x, y = frame["x"].tolist(), frame["y"].tolist()
+    h = _hull(x, y)
+    n, far, j = len(h), 0.0, min(1, len(h) - 1)
+    square = lambda a, b: (x[a] - x[b]) ** 2 + (y[a] - y[b]) ** 2
+    for i in range(n):
+        a, b = h[i], h[(i + 1) % n]
+        turn = lambda c: abs((x[b] - x[a]) * (y[c] - y[a]) - (y[b] - y[a]) * (x[c] - x[a]))  # noqa: B023,E731
+        while n > 2 and turn(h[(j + 1) % n]) > turn(h[j]):
+            j = (j + 1) % n
+        far = max(far, square(a, h[j]), square(b, h[j]), square(a, h[(j + 1) % n]), square(b, h[(j + 1) % n]))
+    first = frame.iloc[:1][["prep", "section"]]
+    return first.assign(spread=far**0.5)
 
 
 def section_spread(pts: DataFrame) -> DataFrame:
     """Mean place and largest distance of two points of each section with two points or more.
 
-    The farthest two points are corners of the convex hull. Only each column's
-    lowest and highest points are looked at; hulls of parts of a section are found
-    first, and the section's own from their corners, which are few.
+    The farthest two points are corners of the convex hull, opposite to each other.
+    Hulls of parts of a section, which have about ``OUTLINED`` points, are found
+    apart, and calipers go round the hull of their corners. Points without a finite
+    place count in the mean alone.
     """
     mean = pts.groupBy("prep", "section").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("x"), F.avg("y").alias("y")).where("n >= 2")
-    rim = pts.groupBy("prep", "section", "x").agg(F.array_distinct(F.array(F.min("y"), F.max("y"))).alias("ys")).select("prep", "section", F.col("x").cast("double").alias("x"), F.explode(F.col("ys").cast("array<double>")).alias("y"))
-    kind = ", ".join(f"{k} {rim.schema[k].dataType.simpleString()}" for k in ("prep", "section")) + ", x double, y double"
-    corners = rim.groupBy("prep", "section", F.pmod(F.xxhash64("x"), F.lit(HULL_PARTS)).alias("part")).applyInPandas(_outline, kind)
-    corners = stored(corners.groupBy("prep", "section").applyInPandas(_outline, kind), "corners")
-    far = corners.join(corners.select("prep", "section", F.col("x").alias("x2"), F.col("y").alias("y2")), ["prep", "section"])
-    spread = far.groupBy("prep", "section").agg(F.max(F.sqrt(F.pow(F.col("x") - F.col("x2"), 2) + F.pow(F.col("y") - F.col("y2"), 2))).alias("spread"))
+    kinds = ", ".join(f"{k} {pts.schema[k].dataType.simpleString()}" for k in ("prep", "section"))
+    placed = _finite(pts, ["x", "y"]).select("prep", "section", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    parts = mean.select("prep", "section", F.ceil(F.col("n") / OUTLINED).alias("__parts"))
+    placed = placed.join(parts, ["prep", "section"]).withColumn("__part", F.pmod(F.xxhash64("x", "y"), F.col("__parts")))
+    corners = placed.groupBy("prep", "section", "__part").applyInPandas(lambda f: _outline(f), f"{kinds}, x double, y double")
+    spread = corners.groupBy("prep", "section").applyInPandas(lambda f: _widest(f), f"{kinds}, spread double")
     return mean.join(spread, ["prep", "section"])
 
 
@@ -211,8 +318,8 @@ def dedupe_detections(pts: DataFrame, d: float, keys: list[str] = ("prep",)) ->
 def exclude_detections(detections: DataFrame, duplicate_sections: DataFrame, border_ids: DataFrame, annotated: DataFrame, d: float, keys: list[str] = ("animal", "section")) -> DataFrame:
     """Detections not on duplicate sections, not on borders, and not within ``d`` of an annotation."""
     left = detections.join(duplicate_sections, list(keys), "left_anti").join(border_ids, "id", "left_anti")
-    known = nearest(left, annotated, list(keys), d).select("id")
-    return left.join(known, "id", "left_anti")
+    known = nearest(left, annotated, list(keys), d).select(*keys, "id")
+    return left.join(known, [*keys, "id"], "left_anti")
 
 
 def border_flag(pts: DataFrame, border: DataFrame, factor: int = 32) -> DataFrame:
@@ -310,7 +417,7 @@ def _in_order(keys: list[str]):
     return run
 
 
-def _greedy(left: DataFrame, keys: list[str], settled: int = SETTLED) -> DataFrame:
+def _greedy(left: DataFrame, keys: list[str], settled: int | None = None) -> DataFrame:
     """Pairs that are the best of both their ends, round by round.
 
     What one task can hold is settled there. If a round takes little, as in a
@@ -318,6 +425,7 @@ def _greedy(left: DataFrame, keys: list[str], settled: int = SETTLED) -> DataFra
     are settled each in one group, and only large ones stay for further rounds.
     """
     spark, columns = left.sparkSession, [*keys, "id_a", "id_b", "dist"]
+    settled = SETTLED if settled is None else settled
     left = left.select(*columns)
     schema, path = left.schema, scratch(left.sparkSession, "matched")
     keep = lambda df: df.select(*columns).write.mode("append").parquet(path)
@@ -359,11 +467,11 @@ def match_counts(truth: DataFrame, pred: DataFrame, pairs: DataFrame, by: list[s
 
 
 def match_sweep(truth: DataFrame, pred: DataFrame, cutoffs: list[float], keys: list[str] = (), axes=("x", "y")) -> DataFrame:
-    """Matching counts at several cutoffs, all in one run; empty sides give counts of 0."""
-    widest = stored(close_pairs(truth.select(*keys, "id", *axes), pred.select(*keys, "id", *axes), max(cutoffs), list(axes), list(keys)).select("id_a", "id_b", "dist"), "pairs")
+    """Matching counts at several cutoffs, all in one run; empty sides give counts of 0. Ids need to be unique within ``keys`` only."""
+    widest = stored(close_pairs(truth.select(*keys, "id", *axes), pred.select(*keys, "id", *axes), max(cutoffs), list(axes), list(keys)).select(*keys, "id_a", "id_b", "dist"), "pairs")
     levels = F.array(*(F.lit(float(c)) for c in cutoffs))
     pairs = stored(widest.withColumn("cutoff", F.explode(F.filter(levels, lambda c: F.col("dist") < c))), "pairs")
-    matched = _greedy(pairs, ["cutoff"]).groupBy("cutoff").agg(F.count(F.lit(1)).alias("tp"))
+    matched = _greedy(pairs, ["cutoff", *keys]).groupBy("cutoff").agg(F.count(F.lit(1)).alias("tp"))
     totals = truth.agg(F.count(F.lit(1)).alias("t")).join(F.broadcast(pred.agg(F.count(F.lit(1)).alias("p"))))
     every = totals.withColumn("cutoff", F.explode(levels)).join(matched, "cutoff", "left")
     tp = F.coalesce("tp", F.lit(0)).cast("long")
@@ -376,9 +484,10 @@ def match_all(truth: DataFrame, pred: DataFrame, keys: list[str], axes=("x", "y"
     The shortest pairs come first, so pairs within a distance are matched before
     longer ones matter: the reach grows fourfold, and only points without a
     partner, in groups that have such points on both sides, go on. Points without
-    a place have no partner.
+    a finite place have no partner. Where both sides crowd far apart, all their pairs
+    are made, as the shortest of all come first there.
     """
-    a, b = (stored(df.select(*keys, "id", *axes), "open-points") for df in (truth, pred))
+    a, b = (stored(_finite(df.select(*keys, "id", *axes), axes), "open-points") for df in (truth, pred))
     (d, widest), pairs = _reach(a, b, axes), None
     while True:
         near = stored(close_pairs(a, b, d, list(axes), keys).select(*keys, "id_a", "id_b", "dist"), "pairs")
@@ -392,8 +501,9 @@ def match_all(truth: DataFrame, pred: DataFrame, keys: list[str], axes=("x", "y"
         if not a.limit(1).count():
             break
         d = min(4 * d, widest)
-    rest = truth.select("id").join(pairs.select(F.col("id_a").alias("id")), "id", "left_anti").withColumn("side", F.lit("truth"))
-    return pairs, rest.union(pred.select("id").join(pairs.select(F.col("id_b").alias("id")), "id", "left_anti").withColumn("side", F.lit("prediction")))
+    at = [*keys, "id"]
+    rest = lambda df, end, side: df.select(*at).join(pairs.select(*keys, F.col(end).alias("id")), at, "left_anti").withColumn("side", F.lit(side))
+    return pairs, rest(truth, "id_a", "truth").union(rest(pred, "id_b", "prediction"))
 
 
 def prf1(counts: DataFrame) -> DataFrame:
@@ -405,14 +515,15 @@ def prf1(counts: DataFrame) -> DataFrame:
 def f1_sweep(truth: DataFrame, pred: DataFrame, thresholds: list[float], cutoff: float, dataset: str, axes=("x", "y"), keys: list[str] = ()) -> DataFrame:
     """Precision, recall and F1 over all datasets by probability threshold; counts are summed first.
 
+    Points match within their dataset (and ``keys``), in which ids need to be unique.
     ``pred`` has a column ``p``; predictions of at least the threshold count.
     """
     levels = F.array(*(F.lit(float(t)) for t in thresholds))
     t = truth.select(dataset, *keys, "id", *axes)
     p = pred.select(dataset, *keys, "id", "p", *axes)
-    near = close_pairs(t, p, cutoff, list(axes), [dataset, *keys]).select(F.col("id_a"), F.col("id_b"), "dist", F.col("p_b").alias("p"))
+    near = close_pairs(t, p, cutoff, list(axes), [dataset, *keys]).select(dataset, *keys, "id_a", "id_b", "dist", F.col("p_b").alias("p"))
     pairs = stored(near.withColumn("threshold", F.explode(F.filter(levels, lambda v: F.col("p") >= v))).drop("p"), "pairs")
-    tp = _greedy(pairs, ["threshold"]).groupBy("threshold").agg(F.count(F.lit(1)).alias("tp"))
+    tp = _greedy(pairs, ["threshold", dataset, *keys]).groupBy("threshold").agg(F.count(F.lit(1)).alias("tp"))
     predicted = pred.withColumn("threshold", F.explode(F.filter(levels, lambda v: F.col("p") >= v))).groupBy("threshold").agg(F.count(F.lit(1)).alias("n"))
     n_truth = truth.agg(F.count(F.lit(1)).alias("t"))
     rows = n_truth.withColumn("threshold", F.explode(levels)).join(tp, "threshold", "left").join(predicted, "threshold", "left")

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.columns import all_of, divided, truncated
+from tessella.functions.session import stored
+from tessella.operators import spatial
+from tessella.operators.ranges import percentiles
 
 XYZ = ["x", "y", "z"]
 
@@ -140,9 +143,9 @@ def apply_mask(pixels: DataFrame, mask: DataFrame, factor: int = 1) -> DataFrame
 
 def rescale_intensity(pixels: DataFrame, top: float = 30000) -> DataFrame:
     """By section: positive values above the 99 % point become the 90 % point, then the new 99 % point becomes ``top``."""
-    q = pixels.where("value > 0").groupBy("section").agg(F.percentile("value", 0.9).alias("q90"), F.percentile("value", 0.99).alias("q99"))
+    q = percentiles(pixels.where("value > 0"), ["section"], "value", {"q90": 0.9, "q99": 0.99})
     capped = pixels.join(q, "section").withColumn("value", F.when(F.col("value") > F.col("q99"), F.col("q90")).otherwise(F.col("value")).cast("double"))
-    again = capped.where("value > 0").groupBy("section").agg(F.percentile("value", 0.99).alias("r99"))
+    again = percentiles(capped.where("value > 0"), ["section"], "value", {"r99": 0.99})
     return capped.join(again, "section").withColumn("value", F.col("value") * top / F.col("r99")).drop("q90", "q99", "r99")
 
 
@@ -249,8 +252,8 @@ def segment_ids(vox: DataFrame) -> DataFrame:
 
 def threshold_volume(vox: DataFrame, q: float = 0.9, value: str = "v", by: str = "region") -> DataFrame:
     """Voxels of at least the q-quantile of their region's positive ones; 0.5 where there are none."""
-    cut = vox.groupBy(by).agg(F.coalesce(F.percentile(F.when(F.col(value) > 0, F.col(value)), q), F.lit(0.5)).alias("__cut"))
-    return vox.join(cut, by).where(F.col(value) >= F.col("__cut")).drop("__cut")
+    cut = percentiles(vox.where(F.col(value) > 0), [by], value, {"__cut": q})
+    return vox.where(F.col(by).isNotNull()).join(cut, by, "left").where(F.col(value) >= F.coalesce("__cut", F.lit(0.5))).drop("__cut")
 
 
 def origin_from_center(centers: DataFrame, vox: DataFrame, voxel_size: dict, by: str = "region") -> DataFrame:
@@ -279,6 +282,20 @@ def component_measures(vox: DataFrame) -> DataFrame:
     return measures.join(top, "comp", "left")
 
 
+def find_site(vox: DataFrame, k: float, n: int = 1, neighbours: int = 6, value: str = "value") -> DataFrame:
+    """(comp, id, x, y, z, voxels) of the n largest components of voxels (id, x, y, z, value) brighter than mean + k deviations.
+
+    Equal sizes go to the smaller ``comp``. A volume without a bright voxel has no
+    site, which is an error.
+    """
+    bright = stored(bright_voxels(vox, k, value).select("id", *XYZ), "bright")
+    if not bright.limit(1).count():
+        raise ValueError("no voxel is bright enough for a site")
+    found = spatial.components(spatial.voxel_edges(bright, neighbours), bright.select(F.col("id").alias("node")))
+    largest = found.groupBy("comp").agg(F.count(F.lit(1)).alias("voxels")).orderBy(F.col("voxels").desc(), "comp").limit(n)
+    return bright.join(found, bright["id"] == found["node"]).drop("node").join(largest, "comp")
+
+
 def size_filter(vox: DataFrame, low: int, high: int) -> DataFrame:
     """Voxels of components with ``low`` to ``high`` voxels."""
     sizes = vox.groupBy("comp").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n").between(low, high))

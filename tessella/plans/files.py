@@ -9,6 +9,7 @@ from tessella.plans.registry import query
 from tessella.plans.volumes import rounded
 from tessella.sources import files as I
 from tessella.streaming import streams as R
+from tessella.streaming.saves import read_saves, stream_upsert
 
 query("io1_read_table", "SELECT c_custkey, c_name FROM customer")(lambda t: I.read_table(t.spark, "customer", {"path": t.sf_dir}).select("c_custkey", "c_name"))
 
@@ -106,8 +107,9 @@ def _(t):
 @query("st2_stream_upsert", "SELECT user_id, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events GROUP BY user_id")
 def _(t):
     source, out, check = arriving(t), scratch(t.spark, "state"), scratch(t.spark, "check")
-    R.stream_upsert(R.stream_files(t.spark, source, t.events.schema, per_batch=2).select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "value"), out, check, ["user_id"], "ts", late="3650 days", parts=4)
-    return t.spark.read.parquet(out).select("user_id", "event_id", "value")
+    saves = R.stream_files(t.spark, source, t.events.schema, per_batch=1).select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", "value")
+    stream_upsert(saves, out, check, ["user_id"], "ts", every=2)
+    return read_saves(t.spark, out, saves.schema, ["user_id"], "ts").select("user_id", "event_id", "value")
 
 
 LOG = "SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') || ' - ' || CASE event_type WHEN 'click' THEN 'START job' ELSE 'job took ' || event_id % 50 END AS value FROM events"

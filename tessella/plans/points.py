@@ -16,9 +16,9 @@ KEYS = ["prep", "section"]
 query("j7_close_pairs", f"SELECT id_a, id_b, round(dist, 5) AS dist FROM ({PAIRS})")(lambda t: rounded(S.self_pairs(t.pts, 8, keys=KEYS).select("id_a", "id_b", "dist"), "dist"))
 NEAR = f"SELECT a.prep, a.section, a.id AS id_a, b.id AS id_b, {DIST} AS dist FROM truths a JOIN preds b ON a.prep = b.prep AND a.section = b.section"
 query("j8_nearest", f"SELECT id_a AS id, match, round(dist, 5) AS dist FROM (SELECT id_a, id_b AS match, dist, row_number() OVER (PARTITION BY id_a ORDER BY dist, id_b) AS r FROM ({NEAR}) WHERE dist < 40) WHERE r = 1")(
-    lambda t: rounded(S.nearest(t.truths, t.preds, KEYS, 40), "dist"))
+    lambda t: rounded(S.nearest(t.truths, t.preds, KEYS, 40).select("id", "match", "dist"), "dist"))
 query("j9_nearest_in_tile", f"SELECT id_a AS id, match, round(dist, 5) AS dist FROM (SELECT id_a, id_b AS match, dist, row_number() OVER (PARTITION BY id_a ORDER BY dist, id_b) AS r FROM ({NEAR} WHERE CAST(floor(a.x / 250) AS BIGINT) = CAST(floor(b.x / 250) AS BIGINT) AND CAST(floor(a.y / 250) AS BIGINT) = CAST(floor(b.y / 250) AS BIGINT))) WHERE r = 1")(
-    lambda t: rounded(S.nearest_in_tile(tiled(t.truths), tiled(t.preds), [*KEYS, "tx", "ty"]), "dist"))
+    lambda t: rounded(S.nearest_in_tile(tiled(t.truths), tiled(t.preds), [*KEYS, "tx", "ty"]).select("id", "match", "dist"), "dist"))
 
 
 def tiled(df):

@@ -107,9 +107,8 @@ query("c8_size_filter", f"{VOXEL_COMPONENTS} SELECT id, comp FROM c WHERE comp I
 e AS (SELECT a.id AS a, c.id AS b FROM b a JOIN b c ON abs(a.x - c.x) + abs(a.y - c.y) + abs(a.z - c.z) = 1), w(id, o) AS (SELECT id, id FROM b UNION SELECT w.id, e.b FROM w JOIN e ON w.o = e.a),
 c AS (SELECT id, min(o) AS comp FROM w GROUP BY id) SELECT comp, count(*) AS voxels FROM c GROUP BY comp ORDER BY voxels DESC, comp LIMIT 3""")
 def _(t):
-    bright = V.bright_voxels(t.pixels, 0.3).select(((F.col("section") * 100 + F.col("x")).cast("long") * 10000000000 + F.col("y")).alias("id"), "x", "y", F.col("section").cast("long").alias("z"))
-    found = S.components(S.voxel_edges(bright, 6), bright.select(F.col("id").alias("node")))
-    return found.groupBy("comp").agg(F.count(F.lit(1)).alias("voxels")).orderBy(F.col("voxels").desc(), "comp").limit(3)
+    voxels = t.pixels.select(((F.col("section") * 100 + F.col("x")).cast("long") * 10000000000 + F.col("y")).alias("id"), "x", "y", F.col("section").cast("long").alias("z"), "value")
+    return V.find_site(voxels, 0.3, 3).select("comp", "voxels").distinct()
 
 
 query("g19_mask_boxes", "WITH c AS (SELECT section, y % 3 AS comp, x, y FROM mask), k AS (SELECT section, comp FROM c GROUP BY ALL HAVING count(*) > 100) SELECT section, greatest(min(x) - 2, 0) AS x1, greatest(min(y) - 2, 0) AS y1, max(x) + 2 AS x2, max(y) + 2 AS y2 FROM c SEMI JOIN k USING (section, comp) GROUP BY section")(

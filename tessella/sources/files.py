@@ -136,8 +136,16 @@ def parse_vertices(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn("vertices", F.transform(F.from_json(clean, "array<array<double>>"), lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
 
 
-def to_layer_json(pts: DataFrame, layer: str = "name", order: str = "id") -> DataFrame:
-    """Each layer's points as a viewer's annotation JSON, z half a section on."""
-    point = F.struct(F.col(order).alias("o"), F.struct(F.array(F.col("x").cast("double"), F.col("y").cast("double"), F.col("z") + 0.5).alias("point"), F.lit("point").alias("type"), F.col(layer).cast("string").alias("category")).alias("a"))
+def to_layer_json(pts: DataFrame, layer: str = "name", order: str = "id", description: str | None = None, color: str | None = None) -> DataFrame:
+    """Each layer's points as a viewer's annotation JSON, z half a section on.
+
+    ``description`` and ``color`` name columns of the points' notes and colours
+    (``#rrggbb``, in ``props``); a point without one goes without the field.
+    """
+    place = F.array(F.col("x").cast("double"), F.col("y").cast("double"), F.col("z") + 0.5).alias("point")
+    fields = [place, F.lit("point").alias("type"), F.col(layer).cast("string").alias("category")]
+    fields += [F.col(description).cast("string").alias("description")] if description else []
+    fields += [F.when(F.col(color).isNotNull(), F.array(F.col(color).cast("string"))).alias("props")] if color else []
+    point = F.struct(F.col(order).alias("o"), F.struct(*fields).alias("a"))
     notes = F.transform(F.array_sort(F.collect_list(point)), lambda s: s["a"])
     return pts.groupBy(layer).agg(F.to_json(F.struct(F.col(layer).cast("string").alias("name"), notes.alias("annotations"))).alias("json"))

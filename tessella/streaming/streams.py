@@ -1,8 +1,7 @@
-"""Structured Streaming forms of skip-what-is-done, saving annotations, and the processing log."""
+"""Structured Streaming forms of skip-what-is-done and the processing log."""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -21,42 +20,6 @@ def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
     return query
 
 
-def stream_upsert(stream: DataFrame, path: str, checkpoint: str, keys: list[str], time: str, late: str = "1 hour", parts: int = 64) -> StreamingQuery:
-    """Keep the newest save of each key under ``path``: repeated and late saves change nothing newer.
-
-    The state is partitioned by a hash of the keys, and a batch rewrites the
-    partitions that it touches alone. A batch that runs again writes the same.
-    """
-    spark = stream.sparkSession
-    deduped = stream.withWatermark(time, late).dropDuplicatesWithinWatermark([*keys, time])
-
-    def apply(batch: DataFrame, number: int) -> None:
-        part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
-        new = batch.withColumn("part", part).persist()
-        try:
-            touched = [r["part"] for r in new.select("part").distinct().collect()]  # ``parts`` at most
-            if not touched:
-                return
-            try:
-                old = spark.read.schema(new.schema).parquet(path).where(F.col("part").isin(touched))
-                both = old.unionByName(new)
-            except AnalysisException as missing:
-                if missing.getCondition() != "PATH_NOT_FOUND":
-                    raise
-                both = new
-            rest = [c for c in both.columns if c not in (*keys, "part")]
-            newest = both.groupBy("part", *keys).agg(F.max_by(F.struct(*rest), time).alias("s")).select("part", *keys, "s.*")
-            staged = f"{path}-batch-{number}"
-            newest.write.mode("overwrite").parquet(staged)
-            spark.read.schema(newest.schema).parquet(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
-        finally:
-            new.unpersist()
-
-    query = deduped.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return query
-
-
 def parse_log(lines: DataFrame, column: str = "value") -> DataFrame:
     """``time - message`` lines."""
     pattern = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) - (.*)$"
