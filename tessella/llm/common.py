@@ -54,8 +54,13 @@ BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound the batches of this session's Python stages by bytes; rows of texts are of very different lengths."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Bound the batches of this session's Python stages by bytes; rows of texts are of very different lengths.
+
+    Plans read the setting when they run, so it stays; a lower bound of the session's own is kept.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
 
 
 def let(value: Column, body) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.llm import bloom
-from tessella.llm.common import chunks, documents, id_text, materialize, window_hashes, word_hashes
+from tessella.llm.common import chunks, documents, id_text, materialize, small_batches, window_hashes, word_hashes
 
 SPAN, GRAM = 10, 5
 WINNOW = SPAN - GRAM + 1
@@ -108,6 +108,7 @@ def _candidates(prints: np.ndarray, short: list[int], short_filter: np.ndarray):
 
 def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row a distinct (doc_id, text): n_words, hit words, items; rows of docs join on the first two."""
+    small_batches(docs.sparkSession)
     windows = materialize(item_windows(benchmark), "benchmark-windows")
     short = [r["size"] for r in windows.where(f"size between 1 and {SPAN - 1}").select("size").distinct().collect()]
     prints = bloom.build(windows.where("size = 0"), "window")

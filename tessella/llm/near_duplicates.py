@@ -347,13 +347,16 @@ def classes(docs: DataFrame, rows: DataFrame | None = None, threshold: float = T
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, with all its columns: the smallest doc_id, nulls last.
 
-    Rows that are equal in doc_id and text are one document; the first of them stays.
+    Rows that are equal in doc_id and text are one document; of these the one stays
+    whose columns (but maps) have the smallest hash.
     """
     heads = classes(docs, threshold=threshold).where("node = head").select(F.col("node").alias("__head"), F.col("first_id").alias("__id"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     keyed = docs.withColumn("__node", node_of(F.col("text")))
     same = (F.col("__node") == F.col("__head")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-    return keyed.join(heads, same).dropDuplicates(["__head"]).select(*columns)
+    ordered = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    one = F.min_by(F.struct(*columns), F.xxhash64(*ordered)).alias("__row")
+    return keyed.join(heads, same).groupBy("__head").agg(one).select(*(F.col("__row").getField(c).alias(c) for c in docs.columns))
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ at which snippets set aside for calibration reach the wanted precision. Spans of
 the four fixed formats (mail addresses, IP addresses, card numbers with a right
 check digit, international phone numbers) are always selected; the method adds
 others: further phone numbers, national identity numbers, account numbers, card
-numbers with a wrong digit, spelt-out mail addresses, and secrets.
+numbers with a wrong digit, spelt-out mail addresses, secrets, passwords that are
+said to be such, and numbers of identity documents.
 
 Candidates, features, forest and redaction are Spark expressions over the row's
 text. Places of matches follow from the lengths of matches and of what lies
@@ -43,12 +44,15 @@ BASE = {
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 IP_RIGHT = rf"^{_PART}(?:\.{_PART}){{3}}$"
 
-#: Generators of candidates, by kind.
+#: Generators of candidates, by kind. The twelve groups of ``number`` have 24 digits at least, more than
+#: phone, card and identity numbers have; Java's matcher takes stack for each group.
 GENERATORS = {
-    "email_spelt": r"(?<![\w.+-])[\w.+-]++\x20?[\[({]\x20?at\x20?[\])}]\x20?[\w-]++(?:\x20?[\[({]\x20?dot\x20?[\])}]\x20?[\w-]++)++",
+    "email_spelt": r"(?<![\w.+-])[\w.+-]++(?:\x20?[\[({]\x20?at\x20?[\])}]\x20?|\x20at\x20)[\w-]++(?:(?:\x20?[\[({]\x20?dot\x20?[\])}]\x20?|\x20dot\x20)[\w-]++)++",
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "number": r"(?<![A-Za-z0-9.,])\(?[0-9]{2,19}\)?(?:[\x20./-]{1,2}[0-9]{2,6}){0,5}(?![A-Za-z0-9])",
+    "number": r"(?<![A-Za-z0-9])(?<![0-9][.,])\(?[0-9]{2,19}(?:(?:\)[\x20./-]{0,3}|[\x20./-]{1,3})[0-9]{2,12}){0,11}\)?(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}+",
+    "secret_told": r"(?<=(?i:password|passwd|passphrase|pwd|secret|passcode)[\"']?\x20{0,2}[:=]\x20{0,2}[\"']?)[^\s\"':=]{5,}+",
+    "document": r"(?<![A-Za-z0-9])(?=[0-9]*[A-Z])(?=[A-Z]*[0-9])[A-Z0-9]{6,12}+(?![A-Za-z0-9])",
 }
 #: Precision that a generator's threshold must reach on the calibration snippets.
 PRECISION = 0.98
@@ -161,7 +165,7 @@ def features(text: Column, s: Column) -> list[Column]:
         *(flag(before.rlike(f"(?:^|[^a-z])(?:{p})")) for p in CUES.values()),
         flag(before.rlike(r"[=:]\s*[\"']?$")),
         flag(before.rlike(r"[\"'`]$")),
-        flag(v.rlike(r"[\])}]\x20?(?:com|org|net|edu|gov|info|biz|[a-z]{2})$")),
+        flag(v.rlike(r"(?:[\])}]\x20?|\x20)(?:com|org|net|edu|gov|info|biz|[a-z]{2})$")),
     ]
 
 
@@ -208,15 +212,27 @@ def labelled_snippets(n: int = SNIPPETS, seed: int = 11) -> list[tuple[str, str,
                 return pick(["IBAN ", "account ", "iban: ", ""]), pick([d, " ".join(d[i : i + 4] for i in range(0, len(d), 4))])
             return pick(["model ", "part ", ""]), some(up, 2) + some(dec, 2) + " " + some(up, 4) + " " + some(up, 4)
         if kind == "email_spelt":
-            a, b = pick([("[at]", "[dot]"), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", " (dot) ")])
+            a, b = pick([("[at]", "[dot]"), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", " (dot) "), (" at ", " dot ")])
             if label:
                 name, host = pick([word(), word()[:3], word() + pick("._") + word(), word() + pick(dec)]), pick([word(), word() + "-" + word(), word() + b + word()])
                 return pick(["", "mail ", "contact ", "to "]), name + a + host + b + pick(["com", "org", "net", "edu", "info", some(low, 2)])
             return "", pick([word(), "we", "look", "stay"]) + a + pick(["noon", "once", "home", word()]) + b + some(low, int(rng.integers(5, 9)))
+        if kind == "secret_told":
+            if label:
+                v = "".join(pick([pick(low), pick(up), pick(dec), pick(dec), pick("!#$%&*+-?@^_~.")]) for _ in range(int(rng.integers(6, 18))))
+                v = pick([v, word().capitalize() + some(dec, int(rng.integers(1, 4))) + pick("!?#$") + some(low, 1), word() + some(dec, int(rng.integers(2, 5)))])
+                return pick(["password: ", "Password=", "pwd: ", 'passwd = "', "passphrase: ", "secret: '", "passcode: "]), v if len(v) > 5 else v + some(dec, 5)
+            return pick(["password: ", "Password: ", "pwd = ", "secret: ", "passphrase: "]), pick(["required", "optional", word() + some(low, 5), "hidden", "see", "ask"]) + some(low, 3) + pick(["", ",", "."])
+        if kind == "document":
+            if label:
+                v = pick([lambda: pick(up) + some(dec, 8), lambda: pick(up) + some(dec, 2) + pick(up) + some(dec, 2) + pick(up) + some(dec, 2), lambda: some(up, 2) + some(dec, 7), lambda: pick(up) + some(up + dec, 7) + pick(dec)])()
+                return pick(["passport ", "passport no ", "Passport: ", "national id ", "identity card ", "licence no ", "license no. ", "tax id "]), v
+            return pick(["model ", "part ", "", "", "flight ", "order ", "version ", "section ", "commit ", "from "]), pick([lambda: some(up, 3) + some(dec, 4), lambda: some(up, int(rng.integers(2, 6))) + some(dec, int(rng.integers(4, 7))), lambda: pick(up) + some(up + dec, 7) + pick(dec), lambda: some(dec, 4) + some(up, 2)])()
         if label:
             return pick([
                 lambda: (pick(["ssn ", "SSN: ", "social security number ", ""]), f"{some(dec, 3)}-{some(dec, 2)}-{some(dec, 4)}"),
-                lambda: (pick(["tel ", "phone: ", "call ", "", "mobile "]), pick([f"({some(dec, 3)}) {some(dec, 3)}-{some(dec, 4)}", f"{some(dec, 3)}-{some(dec, 3)}-{some(dec, 4)}", f"{some(dec, 3)}.{some(dec, 3)}.{some(dec, 4)}"])),
+                lambda: (pick(["tel ", "phone: ", "call ", "", "mobile ", word() + ",", "phone."]), pick([f"({some(dec, 3)}) {some(dec, 3)}-{some(dec, 4)}", f"({some(dec, 3)}){some(dec, 3)}-{some(dec, 4)}", f"{some(dec, 3)}-{some(dec, 3)}-{some(dec, 4)}", f"{some(dec, 3)} - {some(dec, 3)} - {some(dec, 4)}", f"0{some(dec, pick([2, 3, 4]))}/{some(dec, pick([6, 7, 8]))}", f"{some(dec, 3)}.{some(dec, 3)}.{some(dec, 4)}"])),
+                lambda: (pick(["tel ", "phone: ", "call ", "mobile "]), "0" + some(dec, 2) + "".join(" " + some(dec, pick([2, 3])) for _ in range(int(rng.integers(2, 7))))),
                 lambda: (pick(["card ", "", "visa ", ""]), card()),
                 lambda: (pick(["passport ", "national id ", "tax id: "]), some(dec, int(rng.integers(8, 12)))),
                 lambda: (pick(["phone ", "tel: ", "call me at "]), "0" + some(dec, int(rng.integers(8, 11)))),

@@ -718,7 +718,7 @@ def test_recall_and_precision_on_text_of_another_rule(spark):
         else:
             at = text.index(value)
             covered[kind] += any(a <= at and b >= at + len(value) for a, b in spans)
-    recall = {k: round(covered[k] / seen[k], 3) for k in pii.GENERATORS}
+    recall = {k: round(covered[k] / seen[k], 3) for k in pii.GENERATORS if seen[k]}
     print("recall", recall, "clean texts with a span", wrong, "of", seen[None])
     assert min(recall.values()) >= 0.9 and wrong <= 0.05 * seen[None], (recall, wrong)
 
