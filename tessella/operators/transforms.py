@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,35 +22,67 @@ def _sums(pairs: DataFrame, by: list[str]) -> DataFrame:
     )
 
 
-def _solve(by: list[str], scaled: bool):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for s in frame.itertuples(index=False):
-            ma, mb = np.array([getattr(s, f"ma{i}") for i in range(3)]), np.array([getattr(s, f"mb{i}") for i in range(3)])
-            cov = np.array([[getattr(s, f"c{i}{j}") for j in range(3)] for i in range(3)]) - np.outer(mb, ma)
-            u, d, vt = np.linalg.svd(cov)
-            sign = np.ones(3)
-            if np.linalg.det(u) * np.linalg.det(vt) < 0:
-                sign[2] = -1
-            spread = sum(getattr(s, f"q{i}") for i in range(3)) - ma @ ma
-            scale = float((d * sign).sum() / spread) if scaled and spread > 0 else 1.0
-            r = scale * (u * sign) @ vt
-            rows.append([*(getattr(s, b) for b in by), *r.reshape(-1), *(mb - r @ ma), scale, s.n])
-        return pd.DataFrame(rows, columns=[*by, *sum(R, []), *T, "scale", "n"])
+#: Squarings of a 4 x 4 matrix, after which its largest eigenvalue's share is all that is left of it.
+SQUARINGS = 50
+#: Where several rotations fit equally well, this share decides for the one nearest to none at all.
+TIE = 1e-13
+_UPPER = [(i, j) for i in range(4) for j in range(i, 4)]
 
-    return run
+
+def _at(m: Column, i: int, j: int) -> Column:
+    return m[f"p{min(i, j)}{max(i, j)}"]
+
+
+def quaternion_matrix(c) -> dict[tuple[int, int], object]:
+    """Upper half of the symmetric matrix whose top eigenvector is the best rotation's quaternion; ``c(i, j)`` is the cross-covariance of b_i and a_j."""
+    return {
+        (0, 0): c(0, 0) + c(1, 1) + c(2, 2), (0, 1): c(2, 1) - c(1, 2), (0, 2): c(0, 2) - c(2, 0), (0, 3): c(1, 0) - c(0, 1),
+        (1, 1): c(0, 0) - c(1, 1) - c(2, 2), (1, 2): c(1, 0) + c(0, 1), (1, 3): c(0, 2) + c(2, 0),
+        (2, 2): c(1, 1) - c(0, 0) - c(2, 2), (2, 3): c(2, 1) + c(1, 2), (3, 3): c(2, 2) - c(0, 0) - c(1, 1),
+    }
+
+
+def rotation_of(p) -> list[list]:
+    """The rotation of a unit quaternion whose products q_i q_j are ``p(i, j)``."""
+    return [
+        [p(0, 0) + p(1, 1) - p(2, 2) - p(3, 3), 2 * (p(1, 2) - p(0, 3)), 2 * (p(1, 3) + p(0, 2))],
+        [2 * (p(1, 2) + p(0, 3)), p(0, 0) - p(1, 1) + p(2, 2) - p(3, 3), 2 * (p(2, 3) - p(0, 1))],
+        [2 * (p(1, 3) - p(0, 2)), 2 * (p(2, 3) + p(0, 1)), p(0, 0) - p(1, 1) - p(2, 2) + p(3, 3)],
+    ]
+
+
+def _projector(entries: dict[tuple[int, int], Column]) -> Column:
+    """Of a symmetric 4 x 4 matrix, the projection onto its top eigenvector, as a struct p00, p01, ..., p33."""
+    bound = lambda value, body: F.element_at(F.transform(F.array(value), body), 1)
+    packed = F.struct(*(entries[k].alias(f"p{k[0]}{k[1]}") for k in _UPPER))
+    norm = lambda m: F.sqrt(sum((_at(m, i, j) * _at(m, i, j) for i in range(4) for j in range(4)), F.lit(0.0)))
+    # all eigenvalues positive, the top one largest
+    lifted = lambda m, n: F.struct(*(((F.when(n > 0, _at(m, i, j) / n).otherwise(0.0)) + (1.0 if i == j else 0.0) + (TIE if i == j == 0 else 0.0)).alias(f"p{i}{j}") for i, j in _UPPER))
+    start = bound(packed, lambda m: bound(norm(m), lambda n: lifted(m, n)))
+    square = lambda m, t: F.struct(*((sum((_at(m, i, k) * _at(m, k, j) for k in range(4)), F.lit(0.0)) / t).alias(f"p{i}{j}") for i, j in _UPPER))
+    trace = lambda m: sum((_at(m, i, j) * _at(m, i, j) for i in range(4) for j in range(4)), F.lit(0.0))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(SQUARINGS)), start, lambda m, _: bound(trace(m), lambda t: square(m, t)))
 
 
 def fit(pairs: DataFrame, by: list[str], scaled: bool = True, least: int = 3) -> DataFrame:
     """Least-squares transform of the _a points onto the _b points of each group with ``least`` pairs.
 
-    The sums are Spark aggregates; what is left is one 3 x 3 decomposition a group.
+    The sums are Spark aggregates; the rotation is that of the quaternion which is
+    the top eigenvector of a 4 x 4 matrix of them, found by squaring the matrix, all
+    in column expressions. It never reflects. Where several rotations fit equally
+    well (points on a line), the one nearest to no rotation is taken.
     """
     sums = _sums(pairs, by).where(F.col("n") >= least)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in sums.schema if f.name in by]
-    schema = ", ".join([*fields, *(f"{c} double" for c in [*sum(R, []), *T, "scale", "n"])])
-    solve = _solve(by, scaled)
-    return sums.mapInPandas(lambda frames: (solve(f) for f in frames), schema)
+    cov = lambda i, j: F.col(f"c{i}{j}") - F.col(f"mb{i}") * F.col(f"ma{j}")
+    turned = sums.withColumn("__p", _projector(quaternion_matrix(cov)))
+    turn = rotation_of(lambda i, j: _at(F.col("__p"), i, j))
+    turned = turned.withColumns({f"__{R[i][j]}": turn[i][j] for i in range(3) for j in range(3)})
+    spread = F.col("q0") + F.col("q1") + F.col("q2") - sum((F.col(f"ma{i}") * F.col(f"ma{i}") for i in range(3)), F.lit(0.0))
+    fitted = sum((F.col(f"__{R[i][j]}") * cov(i, j) for i in range(3) for j in range(3)), F.lit(0.0))
+    turned = turned.withColumn("scale", F.when(F.lit(scaled) & (spread > 0), fitted / spread).otherwise(1.0))
+    turned = turned.withColumns({R[i][j]: F.col("scale") * F.col(f"__{R[i][j]}") for i in range(3) for j in range(3)})
+    moved = [(F.col(f"mb{i}") - sum((F.col(R[i][j]) * F.col(f"ma{j}") for j in range(3)), F.lit(0.0))).alias(T[i]) for i in range(3)]
+    return turned.select(*by, *sum(R, []), *moved, "scale", "n")
 
 
 def fit_similarity(pairs: DataFrame, by: list[str]) -> DataFrame:

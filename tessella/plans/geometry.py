@@ -24,22 +24,52 @@ def moved(t):
     return t.pts3.select("prep").distinct().select("prep", *(v.alias(k) for k, v in cells.items()))
 
 
-# fits decompose 3 x 3 matrices: tests check them against known transforms
+# The SQL twins square the same matrix as a recursion, a row a step.
 
 
-@query("g1_fit_similarity")
+def fit_sql(pairs: str, scaled: bool) -> str:
+    """Common tables ending in ``fitted`` (prep, r00, ..., t2, scale, n) of ``pairs`` (prep, x_a, ..., z_b)."""
+    three, four = range(3), range(4)
+    p = lambda i, j: f"p{min(i, j)}{max(i, j)}"
+    upper = [(i, j) for i in four for j in range(i, 4)]
+
+    class Term(str):  # so that the operator's own formulas write SQL
+        __add__ = lambda a, b: Term(f"({a} + {str(b)})")
+        __sub__ = lambda a, b: Term(f"({a} - {str(b)})")
+        __rmul__ = lambda a, k: Term(f"({k} * {a})")
+
+    n = X.quaternion_matrix(lambda i, j: Term(f"(c{i}{j} - mb{i} * ma{j})"))
+    turn = X.rotation_of(lambda i, j: Term(p(i, j)))
+    sums = ", ".join([*(f"avg({c}_{s}) AS m{s}{i}" for s in "ab" for i, c in enumerate(XYZ)), *(f"avg({c}_a * {c}_a) AS q{i}" for i, c in enumerate(XYZ)), *(f"avg({XYZ[i]}_b * {XYZ[j]}_a) AS c{i}{j}" for i in three for j in three)])
+    squares = " + ".join(f"{p(i, j)} * {p(i, j)}" for i in four for j in four)
+    start = ", ".join(f"CASE WHEN norm > 0 THEN {p(i, j)} / norm ELSE 0 END + {float(i == j) + (X.TIE if i == j == 0 else 0)!r}::DOUBLE AS {p(i, j)}" for i, j in upper)
+    step = ", ".join(f"({' + '.join(f'{p(i, k)} * {p(k, j)}' for k in four)}) / ({squares})" for i, j in upper)
+    cells = [f"r{i}{j}" for i in three for j in three]
+    scale = f"CASE WHEN {str(scaled).upper()} AND q0 + q1 + q2 - ma0 * ma0 - ma1 * ma1 - ma2 * ma2 > 0 THEN ({' + '.join(f'r{i}{j} * (c{i}{j} - mb{i} * ma{j})' for i in three for j in three)}) / (q0 + q1 + q2 - ma0 * ma0 - ma1 * ma1 - ma2 * ma2) ELSE 1 END"
+    return f"""sums AS (SELECT prep, CAST(count(*) AS DOUBLE) AS n, {sums} FROM ({pairs}) GROUP BY prep HAVING count(*) >= 3),
+quat AS (SELECT prep, {', '.join(f'{v} AS {p(*k)}' for k, v in n.items())} FROM sums), normed AS (SELECT *, sqrt({squares}) AS norm FROM quat),
+squared(prep, k, {', '.join(p(*k) for k in upper)}) AS (SELECT prep, 0 AS k, {start} FROM normed UNION ALL SELECT prep, k + 1, {step} FROM squared WHERE k < {X.SQUARINGS}),
+turned AS (SELECT s.*, {', '.join(f'{turn[i][j]} AS r{i}{j}' for i in three for j in three)} FROM squared JOIN sums s USING (prep) WHERE k = {X.SQUARINGS}), scaled AS (SELECT *, {scale} AS scale FROM turned),
+fitted AS (SELECT prep, {', '.join(f'scale * {c} AS {c}' for c in cells)}, {', '.join(f"mb{i} - scale * ({' + '.join(f'r{i}{j} * ma{j}' for j in three)}) AS t{i}" for i in three)}, scale, n FROM scaled)"""
+
+
+FITTED = "prep, " + ", ".join(f"round({c}, 4) AS {c}" for c in [*(f"r{i}{j}" for i in range(3) for j in range(3)), "t0", "t1", "t2", "scale", "n"])
+PAIRED = "SELECT a.prep, a.x AS x_a, a.y AS y_a, a.z AS z_a, b.x AS x_b, b.y AS y_b, b.z AS z_b FROM centroids a JOIN centroids b ON a.abbr = b.abbr WHERE a.prep <> 0 AND b.prep = 0"
+
+
+@query("g1_fit_similarity", f"WITH RECURSIVE {fit_sql(PAIRED, True)} SELECT {FITTED} FROM fitted")
 def _(t):
     f = X.fit_similarity(paired(t), ["prep"])
     return rounded(f, *(c for c in f.columns if c != "prep"), digits=4)
 
 
-@query("g2_fit_rigid")
+@query("g2_fit_rigid", f"WITH RECURSIVE {fit_sql(PAIRED, False)} SELECT {FITTED} FROM fitted")
 def _(t):
     f = X.fit_rigid(paired(t), ["prep"])
     return rounded(f, *(c for c in f.columns if c != "prep"), digits=4)
 
 
-@query("g3_align_brains")
+@query("g3_align_brains", f"WITH RECURSIVE {fit_sql(PAIRED + " AND contains(a.abbr, '_')", True)} SELECT {FITTED} FROM fitted UNION ALL SELECT DISTINCT prep, 1, 0, 0, 0, 1, 0, 0, 0, 1, 0, 0, 0, 1, 0 FROM centroids WHERE prep = 0")
 def _(t):
     f = X.align_brains(t.centroids, 0, subset=F.contains("abbr", F.lit("_")))
     return rounded(f, *(c for c in f.columns if c != "prep"), digits=4)
