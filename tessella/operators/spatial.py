@@ -193,6 +193,37 @@ def voxel_edges(vox: DataFrame, neighbours: int = 6) -> DataFrame:
     return moved.join(vox.select(F.col("id").alias("b"), "x", "y", "z"), ["x", "y", "z"]).select("a", "b")
 
 
+#: Length of the pieces of a line of voxels; runs end at their borders.
+LINE = 64
+
+
+def voxel_components(vox: DataFrame, neighbours: int = 6) -> DataFrame:
+    """(node, comp): the smallest id of each component of voxels (id, x, y, z); 6, 18 or 26 neighbours as in ``voxel_edges``.
+
+    Runs of voxels along a line are the nodes, so a dense volume has an edge for
+    each pair of touching runs instead of one for each face. Runs end at the borders
+    of pieces of ``LINE`` voxels, so a piece meets at most half as many runs of each
+    neighbouring piece. Voxels of one place are one node.
+    """
+    piece = F.floor(F.col("x") / LINE).alias("piece")
+    placed = vox.select("id", "x", "y", "z", piece)
+    at = ["y", "z", "piece"]
+    placed = placed.withColumn("__start", F.col("x") - F.dense_rank().over(Window.partitionBy(*at).orderBy("x")))
+    placed = stored(placed.withColumn("run", F.min("id").over(Window.partitionBy(*at, "__start"))).drop("__start"), "voxel-runs")
+    runs = stored(placed.groupBy("run", *at).agg(F.min("x").alias("low"), F.max("x").alias("high")), "runs")
+    going_on = runs.select("y", "z", (F.col("high") + 1).alias("low"), F.col("run").alias("a")).join(runs.select("y", "z", "low", F.col("run").alias("b")), ["y", "z", "low"]).select("a", "b")
+    # steps to other lines, and how far beyond a run's ends its neighbours there may lie
+    far = {6: (0, None), 18: (1, 0), 26: (1, 1)}[neighbours]
+    steps = [(1, 0, far[0]), (0, 1, far[0])] + ([(1, 1, far[1]), (1, -1, far[1])] if far[1] is not None else [])
+    step = F.explode(F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(s, ("dy", "dz", "more")))) for s in steps))).alias("s")
+    left = runs.select(F.col("run").alias("a"), "y", "z", "low", "high", step)
+    left = left.select("a", (F.col("y") + F.col("s.dy")).alias("y"), (F.col("z") + F.col("s.dz")).alias("z"), (F.col("low") - F.col("s.more")).alias("from"), (F.col("high") + F.col("s.more")).alias("to"))
+    left = left.withColumn("piece", F.explode(F.sequence(F.floor(F.col("from") / LINE), F.floor(F.col("to") / LINE))))
+    touching = left.join(runs.withColumnRenamed("run", "b"), at).where("low <= to AND high >= from").select("a", "b")
+    found = components(going_on.unionByName(touching)).withColumnRenamed("node", "run")
+    return placed.select(F.col("id").alias("node"), "run").join(found, "run", "left").select("node", F.coalesce("comp", "run").alias("comp"))
+
+
 def group_close(pts: DataFrame, d: float, axes=("x", "y"), keys: list[str] = ("section",)) -> DataFrame:
     """Groups of close points: true components, the lowest id first; every point is in one."""
     pairs = self_pairs(pts, d, axes, keys).select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))

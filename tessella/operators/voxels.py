@@ -291,7 +291,7 @@ def find_site(vox: DataFrame, k: float, n: int = 1, neighbours: int = 6, value:
     bright = stored(bright_voxels(vox, k, value).select("id", *XYZ), "bright")
     if not bright.limit(1).count():
         raise ValueError("no voxel is bright enough for a site")
-    found = spatial.components(spatial.voxel_edges(bright, neighbours), bright.select(F.col("id").alias("node")))
+    found = spatial.voxel_components(bright, neighbours)
     largest = found.groupBy("comp").agg(F.count(F.lit(1)).alias("voxels")).orderBy(F.col("voxels").desc(), "comp").limit(n)
     return bright.join(found, bright["id"] == found["node"]).drop("node").join(largest, "comp")
 

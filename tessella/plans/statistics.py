@@ -121,7 +121,8 @@ query("m8_error_by_threshold", f"SELECT t AS threshold, round(count(*) FILTER (W
     lambda t: rounded(K.error_by_threshold(t.judged, CUTS, "truth", "p"), "error_1", "error_0", digits=6))
 query("m9_selective_stats", "SELECT count(*) AS n, count(*) FILTER (WHERE p BETWEEN 0.3 AND 0.7) AS abstained, round(count(*) FILTER (WHERE (p > 0.7 AND truth = 1) OR (p < 0.3 AND truth <> 1)) / count(*) FILTER (WHERE p NOT BETWEEN 0.3 AND 0.7), 6) AS accuracy, round(count(*) FILTER (WHERE p > 0.7 AND truth = 1) / count(*) FILTER (WHERE p > 0.7), 6) AS positive, round(count(*) FILTER (WHERE p < 0.3 AND truth <> 1) / count(*) FILTER (WHERE p < 0.3), 6) AS negative FROM judged")(
     lambda t: rounded(K.selective_stats(t.judged, 0.3, 0.7, "truth", "p"), "accuracy", "positive", "negative", digits=6))
-query("m10_error_ranges")(lambda t: K.error_ranges(t.judged.select("id", F.col("truth").alias("label"), F.col("p").alias("score")), 20, 0.5, [i / 20 for i in range(1, 20)]))
+query("m10_error_ranges", """WITH d AS (SELECT s AS sample, p FROM judged, range(20) r(s) WHERE truth = 1 AND CAST('0x' || substr(md5(s || '|' || id), 1, 8) AS BIGINT) < 0.5 * 16 ** 8), c AS (SELECT CAST(i AS DOUBLE) / 20 AS threshold FROM range(1, 20) t(i)),
+e AS (SELECT threshold, CAST(least(floor(count(*) FILTER (WHERE p <= threshold) / count(*) * 10), 9) AS BIGINT) AS bin FROM d, c GROUP BY sample, threshold) SELECT bin, min(threshold) AS low, max(threshold) AS high FROM e GROUP BY bin""")(lambda t: K.error_ranges(t.judged.select("id", F.col("truth").alias("label"), F.col("p").alias("score")), 20, 0.5, [i / 20 for i in range(1, 20)]))
 query("m11_confusion", "SELECT truth, count(*) FILTER (WHERE k = -2) AS \"-2\", count(*) FILTER (WHERE k = 0) AS \"0\", count(*) FILTER (WHERE k = 2) AS \"2\" FROM (SELECT label AS truth, CASE WHEN mean_score <= -1.5 THEN -2 WHEN mean_score <= 1.5 THEN 0 ELSE 2 END AS k FROM detections) GROUP BY truth")(
     lambda t: K.confusion(t.detections.select(F.col("label").alias("truth"), C.decide_simple("mean_score").alias("k")), "truth", "k", [-2, 0, 2]))
 

@@ -155,6 +155,34 @@ def test_gap_of_two_samples_without_groups(spark):
     assert scores.ks_statistic(frame(spark, [], "v double"), frame(spark, [(1.0,)], "v double")).count() == 0
 
 
+# --- voxels -------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("neighbours", [6, 18, 26])
+@pytest.mark.parametrize("share", [0.03, 0.3, 0.8])
+def test_components_of_dense_and_thin_volumes(spark, neighbours, share, monkeypatch):
+    monkeypatch.setattr(spatial, "LINE", 5)
+    monkeypatch.setattr(graphs, "ALONE", 0)
+    r = random.Random(neighbours)
+    spots = [(x, y, z) for x in range(-7, 9) for y in range(6) for z in range(5) if r.random() < share]
+    ids = r.sample(range(10_000), len(spots))
+    place, most = dict(zip(spots, ids)), {6: 1, 18: 2, 26: 3}[neighbours]
+    want, todo = {}, sorted(spots, key=place.get)
+    for spot in todo:
+        if place[spot] not in want:
+            stack = [spot]
+            want[place[spot]] = place[spot]
+            while stack:
+                x, y, z = stack.pop()
+                for i, j, k in ((i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if 0 < abs(i) + abs(j) + abs(k) <= most):
+                    near = (x + i, y + j, z + k)
+                    if near in place and place[near] not in want:
+                        want[place[near]] = place[spot]
+                        stack.append(near)
+    vox = frame(spark, [(place[s], *s) for s in spots], "id long, x int, y int, z int")
+    assert {v["node"]: v["comp"] for v in spatial.voxel_components(vox, neighbours).collect()} == want
+
+
 # --- outlines -----------------------------------------------------------------------------
 
 
