@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.columns import all_of, divided, truncated
@@ -118,6 +118,71 @@ def mean_by_region(pts: DataFrame, by: str = "abbr") -> DataFrame:
     return pts.groupBy(by).agg(*(F.avg(c).alias(c) for c in XYZ))
 
 
+# --- layout by a space-filling key --------------------------------------------------------
+
+#: Bits of each axis in the key; coordinates count from ``ORIGIN``.
+KEY_BITS, ORIGIN = 20, -(1 << 19)
+#: Ranges of the key at most that a box is cut into.
+KEY_RANGES = 64
+
+
+def _spread(v: Column) -> Column:
+    """The bits of a number of KEY_BITS bits, two apart."""
+    for shift, mask in ((32, 0x1F00000000FFFF), (16, 0x1F0000FF0000FF), (8, 0x100F00F00F00F00F), (4, 0x10C30C30C30C30C3), (2, 0x1249249249249249)):
+        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+    return v
+
+
+def space_key(x="x", y="y", z="z") -> Column:
+    """A number in which near voxels are mostly near: the bits of x, y and z take turns (Z order). Null beyond the key's range."""
+    within = [F.col(c).cast("long") - ORIGIN for c in (x, y, z)]
+    inside = all_of(v.between(0, (1 << KEY_BITS) - 1) for v in within)
+    bits = [_spread(v) for v in within]
+    return F.when(inside, bits[0].bitwiseOR(F.shiftleft(bits[1], 1)).bitwiseOR(F.shiftleft(bits[2], 2)))
+
+
+def write_by_place(vox: DataFrame, path: str, group_bytes: int = 8 << 20) -> None:
+    """Voxels as Parquet in the order of ``space_key`` (a column ``key``), so that a row group covers a small part of space."""
+    keyed = vox.withColumn("key", space_key())
+    keyed.repartitionByRange("key").sortWithinPartitions("key").write.option("parquet.block.size", group_bytes).mode("overwrite").parquet(path)
+
+
+def key_ranges(low: tuple[int, int, int], high: tuple[int, int, int], most: int = KEY_RANGES) -> list[tuple[int, int]]:
+    """At most ``most`` ranges of keys that hold all voxels of a box: cells of an octree, the largest ones cut first."""
+    low, high = [v - ORIGIN for v in low], [v - ORIGIN for v in high]
+    done, todo = [], [(0, KEY_BITS, (0, 0, 0))]
+    while todo and len(done) + len(todo) * 8 <= most:
+        key, bits, corner = todo.pop(0)
+        size = 1 << bits
+        if all(a <= c and c + size - 1 <= b for a, b, c in zip(low, high, corner)):
+            done.append((key, bits))
+            continue
+        half = size >> 1
+        for child in range(8):
+            at = tuple(c + half * (child >> i & 1) for i, c in enumerate(corner))
+            if all(a <= c + half - 1 and c <= b for a, b, c in zip(low, high, at)):
+                todo.append((key + (child << 3 * (bits - 1)), bits - 1, at))
+    out: list[list[int]] = []
+    for key, bits in sorted(done + [(k, b) for k, b, _ in todo]):
+        if out and out[-1][1] + 1 == key:
+            out[-1][1] = key + (1 << 3 * bits) - 1
+        else:
+            out.append([key, key + (1 << 3 * bits) - 1])
+    return [tuple(r) for r in out]
+
+
+def read_box(spark: SparkSession, path: str, low: tuple[int, int, int], high: tuple[int, int, int]) -> DataFrame:
+    """The voxels of a box, corners included, of a table that ``write_by_place`` wrote: other row groups aren't read."""
+    table = spark.read.parquet(path)
+    inside = all_of(F.col(c).between(a, b) for c, a, b in zip(XYZ, low, high))
+    near = F.lit(False)
+    for a, b in key_ranges(low, high):
+        near = near | F.col("key").between(a, b)
+    if min(low) < ORIGIN or max(high) >= ORIGIN + (1 << KEY_BITS):
+        near = near | F.col("key").isNull()
+    return table.where(inside & near).drop("key")
+
+
 # --- pixels -------------------------------------------------------------------------------
 
 
