@@ -118,6 +118,16 @@ def pca_from_cov(cov: DataFrame, d: int) -> DataFrame:
     return cov.sparkSession.createDataFrame(rows, "component int, eigenvalue double, vector array<double>")
 
 
+def eigen_residuals(cov: DataFrame, components: DataFrame) -> DataFrame:
+    """Of every component: the largest entry of M v - eigenvalue * v, and how far the vector's length is from 1."""
+    whole = cov.select("i", "j", "cov").unionByName(cov.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "cov"))
+    entries = components.select("component", "eigenvalue", F.posexplode("vector").alias("i", "v"))
+    product = whole.join(entries.select("component", F.col("i").alias("j"), "v"), "j").groupBy("component", "i").agg(F.sum(F.coalesce("cov", F.lit(0.0)) * F.col("v")).alias("mv"))
+    joined = entries.join(product, ["component", "i"], "left")
+    off = F.max(F.abs(F.coalesce("mv", F.lit(0.0)) - F.col("eigenvalue") * F.col("v")))
+    return joined.groupBy("component", "eigenvalue").agg(off.alias("residual"), F.abs(F.sum(F.col("v") * F.col("v")) - 1).alias("length_error"))
+
+
 # --- patches ------------------------------------------------------------------------------
 
 

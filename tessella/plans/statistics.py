@@ -41,6 +41,18 @@ def _(t):
     return rounded(K.pca_from_cov(K.pairwise_covariance(embedding_columns(t, d), [f"f{i}" for i in range(d)]), d), "eigenvalue", digits=6).select("component", "eigenvalue")
 
 
+# eigenvalues and vectors are pinned down by residuals of nothing, lengths of 1, and the matrix's own trace and squares
+@query("a28_pca_residuals", """WITH e AS (SELECT vec_id, unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings), m AS (SELECT i, avg(v) AS m FROM e GROUP BY i),
+c AS (SELECT a.i, b.i AS j, avg(a.v * b.v) - any_value(p.m) * any_value(q.m) AS cov FROM e a JOIN e b ON a.vec_id = b.vec_id JOIN m p ON p.i = a.i JOIN m q ON q.i = b.i GROUP BY a.i, b.i)
+SELECT count(*) FILTER (WHERE i = j) AS components, CAST(0 AS DOUBLE) AS residual, CAST(0 AS DOUBLE) AS length_error, round(sum(cov) FILTER (WHERE i = j), 4) AS trace, round(sum(cov * cov), 4) AS squares FROM c""")
+def _(t):
+    d = dimension(t)
+    cov = K.pairwise_covariance(embedding_columns(t, d), [f"f{i}" for i in range(d)])
+    off = K.eigen_residuals(cov, K.pca_from_cov(cov, d))
+    whole = off.agg(F.count(F.lit(1)).alias("components"), F.max("residual").alias("residual"), F.max("length_error").alias("length_error"), F.sum("eigenvalue").alias("trace"), F.sum(F.col("eigenvalue") * F.col("eigenvalue")).alias("squares"))
+    return rounded(whole, "residual", "length_error", "trace", "squares", digits=4)
+
+
 PATCH = "SELECT section AS patch, x, y, value, value % 3 AS channel, CASE WHEN value > 8000 THEN 1 ELSE 0 END AS v FROM pixels"
 patch = lambda t: t.pixels.select(F.col("section").alias("patch"), "x", "y", "value", (F.col("value") % 3).alias("channel"), (F.col("value") > 8000).cast("int").alias("v"))
 query("a29_patch_moments", f"""WITH p AS ({PATCH}), m AS (SELECT patch, sum(v)::DOUBLE AS m00, sum(x * v)::DOUBLE AS m10, sum(y * v)::DOUBLE AS m01, sum(x * y * v)::DOUBLE AS m11, sum(x * x * v)::DOUBLE AS m20, sum(y * y * v)::DOUBLE AS m02 FROM p GROUP BY patch)
