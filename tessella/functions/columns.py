@@ -96,7 +96,7 @@ QC_CATEGORIES = {
     "original training set after mind change": (["manual_train"], ["manual_negative"], 0, None),
     "computer missed, human detected": (["manual_positive"], ["computer_sure", "computer_unsure"], 0, 1),
     "computer sure, human negative": (["computer_sure", "manual_negative"], [], 0, 2),
-    "computer UNsure, human negative": (["computer_unsure", "manual_negative"], [], 0, 2),
+    "computer  UNsure, human negative": (["computer_unsure", "manual_negative"], [], 0, 2),
     "computer UNsure, human positive": (["computer_unsure", "manual_positive"], [], 0, 2),
     "Total computer UNsure": (["computer_unsure"], [], 0, 2),
     "computer UNsure, human unmarked": (["computer_unsure"], [], 0, 1),

@@ -33,7 +33,16 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``stored`` has returned and that nothing will read again."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", None):
+            remove(df.sparkSession, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

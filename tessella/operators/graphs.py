@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.functions.session import stored
+from tessella.functions.session import discard, stored
 
 #: Edges, a few MB, up to which one task settles them all.
 ALONE = 100_000
@@ -52,7 +52,9 @@ def components(edges: DataFrame, alone: int | None = None) -> DataFrame:
     left = stored(left, "edges")
     kind = left.schema["a"].dataType.simpleString()
     if left.count() <= alone:
-        return stored(left.coalesce(1).mapInPandas(_settled, f"node {kind}, comp {kind}"), "components")
+        out = stored(left.coalesce(1).mapInPandas(_settled, f"node {kind}, comp {kind}"), "components")
+        discard(left)
+        return out
     mark = lambda df: df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
     seen = mark(left)
     while True:
@@ -61,11 +63,14 @@ def components(edges: DataFrame, alone: int | None = None) -> DataFrame:
         least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
         large = stored(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-stars")
         # and then itself and its smaller ones
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
-        moved = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        left = stored(moved.union(least.select("a", F.col("m").alias("b"))).distinct(), "small-stars")
+        lower = stored(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        moved = large.join(lower, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        before, left = left, stored(moved.union(lower.select("a", F.col("m").alias("b"))).distinct(), "small-stars")
+        discard(before, both, least, large, lower)
         now = mark(left)
         if now == seen:
             centres = left.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
-            return stored(left.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(centres), "components")
+            out = stored(left.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(centres), "components")
+            discard(left)
+            return out
         seen = now

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.functions.session import stored
+from tessella.functions.session import discard, stored
 from tessella.operators.tables import numbered
 
 
@@ -43,9 +43,11 @@ def reached(tree: DataFrame, marked: DataFrame | None = None, levels: list[DataF
     nodes = tree.select("id").distinct()
     found = nodes if marked is None else nodes.join(marked.select("id").distinct(), "id", "left_semi")
     found = found.select("id", F.col("id").alias("descendant"), F.lit(0).cast("long").alias("depth"))
-    reach = 1
+    reach, spent = 1, None
     for up in lifts(tree) if levels is None else levels:
-        found = stored(found, "reached")
+        found, before = stored(found, "reached"), spent
+        spent = found
+        discard(*filter(None, [before]))
         over = up.join(found, up["up"] == found["descendant"]).select(found["id"], up["id"].alias("descendant"), (F.col("depth") + reach).alias("depth"))
         found = found.unionByName(over)
         reach *= 2
@@ -60,9 +62,11 @@ def closure(tree: DataFrame) -> DataFrame:
 def subtree_sums(tree: DataFrame, own: DataFrame, values: list[str], levels: list[DataFrame] | None = None) -> DataFrame:
     """(id, values): sums of ``own`` (id, values) over each node and all below it, of nodes that have any."""
     summed = own.join(tree.select("id").distinct(), "id", "left_semi").groupBy("id").agg(*(F.sum(v).alias(v) for v in values))
-    kinds = dict(summed.dtypes)
+    kinds, spent = dict(summed.dtypes), None
     for up in lifts(tree) if levels is None else levels:
-        summed = stored(summed, "subtree-sums")
+        summed, before = stored(summed, "subtree-sums"), spent
+        spent = summed
+        discard(*filter(None, [before]))
         lifted = up.join(summed, "id").select(F.col("up").alias("id"), *values)
         summed = summed.unionByName(lifted).groupBy("id").agg(*(F.sum(v).cast(kinds[v]).alias(v) for v in values))
     return summed

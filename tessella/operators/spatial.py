@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.columns import divided
-from tessella.functions.session import scratch, stored
+from tessella.functions.session import discard, scratch, stored
 from tessella.operators import graphs
 
 
@@ -130,8 +130,8 @@ def nearest_in_tile(queries: DataFrame, candidates: DataFrame, keys: list[str],
     low = lambda x: F.least(f"__low{x}", f"__low2{x}")
     side = F.greatest(*(F.greatest(f"__high{x}", f"__high2{x}") - low(x) for x in axes), F.lit(1e-300))
     tiles = stored(both.select(*keys, *(low(x).alias(f"__low{x}") for x in axes), side.alias("__side")), "tiles")  # tiles of both sides
-    q, c = _gridded(q, tiles, keys, axes), _gridded(c, tiles, keys, axes)
-    open_q, open_c, level, found = q, c, 0, None
+    open_q, open_c, level, found = _gridded(q, tiles, keys, axes), _gridded(c, tiles, keys, axes), 0, None
+    spent = [tiles, open_q, open_c]
     cells = lambda s, p="c": [f"{p}{s}{x}" for x in axes]
     front = tiles.select(*keys, *(F.lit(0).cast("long").alias(n) for s in "qc" for n in cells(s, "p")), F.lit(float("inf")).alias("bound"))
     while True:
@@ -140,7 +140,8 @@ def nearest_in_tile(queries: DataFrame, candidates: DataFrame, keys: list[str],
         least, most = _apart(axes, "lowq", "highq", "lowc", "highc")
         pairs = stored(pairs.select(*keys, *cells("q"), *cells("c"), "nq", "nc", "bound", least.alias("least"), most.alias("most"), *(f"{n}c{x}" for x in axes for n in ("low", "high"))), "cell-pairs")
         bounds = pairs.groupBy(*keys, *cells("q")).agg(F.least(F.min("most"), F.min("bound")).alias("best"))
-        pairs = stored(pairs.join(bounds, [*keys, *cells("q")]).where(F.col("least") <= F.col("best") * SLACK), "near-cells")
+        every, pairs = pairs, stored(pairs.join(bounds, [*keys, *cells("q")]).where(F.col("least") <= F.col("best") * SLACK), "near-cells")
+        discard(every)
         small = (F.col("nq") * F.col("nc") <= CELL_PAIRS) if level < DEPTH else F.lit(True)
         new = stored(_compared(pairs.where(small), open_q, open_c, keys, axes, level), "nearest")
         found = new if found is None else found.unionByName(new)
@@ -151,8 +152,10 @@ def nearest_in_tile(queries: DataFrame, candidates: DataFrame, keys: list[str],
         at = [*keys, *(f"__c{x}" for x in axes)]
         stay = lambda df, s: stored(df.withColumns({f"__c{x}": col for x, col in zip(axes, _cell_of(axes, level))}).join(front.select(*here(s)).distinct(), at, "left_semi").drop(*(f"__c{x}" for x in axes)), "open-places")
         open_q, open_c = stay(open_q, "q"), stay(open_c, "c")
+        spent += [pairs, open_q, open_c]
         front = front.select(*keys, *(F.col(f"c{s}{x}").alias(f"p{s}{x}") for s in "qc" for x in axes), F.col("best").alias("bound"))
         level = min(DEPTH, level + bits) if level else bits
+    discard(pairs, *spent)  # what was found is written
     best = found.groupBy(*keys, *axes).agg(F.min(F.struct("dist", "match")).alias("m"))
     return asked.join(best, [*keys, *axes]).select(*keys, "id", F.col("m.match").alias("match"), F.col("m.dist").alias("dist"))
 
