@@ -51,9 +51,11 @@ GENERATORS = {
     "account": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "number": r"(?<![A-Za-z0-9])(?<![0-9][.,])\(?[0-9]{2,19}(?:(?:\)[\x20./-]{0,3}|[\x20./-]{1,3})[0-9]{2,12}){0,11}\)?(?![A-Za-z0-9])",
     "secret": r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}+",
-    "secret_told": r"(?<=(?i:password|passwd|passphrase|pwd|secret|passcode)[\"']?\x20{0,2}[:=]\x20{0,2}[\"']?)[^\s\"':=]{5,}+",
+    "secret_told": r"(?<=[:=\x20\"'])(?<=(?i:password|passwd|passphrase|pwd|secret|passcode)[\"']?\x20{0,2}[:=]\x20{0,2}[\"']?)[^\s\"':=]{5,}+",
     "document": r"(?<![A-Za-z0-9])(?=[0-9]*[A-Z])(?=[A-Z]*[0-9])[A-Z0-9]{6,12}+(?![A-Za-z0-9])",
 }
+#: What a text has that can hold candidates of a kind; looking back from every place is dear.
+GUARDS = {"secret_told": "(?i:passw|passphrase|passcode|pwd|secret)"}
 #: Precision that a generator's threshold must reach on the calibration snippets.
 PRECISION = 0.98
 CONTEXT = 28
@@ -290,7 +292,10 @@ def added_spans(text: Column, kind: str, model: tuple[dict, dict], base: list[Co
             free = free & ~F.exists(b, lambda o: (o["start"] <= s["start"]) & (s["end"] <= o["end"]))
         return free & (let(F.array(*features(text, s)), lambda x: boosting.expression(forests[kind], [F.get(x, F.lit(i)) for i in range(len(FEATURES))])) >= thresholds[kind])
 
-    return F.filter(matches(text, GENERATORS[kind]), selected)
+    found = matches(text, GENERATORS[kind])
+    if kind in GUARDS:
+        found = F.when(text.rlike(GUARDS[kind]), found).otherwise(F.array().cast("array<struct<start:int,end:int,value:string>>"))
+    return F.filter(found, selected)
 
 
 def find_spans(df: DataFrame, text_column: str = "text", prefix: str = "pii_") -> DataFrame:
