@@ -34,9 +34,10 @@ query("io4_parse_wide_csv", "SELECT CAST(l_orderkey AS DOUBLE) AS key, round(l_q
     lambda t: rounded(I.parse_wide_csv(t.lineitem.select(F.concat_ws(",", *(F.col(c).cast("string") for c in ("l_orderkey", "l_quantity", "l_discount", "l_suppkey"))).alias("line")), [("key", 0, 1), ("pair", 1, 2), ("supp", 3, 1)]).select("key", (F.col("pair")[0] + F.col("pair")[1]).alias("total"), "supp"), "total", digits=6))
 
 
-def states(t):
+def states(t, most=I.PIECE):
     note = F.struct(F.array("x", "y", F.col("section") + 0.5).alias("point"), F.col("id").cast("string").alias("description"))
-    layers = t.pts.groupBy("prep").agg(F.array(F.struct(F.lit("cells").alias("name"), F.collect_list(note).alias("annotations")), F.struct(F.lit("image").alias("name"), F.lit(None).cast("array<struct<point:array<double>,description:string>>").alias("annotations"))).alias("layers"))
+    # a state holds a bounded number of a prep's points, however many there are
+    layers = I.pieces(t.pts, ["prep"], "id", most).groupBy("prep", "piece").agg(F.array(F.struct(F.lit("cells").alias("name"), F.collect_list(note).alias("annotations")), F.struct(F.lit("image").alias("name"), F.lit(None).cast("array<struct<point:array<double>,description:string>>").alias("annotations"))).alias("layers"))
     return layers.select("prep", F.to_json(F.struct("layers")).alias("state"))
 
 
@@ -83,7 +84,7 @@ query("io11_derive_tif_rows", "SELECT id, replace(replace(file_name, '.czi', '')
 query("io12_parse_vertices", "SELECT p_partkey, CAST(p_partkey + p_size AS DOUBLE) AS sx, CAST(p_size + 7 AS DOUBLE) AS sy FROM part")(
     lambda t: I.parse_vertices(t.part.select("p_partkey", F.format_string("[[%s  %s]\n [ %s, ,7. ]]", F.col("p_partkey").cast("string"), F.col("p_size").cast("string"), F.col("p_size").cast("string")).alias("text")).withColumn("text", F.regexp_replace("text", "7\\.", "7.0")), "text").select("p_partkey", (F.col("vertices")[0]["x"] + F.col("vertices")[1]["x"]).alias("sx"), (F.col("vertices")[0]["y"] + F.col("vertices")[1]["y"]).alias("sy")))
 query("io13_to_layer_json", "SELECT prep, count(*) AS points, CAST(sum(z + 0.5) AS DOUBLE) AS z FROM pts3 GROUP BY prep")(
-    lambda t: I.to_layer_json(t.pts3.withColumn("z", F.round("z")), "prep").select("prep", F.from_json("json", "struct<annotations:array<struct<point:array<double>>>>")["annotations"].alias("a")).select("prep", F.size("a").cast("long").alias("points"), F.aggregate("a", F.lit(0.0), lambda s, x: s + x["point"][2]).alias("z")))
+    lambda t: I.to_layer_json(t.pts3.withColumn("z", F.round("z")), "prep").select("prep", F.from_json("json", "struct<annotations:array<struct<point:array<double>>>>")["annotations"].alias("a")).select("prep", F.size("a").cast("long").alias("points"), F.aggregate("a", F.lit(0.0), lambda s, x: s + x["point"][2]).alias("z")).groupBy("prep").agg(F.sum("points").alias("points"), F.sum("z").alias("z")))
 
 
 # --- streams ------------------------------------------------------------------------------

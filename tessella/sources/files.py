@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.session import stored
+from tessella.operators.ranges import running
 
 
 def read_table(spark: SparkSession, name: str, options: dict) -> DataFrame:
@@ -136,11 +137,23 @@ def parse_vertices(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn("vertices", F.transform(F.from_json(clean, "array<array<double>>"), lambda p: F.struct(p[0].alias("x"), p[1].alias("y"))))
 
 
-def to_layer_json(pts: DataFrame, layer: str = "name", order: str = "id", description: str | None = None, color: str | None = None) -> DataFrame:
-    """Each layer's points as a viewer's annotation JSON, z half a section on.
+#: Points of a layer, at most, in one JSON text.
+PIECE = 1_000
 
-    ``description`` and ``color`` name columns of the points' notes and colours
-    (``#rrggbb``, in ``props``); a point without one goes without the field.
+
+def pieces(df: DataFrame, by: list[str], order: str, most: int = PIECE) -> DataFrame:
+    """Add ``piece``: rows of each group, in order, are dealt to pieces 0, 1, ... of ``most`` rows (the last has the rest)."""
+    numbered = running(df.withColumn("__one", F.lit(1).cast("long")), by, [order], ["__one"])
+    return numbered.select(*df.columns, F.floor((F.col("__one_until") - 1) / most).alias("piece"))
+
+
+def to_layer_json(pts: DataFrame, layer: str = "name", order: str = "id", description: str | None = None, color: str | None = None, most: int = PIECE) -> DataFrame:
+    """Each layer's points as a viewer's annotation JSON, z half a section on: (layer, piece, json).
+
+    A layer of more than ``most`` points has several texts, each a layer of its own
+    with the next points in order, so no layer is held together. ``description``
+    and ``color`` name columns of the points' notes and colours (``#rrggbb``, in
+    ``props``); a point without one goes without the field.
     """
     place = F.array(F.col("x").cast("double"), F.col("y").cast("double"), F.col("z") + 0.5).alias("point")
     fields = [place, F.lit("point").alias("type"), F.col(layer).cast("string").alias("category")]
@@ -148,4 +161,6 @@ def to_layer_json(pts: DataFrame, layer: str = "name", order: str = "id", descri
     fields += [F.when(F.col(color).isNotNull(), F.array(F.col(color).cast("string"))).alias("props")] if color else []
     point = F.struct(F.col(order).alias("o"), F.struct(*fields).alias("a"))
     notes = F.transform(F.array_sort(F.collect_list(point)), lambda s: s["a"])
-    return pts.groupBy(layer).agg(F.to_json(F.struct(F.col(layer).cast("string").alias("name"), notes.alias("annotations"))).alias("json"))
+    used = dict.fromkeys([layer, order, "x", "y", "z", *filter(None, (description, color))])
+    text = F.to_json(F.struct(F.col(layer).cast("string").alias("name"), notes.alias("annotations"))).alias("json")
+    return pieces(pts.select(*used), [layer], order, most).groupBy(layer, "piece").agg(text)

@@ -308,3 +308,31 @@ def test_a_batch_that_dies_runs_again(spark, tmp_path, monkeypatch, where):
             assert before[9] == "once" and before[day % 3] == f"v{day}"
         keep(spark, folder)
     assert table(spark, folder) == [(k, f"2024-06-{d:02d}", f"v{d}") for k, d in ((0, days), (1, days - 2), (2, days - 1))] + [(9, "2024-01-01", "once")]
+
+
+# --- bounded texts of layers, sums that have one result ------------------------------------
+
+
+def test_a_layer_of_many_points_has_several_texts(spark):
+    df = spark.range(25).select("id", F.when(F.col("id") % 5 > 0, "a").alias("name"), F.col("id").alias("x"), F.lit(1.0).alias("y"), F.lit(2.0).alias("z")).repartition(4)
+    got = {(r["name"], r["piece"]): [p["point"][0] for p in json.loads(r["json"])["annotations"]] for r in files.to_layer_json(df, most=8).collect()}
+    ids = [i for i in range(25) if i % 5]
+    assert got == {("a", 0): ids[:8], ("a", 1): ids[8:16], ("a", 2): ids[16:], (None, 0): [0, 5, 10, 15, 20]}
+
+
+def test_states_are_bounded(spark):
+    from tessella.plans import files as plans
+    from tessella.plans.registry import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    sizes = [r["n"] for r in plans.states(t, 100).select(F.size(F.from_json("state", files.LAYERS)["layers"][0]["annotations"]).alias("n")).collect()]
+    assert sum(sizes) == t.pts.count() and max(sizes) == 100
+
+
+def test_rolled_up_sums_do_not_depend_on_the_order_of_rows(spark):
+    # one after the other, ten tenths as binary fractions add up to a little less than one
+    from tessella.plans.registry import BINDINGS
+
+    frame(spark, [(1, 0.1)] * 10, "o_custkey long, o_totalprice double").coalesce(1).createOrReplaceTempView("orders_of_one")
+    sql = BINDINGS["tree_counts"].replace("FROM orders", "FROM orders_of_one")
+    assert [(r["cells"], r["voxels"]) for r in spark.sql(sql).collect()] == [(10, 1)]
