@@ -336,3 +336,53 @@ def test_rolled_up_sums_do_not_depend_on_the_order_of_rows(spark):
     frame(spark, [(1, 0.1)] * 10, "o_custkey long, o_totalprice double").coalesce(1).createOrReplaceTempView("orders_of_one")
     sql = BINDINGS["tree_counts"].replace("FROM orders", "FROM orders_of_one")
     assert [(r["cells"], r["voxels"]) for r in spark.sql(sql).collect()] == [(10, 1)]
+
+
+# --- components of crowds ------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("along", [None, "s"])
+@pytest.mark.parametrize("pairs", [1, spatial.CELL_PAIRS])
+@pytest.mark.parametrize("square", [False, True])
+def test_crowds_have_the_components_of_their_pairs(spark, monkeypatch, along, pairs, square):
+    monkeypatch.setattr(spatial, "CELL_PAIRS", pairs)
+    r = random.Random(6)
+    d = 5.0
+    spots = [(r.uniform(0, 60), r.uniform(0, 60)) for _ in range(70)]
+    # crowds at 5 exactly, a little nearer, and a little farther; copies of one place; points alone
+    spots += [(x + r.uniform(-0.01, 0.01), 0.0) for x in (100, 105.5, 109.9, 115.5) for _ in range(20)] + [(200.0, 0.0), (205.0, 0.0), (209.999, 0.0)] * 9
+    rows = [(i, r.randrange(2), r.randrange(3), x, y) for i, (x, y) in enumerate(spots)] + [(900, 0, 1, math.nan, 0.0), (901, 0, 1, None, 0.0), (902, None, 1, 0.0, 0.0)]
+    strict = not square
+
+    def near(a, b):
+        v = max(abs(a[3] - b[3]), abs(a[4] - b[4])) if square else math.dist(a[3:], b[3:])
+        return v < d if strict else v <= d
+
+    parent = {row[0]: row[0] for row in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a in rows[:-3]:
+        for b in rows[:-3]:
+            if a[1] == b[1] and b[2] - a[2] == (1 if along else 0) and near(a, b):
+                parent[max(root(a[0]), root(b[0]))] = min(root(a[0]), root(b[0]))
+    df = frame(spark, rows, "id long, k int, s int, x double, y double")
+    got = {x["id"]: x["comp"] for x in spatial.grouped_points(df, d, keys=["k", "s"], along=along, strict=strict, square=square).collect()}
+    assert got == {i: root(i) for i in parent}
+
+
+def test_a_crowd_costs_no_pairs(spark, monkeypatch):
+    sizes, plain = [], graphs.components
+
+    def counted(edges, *more):
+        sizes.append(edges.count())
+        return plain(edges, *more)
+
+    monkeypatch.setattr(graphs, "components", counted)
+    pts = spark.range(20_000).select("id", F.lit(1).alias("prep"), (F.col("id") % 2).cast("int").alias("section"), (F.rand(1) * 20).alias("x"), (F.rand(2) * 20).alias("y"))
+    assert spatial.group_close(pts, 8, keys=["prep", "section"]).select("comp").distinct().count() == 2
+    assert [(x["sections"], x["cells"]) for x in spatial.cross_section_runs(pts, 6).collect()] == [(2, 1)]
+    assert max(sizes) < 5_000
