@@ -386,3 +386,26 @@ def test_a_crowd_costs_no_pairs(spark, monkeypatch):
     assert spatial.group_close(pts, 8, keys=["prep", "section"]).select("comp").distinct().count() == 2
     assert [(x["sections"], x["cells"]) for x in spatial.cross_section_runs(pts, 6).collect()] == [(2, 1)]
     assert max(sizes) < 5_000
+
+
+@pytest.mark.parametrize("settled", [150, 10**6])
+def test_crowds_match_without_all_their_pairs(spark, monkeypatch, settled):
+    # copies of few places on a grid, with equal distances everywhere
+    monkeypatch.setattr(spatial, "SETTLED", settled)
+    r = random.Random(7)
+    spot = lambda: (float(r.randint(0, 5)), float(r.randint(0, 2)))
+    a, b = ([(first + i, 1, *spot()) for i in range(n)] for first, n in ((0, 90), (1000, 80)))
+    left, right, want = set(), set(), []
+    for d, i, j in sorted((math.dist(p[2:], q[2:]), p[0], q[0]) for p in a for q in b):
+        if d < 2.5 and i not in left and j not in right:
+            left.add(i), right.add(j), want.append((i, j))
+    sizes, plain = [], spatial._greedy_places
+
+    def counted(pairs, *more):
+        sizes.append(pairs.count())
+        return plain(pairs, *more)
+
+    monkeypatch.setattr(spatial, "_greedy_places", counted)
+    pairs = spatial.match_points(frame(spark, a, POINT), frame(spark, b, POINT), 2.5, ["t"])
+    assert sorted((x["id_a"], x["id_b"]) for x in pairs.collect()) == sorted(want)
+    assert max(sizes) <= 18 * 18  # places, not 7,200 points
