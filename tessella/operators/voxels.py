@@ -343,8 +343,8 @@ def component_measures(vox: DataFrame) -> DataFrame:
     """Of components (comp, x, y, z, value): truncated centre, voxels, depth, largest value near the centre."""
     measures = vox.groupBy("comp").agg(*(F.avg(c).cast("long").alias(f"c{c}") for c in XYZ), F.count(F.lit(1)).alias("voxels"), (F.max("z") - F.min("z") + 1).alias("depth"))
     near = all_of(F.abs(F.col(c) - F.col(f"c{c}")) <= r for c, r in (("z", 5), ("y", 10), ("x", 10)))
-    top = vox.join(measures, "comp").where(near).groupBy("comp").agg(F.max("value").alias("intensity"))
-    return measures.join(top, "comp", "left")
+    top = vox.join(measures.hint("merge"), "comp").where(near).groupBy("comp").agg(F.max("value").alias("intensity"))
+    return measures.join(top.hint("merge"), "comp", "left")
 
 
 def find_site(vox: DataFrame, k: float, n: int = 1, neighbours: int = 6, value: str = "value") -> DataFrame:
@@ -358,7 +358,7 @@ def find_site(vox: DataFrame, k: float, n: int = 1, neighbours: int = 6, value:
         raise ValueError("no voxel is bright enough for a site")
     found = spatial.voxel_components(bright, neighbours)
     largest = found.groupBy("comp").agg(F.count(F.lit(1)).alias("voxels")).orderBy(F.col("voxels").desc(), "comp").limit(n)
-    return bright.join(found, bright["id"] == found["node"]).drop("node").join(largest, "comp")
+    return bright.join(found.join(F.broadcast(largest), "comp").hint("merge"), F.col("id") == F.col("node")).select("comp", "id", *XYZ, "voxels")
 
 
 def size_filter(vox: DataFrame, low: int, high: int) -> DataFrame:
@@ -375,26 +375,33 @@ def bright_voxels(vox: DataFrame, k: float, value: str = "value") -> DataFrame:
 
 # --- polygons as voxels -------------------------------------------------------------------
 
+#: Corners of polygons, about, that one task puts in order, so that none spills.
+CORNERS = 100_000
+
 
 def rasterize(polygons: DataFrame, by: list[str]) -> DataFrame:
     """Whole grid points inside polygons (``by``, point_order, x, y), edges included.
 
     Vertices are cut to whole numbers from the lowest corner. A row of the grid
-    meets an edge in one place at most; sorted, these places bound the inside.
+    meets an edge in one place at most; sorted, these places bound the inside. All
+    steps go by polygon, so the vertices are shuffled once and the points never.
     """
     order = Window.partitionBy(*by).orderBy("point_order")
     low = Window.partitionBy(*by)
-    cut = polygons.select(*by, "point_order", *((F.col(c) - F.min(c).over(low)).cast("long").alias(c) for c in "xy"))
+    cut = polygons.repartition(polygons.count() // CORNERS + 1, *by).select(*by, "point_order", *((F.col(c) - F.min(c).over(low)).cast("long").alias(c) for c in "xy"))
     edges = cut.select(*by, F.col("x").alias("x1"), F.col("y").alias("y1"),
                        F.coalesce(F.lead("x").over(order), F.first("x").over(order)).alias("x2"), F.coalesce(F.lead("y").over(order), F.first("y").over(order)).alias("y2"))
-    lo, hi = F.least("y1", "y2"), F.greatest("y1", "y2")
+    lo, hi, flat = F.least("y1", "y2"), F.greatest("y1", "y2"), F.col("y1") == F.col("y2")
     rows = edges.withColumn("y", F.explode(F.sequence(lo, hi)))
-    at = F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))
-    flat = rows.where("y1 = y2").select(*by, "y", F.least("x1", "x2").cast("double").alias("a"), F.greatest("x1", "x2").cast("double").alias("b"))
+    at = F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / F.nullif(F.col("y2") - F.col("y1"), F.lit(0))
     # half-open edges cross each row an even number of times
-    crossing = rows.where((F.col("y1") != F.col("y2")) & (F.col("y") < hi)).select(*by, "y", at.alias("at"))
-    row = Window.partitionBy(*by, "y").orderBy("at")
-    pairs = crossing.withColumn("n", F.row_number().over(row)).withColumn("b", F.lead("at").over(row)).where("n % 2 = 1").select(*by, "y", F.col("at").alias("a"), "b")
-    touching = rows.where("y1 <> y2").select(*by, "y", at.alias("a"), at.alias("b"))
-    spans = flat.union(pairs).union(touching).where(F.ceil("a") <= F.floor("b"))
-    return spans.select(*by, "y", F.explode(F.sequence(F.ceil("a"), F.floor("b"))).alias("x")).distinct().select(*by, "x", "y")
+    met = rows.select(*by, "y", F.when(flat, F.least("x1", "x2").cast("double")).otherwise(at).alias("a"), F.when(flat, F.greatest("x1", "x2").cast("double")).otherwise(at).alias("b"),
+                      (~flat & (F.col("y") < hi)).cast("int").alias("crosses"))
+    row = Window.partitionBy(*by, "y").orderBy("a")
+    so_far = row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = F.sum("crosses").over(so_far) % 2 == 1  # up to the next place
+    spans = met.withColumn("to", F.when(F.col("a").isNotNull(), F.floor(F.when(inside, F.greatest("b", F.lead("a").over(row))).otherwise(F.col("b")))))
+    # what a span shares with earlier ones is theirs, so no point comes twice
+    known = F.max("to").over(row.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("from", F.greatest(F.ceil("a"), known + 1)).where("from <= to")
+    return spans.select(*by, "y", F.explode(F.sequence("from", "to")).alias("x")).select(*by, "x", "y")

@@ -409,3 +409,32 @@ def test_crowds_match_without_all_their_pairs(spark, monkeypatch, settled):
     pairs = spatial.match_points(frame(spark, a, POINT), frame(spark, b, POINT), 2.5, ["t"])
     assert sorted((x["id_a"], x["id_b"]) for x in pairs.collect()) == sorted(want)
     assert max(sizes) <= 18 * 18  # places, not 7,200 points
+
+
+# --- growth ---------------------------------------------------------------------------------
+
+
+def test_rasters_sort_a_bounded_part_and_make_no_point_twice(spark, monkeypatch):
+    # a star whose edges cross rows many times, a flat polygon, two parts that share an edge, a place
+    star = [(1, i, 20 + 20 * math.cos(i * 4 * math.pi / 5), 20 + 20 * math.sin(i * 4 * math.pi / 5)) for i in range(5)]
+    comb = [(2, i, float(x), float(y)) for i, (x, y) in enumerate([(0, 0), (9, 0), (9, 6), (6, 6), (6, 2), (3, 2), (3, 6), (0, 6)])]
+    rows = [*star, *comb, (3, 0, 0.0, 0.0), (3, 1, 7.0, 0.0), (4, 0, 3.0, 3.0)]
+    monkeypatch.setattr(voxels, "CORNERS", 5)
+    got = voxels.rasterize(frame(spark, rows, "k int, point_order int, x double, y double"), ["k"])
+    found = [tuple(r) for r in got.collect()]
+    assert len(found) == len(set(found))
+    low = min(x for k, _, x, _ in star), min(y for k, _, _, y in star)
+    outline = {1: [(int(x - low[0]), int(y - low[1])) for _, _, x, y in star], 2: [(x, y) for _, _, x, y in comb]}
+
+    def inside(corners, x, y):
+        odd = False
+        for (x1, y1), (x2, y2) in zip(corners, corners[1:] + corners[:1]):
+            if min(x1, x2) <= x <= max(x1, x2) and min(y1, y2) <= y <= max(y1, y2) and (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1):
+                return True
+            if (y1 <= y < y2 or y2 <= y < y1) and x < x1 + (y - y1) * (x2 - x1) / (y2 - y1):
+                odd = not odd
+        return odd
+
+    want = {(k, x, y) for k, c in outline.items() for x in range(45) for y in range(45) if inside(c, x, y)}
+    assert set(found) == want | {(3, x, 0) for x in range(8)} | {(4, 0, 0)}
+    assert got.rdd.getNumPartitions() == 4  # 16 corners, 5 a task
