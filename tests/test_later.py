@@ -438,3 +438,40 @@ def test_rasters_sort_a_bounded_part_and_make_no_point_twice(spark, monkeypatch)
     want = {(k, x, y) for k, c in outline.items() for x in range(45) for y in range(45) if inside(c, x, y)}
     assert set(found) == want | {(3, x, 0) for x in range(8)} | {(4, 0, 0)}
     assert got.rdd.getNumPartitions() == 4  # 16 corners, 5 a task
+
+
+@pytest.mark.parametrize("pairs", [4, spatial.COUNTED_PAIRS])
+def test_links_of_points_without_their_pairs(spark, monkeypatch, pairs):
+    monkeypatch.setattr(spatial, "COUNTED_PAIRS", pairs)
+    monkeypatch.setattr(spatial, "close_pairs", None)
+    r, d = random.Random(8), 5.0
+    spots = [(r.uniform(0, 40), r.uniform(0, 40)) for _ in range(60)] + [(x + r.uniform(-0.01, 0.01), 0.0) for x in (100, 105, 109.9) for _ in range(15)] + [(200.0, 0.0), (205.0, 0.0), (209.999, 0.0)] * 9
+    rows = [(i, r.randrange(2), x, y) for i, (x, y) in enumerate(spots)] + [(7, 0, 200.0, 0.0), (7, 0, 201.0, 0.0), (8, 1, 201.0, 1.0), (0, 0, 3.0, 3.0), (900, 0, math.nan, 0.0), (901, 0, None, 0.0), (902, None, 1.0, 0.0)]
+    rows += rows[:2]
+    want, ok = dict.fromkeys((p[0] for p in rows), 0), [p for p in set(rows) if p[0] < 900]
+    for p in ok:
+        want[p[0]] += sum(p[0] != q[0] and p[1] == q[1] and math.dist(p[2:], q[2:]) < d for q in ok)
+    df = frame(spark, rows, "id long, section int, x double, y double")
+    got = spatial.linked_points(df, d).collect()
+    assert {x["id"]: x["links"] for x in got} == want and len(got) == len(want)
+    comps = {x["id"]: x["comp"] for x in spatial.grouped_points(df, d).collect()}
+    assert {x["id"]: x["comp"] for x in got} == comps
+
+
+def test_nearest_within_a_distance_makes_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "close_pairs", None)
+    r = random.Random(9)
+    spot = lambda: (r.randint(0, 40) * 1.0, r.choice([0.0, 0.5, r.uniform(0, 90)]))
+    a = [(i, i % 3, *spot()) for i in range(300)] + [(900, 1, math.nan, 1.0), (901, 1, None, 1.0), (5, 2, 1.0, 1.0), (6, 0, 30.0, 80.0)]
+    b = [(i, i % 2, *spot()) for i in range(60)] + [(900, 1, math.nan, 1.0), (700, 2, 1.0, 6.0), (699, 2, 4.0, 5.0)]
+    near = {}
+    for p in a:
+        for q in b:
+            if p[1] == q[1] and p[2] is not None and math.dist(p[2:], q[2:]) < 5:
+                near[p[1], p[0]] = min(near.get((p[1], p[0]), (9.0, 0)), (math.dist(p[2:], q[2:]), q[0]))
+    got = found(spatial.nearest(frame(spark, a, POINT), frame(spark, b, POINT), ["t"], 5.0))
+    assert got == {k: (i, round(v, 9)) for k, (v, i) in near.items()}
+    marks = lambda rows: frame(spark, rows, POINT)
+    made = scores.build_training_set(marks([*a[:9], a[0]]), [marks([(1, *a[0][1:])]), marks([(2, *a[1][1:])])], marks([(3, *a[2][1:])]), marks([(4, 2, 0.0, 0.0)]), 0.25, ["t"])
+    labels = [(x["id"], x["label"]) for x in made.collect()]
+    assert labels.count((0, 1)) == 2 and (1, 1) in labels and (2, 0) in labels
