@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -337,12 +338,10 @@ def build_training_set(candidates: DataFrame, positives: list[DataFrame], negati
     """Candidates near a positive of any source are 1; near a negative, or in hand-marked sections, 0; others go."""
     from tessella.operators.spatial import nearest
 
-    near = None
-    for source in positives:
-        ids = nearest(candidates, source, keys, d).select("id")
-        near = ids if near is None else near.union(ids)
-    pos = near.distinct().withColumn("__p", F.lit(True))
-    neg = nearest(candidates, negatives, keys, d).select("id").withColumn("__n", F.lit(True))
+    at = [*keys, "id", "x", "y"]
+    marked = reduce(DataFrame.union, (source.select(*at) for source in positives))
+    pos = nearest(candidates, marked, keys, d).select("id").distinct().withColumn("__p", F.lit(True))
+    neg = nearest(candidates, negatives, keys, d).select("id").distinct().withColumn("__n", F.lit(True))
     hand = manual_sections.select(*keys).distinct().withColumn("__m", F.lit(True))
     j = candidates.join(pos, "id", "left").join(neg, "id", "left").join(hand, keys, "left")
     return j.where(F.col("__p") | F.col("__n") | F.col("__m")).withColumn("label", F.coalesce("__p", F.lit(False)).cast("int")).drop("__p", "__n", "__m")
