@@ -94,7 +94,7 @@ w(id, o) AS (SELECT id, id FROM n UNION SELECT w.id, e.b FROM w JOIN e ON w.o =
 def voxel_components(t):
     n = t.vox.select((F.col("x") * 10000 + F.col("y") * 100 + F.col("z")).alias("id"), "x", "y", "z", F.col("label").alias("value"))
     found = S.voxel_components(n, 6)
-    return n.join(found, n["id"] == found["node"]).drop("node")
+    return n.join(found.hint("merge"), n["id"] == found["node"]).drop("node")
 
 
 query("c1_voxel_components", f"{VOXEL_COMPONENTS} SELECT id, comp FROM c")(lambda t: voxel_components(t).select("id", "comp"))
