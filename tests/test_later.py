@@ -475,3 +475,17 @@ def test_nearest_within_a_distance_makes_no_pairs(spark, monkeypatch):
     made = scores.build_training_set(marks([*a[:9], a[0]]), [marks([(1, *a[0][1:])]), marks([(2, *a[1][1:])])], marks([(3, *a[2][1:])]), marks([(4, 2, 0.0, 0.0)]), 0.25, ["t"])
     labels = [(x["id"], x["label"]) for x in made.collect()]
     assert labels.count((0, 1)) == 2 and (1, 1) in labels and (2, 0) in labels
+
+
+def test_candidates_of_a_cell_are_one_row(spark, monkeypatch):
+    plans, plain = [], spatial._compared
+
+    def kept(*args):
+        out = plain(*args)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(spatial, "_compared", kept)
+    a, b = [(i, 1, float(i), 0.0) for i in range(9)], [(i, 1, i % 7 + 0.25, 0.25 * (i % 3)) for i in range(40)]
+    assert found(spatial.nearest_in_tile(frame(spark, a, POINT), frame(spark, b, POINT), ["t"])) == looked_up(a, b)
+    assert plans and all("array_min" in p for p in plans)  # the aggregate sorts places by cells, not by candidates
