@@ -489,3 +489,16 @@ def test_candidates_of_a_cell_are_one_row(spark, monkeypatch):
     a, b = [(i, 1, float(i), 0.0) for i in range(9)], [(i, 1, i % 7 + 0.25, 0.25 * (i % 3)) for i in range(40)]
     assert found(spatial.nearest_in_tile(frame(spark, a, POINT), frame(spark, b, POINT), ["t"])) == looked_up(a, b)
     assert plans and all("array_min" in p for p in plans)  # the aggregate sorts places by cells, not by candidates
+
+
+def test_components_broadcast_nothing(spark, monkeypatch):
+    plans = []
+
+    def kept(df, tag):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, tag)
+
+    monkeypatch.setattr(graphs, "stored", kept)
+    edges = frame(spark, [(i, i + 1) for i in range(6)], "a long, b long")
+    assert {r["comp"] for r in graphs.components(edges, 1).collect()} == {0}
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
