@@ -502,3 +502,38 @@ def test_components_broadcast_nothing(spark, monkeypatch):
     edges = frame(spark, [(i, i + 1) for i in range(6)], "a long, b long")
     assert {r["comp"] for r in graphs.components(edges, 1).collect()} == {0}
     assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+@pytest.mark.parametrize("cutoff", [6.0, math.inf])
+def test_tiles_match_as_all_pairs_do(spark, monkeypatch, cutoff):
+    # even places, equal distances, copies of a place, a crowd; many tiles, and no table of pairs
+    monkeypatch.setattr(spatial, "FEW", 0)
+    monkeypatch.setattr(spatial, "CROWD", 120)
+    monkeypatch.setattr(spatial, "close_pairs", None)
+    r = random.Random(11)
+    spots = [lambda: (r.uniform(0, 90), r.uniform(0, 60)), lambda: (20.0 * r.randint(0, 4), r.randint(0, 4000) / 100), lambda: (float(r.randint(0, 12)), float(r.randint(0, 9))), lambda: (50.0 + r.random() * 1e-3, r.random() * 1e-3) if r.random() < 0.5 else (r.uniform(0, 90), 7.0)]
+    side = lambda first, n: [(first + i, k, *spot()) for k, spot in enumerate(spots) for i in r.sample(range(n), n)]
+    a, b = [*side(2**60, 260), (7, 0, math.nan, 1.0), (8, 9, 1.0, 1.0)], [*side(2**61, 240), (7, None, 1.0, 1.0), (None, 0, 1.0, 1.0)]
+    want = [p for k in range(len(spots)) for p in greedy([p for p in a if p[1] == k and p[2] == p[2]], [p for p in b if p[1] == k and p[0]], cutoff)]
+    pairs = spatial.match_points(frame(spark, a, POINT), frame(spark, b, POINT), cutoff, ["t"])
+    assert sorted((x["id_a"], x["id_b"]) for x in pairs.collect()) == sorted(want)
+
+
+def test_a_sweep_deals_points_to_tiles_once(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "FEW", 0)
+    monkeypatch.setattr(spatial, "CROWD", 150)
+    sizes, plain = [], spatial._in_tiles
+
+    def counted(points, *more):
+        sizes.append(points.count())
+        return plain(points, *more)
+
+    monkeypatch.setattr(spatial, "_in_tiles", counted)
+    r = random.Random(12)
+    side = lambda n: [(i, "ab"[i % 2], r.uniform(0, 80), r.uniform(0, 80), r.choice([0.1, 0.5, 0.9, None, math.nan])) for i in range(n)]
+    a, b = side(400), side(380)
+    schema = "id long, prep string, x double, y double, p double"
+    sweep = {x["threshold"]: x["tp"] for x in spatial.f1_sweep(frame(spark, a, schema).drop("p"), frame(spark, b, schema), [0.2, 0.5, 0.7], 5, "prep").collect()}
+    passes = lambda p, t: p is not None and (p >= t or p != p)
+    assert sweep == {t: sum(len(greedy([q[:4] for q in a if q[1] == k], [q[:4] for q in b if q[1] == k and passes(q[4], t)], 5)) for k in "ab") for t in (0.2, 0.5, 0.7)}
+    assert sizes[0] == 400 + sum(q[4] is not None for q in b)
