@@ -336,15 +336,17 @@ def detections_table(df: DataFrame, decision: Column) -> DataFrame:
 
 def build_training_set(candidates: DataFrame, positives: list[DataFrame], negatives: DataFrame, manual_sections: DataFrame, d: float, keys: list[str]) -> DataFrame:
     """Candidates near a positive of any source are 1; near a negative, or in hand-marked sections, 0; others go."""
-    from tessella.operators.spatial import nearest
-
-    at = [*keys, "id", "x", "y"]
-    marked = reduce(DataFrame.union, (source.select(*at) for source in positives))
-    pos = nearest(candidates, marked, keys, d).select("id").distinct().withColumn("__p", F.lit(True))
-    neg = nearest(candidates, negatives, keys, d).select("id").distinct().withColumn("__n", F.lit(True))
+    from tessella.operators.spatial import with_near
+
+    marked = reduce(DataFrame.union, (source.select(*keys, "x", "y") for source in positives))
+    rows = with_near(candidates, marked, keys, d, "__p")
+    rows = with_near(rows, negatives, keys, d, "__n", asked=~F.col("__p"))  # a positive needs no negative
+    # what is near to one row of an id counts for all of them; rows without an id are near to nothing, and spread over tasks
+    own = Window.partitionBy("id", F.when(F.col("id").isNull(), F.hash("x", "y")))
+    rows = rows.withColumns({c: F.max(c).over(own) & F.col("id").isNotNull() for c in ("__p", "__n")})
     hand = manual_sections.select(*keys).distinct().withColumn("__m", F.lit(True))
-    j = candidates.join(pos, "id", "left").join(neg, "id", "left").join(hand, keys, "left")
-    return j.where(F.col("__p") | F.col("__n") | F.col("__m")).withColumn("label", F.coalesce("__p", F.lit(False)).cast("int")).drop("__p", "__n", "__m")
+    kept = rows.join(hand, keys, "left").where(F.col("__p") | F.col("__n") | F.col("__m")).withColumn("label", F.col("__p").cast("int"))
+    return kept.select(*keys, "id", *(c for c in candidates.columns if c not in (*keys, "id")), "label")
 
 
 def train_ensemble(df: DataFrame, n: int, features: str = "features", label: str = "label", key: str = "id", trees: int = 10) -> list:

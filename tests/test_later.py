@@ -537,3 +537,29 @@ def test_a_sweep_deals_points_to_tiles_once(spark, monkeypatch):
     passes = lambda p, t: p is not None and (p >= t or p != p)
     assert sweep == {t: sum(len(greedy([q[:4] for q in a if q[1] == k], [q[:4] for q in b if q[1] == k and passes(q[4], t)], 5)) for k in "ab") for t in (0.2, 0.5, 0.7)}
     assert sizes[0] == 400 + sum(q[4] is not None for q in b)
+
+
+def test_only_places_without_a_candidate_in_their_cell_are_searched(spark, monkeypatch):
+    sizes, plain = [], spatial._nearest
+
+    def counted(queries, *more):
+        sizes.append(queries.count())
+        return plain(queries, *more)
+
+    monkeypatch.setattr(spatial, "_nearest", counted)
+    r, d = random.Random(13), 5.0
+    crowd = lambda first, n: [(first + i, 1, r.uniform(0, 12), r.uniform(0, 12)) for i in range(n)]
+    few = lambda first, n: [(first + i, i % 3, r.choice([5.0 * r.randint(20, 30), r.uniform(90, 160)]), 5.0 * r.randint(0, 4)) for i in range(n)]
+    odd = [(900, 1, math.nan, 1.0), (901, 1, None, 1.0), (902, None, 1.0, 1.0), (None, 1, 2.0, 2.0), (903, 2, 4e15, 0.0), (904, 2, 4e15 + 8, 0.0), (3, 2, 1e3, 1e3)]
+    rows = [*crowd(0, 600), *few(1000, 60), *odd]
+    marks = [*crowd(2000, 400), *few(3000, 40), (905, 2, 4e15 + 4, 3.0), (906, 1, math.nan, 1.0)]
+    near = lambda p: any(p[1] == q[1] and p[2] is not None and math.dist(p[2:], q[2:]) < d for q in marks)
+    ids = {p[0] for p in rows if near(p)} - {None}
+    df, there = frame(spark, rows, POINT), frame(spark, marks, POINT)
+    kept = spatial.exclude_detections(df, frame(spark, [(7,)], "t int"), frame(spark, [], "id long"), there, d, ["t"])
+    gone = {(p[1], p[0]) for p in rows if near(p)} - {(1, None)}
+    assert sorted(map(repr, kept.select("id", "t").collect())) == sorted(repr(x) for x in df.select("id", "t").collect() if (x["t"], x["id"]) not in gone)
+    made = scores.build_training_set(df, [there.where("id % 2 = 0"), there.where("id % 2 = 1")], frame(spark, rows[-1:], POINT), frame(spark, [(1, 0, 0.0, 0.0)], POINT), d, ["t"])
+    labels = [(x["id"], x["label"]) for x in made.collect()]
+    assert sorted(labels) == sorted((p[0], int(p[0] in ids)) for p in rows if p[0] in ids or p[0] == 3 or p[1] == 0)
+    assert sizes and max(sizes) < 100 and made.columns == ["t", "id", "x", "y", "label"]
