@@ -563,3 +563,25 @@ def test_only_places_without_a_candidate_in_their_cell_are_searched(spark, monke
     labels = [(x["id"], x["label"]) for x in made.collect()]
     assert sorted(labels) == sorted((p[0], int(p[0] in ids)) for p in rows if p[0] in ids or p[0] == 3 or p[1] == 0)
     assert sizes and max(sizes) < 100 and made.columns == ["t", "id", "x", "y", "label"]
+
+
+def test_links_are_counted_in_blocks_without_tables_of_cells(spark, monkeypatch):
+    called, plain = [], spatial._counted
+
+    def counted(*args):
+        called.append(1)
+        return plain(*args)
+
+    monkeypatch.setattr(spatial, "_counted", counted)
+    r, d = random.Random(14), 2.0
+    spots = [(r.uniform(-60, 60), r.uniform(-60, 60)) for _ in range(500)] + [(r.uniform(23, 25), r.uniform(23, 25)) for _ in range(250)] + [(20.0 * r.randint(0, 3), r.randint(0, 600) / 10) for _ in range(350)] + [(-24.0, -24.0)] * 5 + [(-26.0, -24.0), (-25.999, -24.0)]
+    rows = [(i, i % 2, "k" if i % 3 else "l", x, y) for i, (x, y) in enumerate(spots)] + [(9000, 0, "k", math.nan, 1.0), (9001, None, "k", 1.0, 1.0)]
+    df = frame(spark, rows, "id long, section int, prep string, x double, y double")
+    want = {p[0]: sum(p[0] != q[0] and None is not p[1] == q[1] and p[2] == q[2] and math.sqrt((p[3] - q[3]) ** 2 + (p[4] - q[4]) ** 2) < d for q in rows) for p in rows}
+    links = lambda: {x["id"]: x["near"] - x["own"] for x in spatial._near_rows(df, d, ["x", "y"], ["section", "prep"]).groupBy("id").agg(F.sum("near").alias("near"), F.count(F.lit(1)).alias("own")).collect()}
+    monkeypatch.setattr(spatial, "BUCKET", 400)
+    assert links() == {k: v for k, v in want.items() if k < 9000} and not called
+    assert {x["id"]: x["links"] for x in spatial.linked_points(df, d, keys=["section", "prep"]).collect()} == want
+    before = len(called)
+    monkeypatch.setattr(spatial, "LARGEST", 10)  # a block that one task doesn't hold
+    assert {x["id"]: x["links"] for x in spatial.linked_points(df, d, keys=["section", "prep"]).collect()} == want and len(called) == before + 1
